@@ -1,9 +1,11 @@
 """One query per operator, over messages derived from the test tables."""
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from checks.feed import SLICES, messages
 from turnout.functions.schema import COUNT_TABLE_DDL, DETAIL_COLUMNS, KEYS
@@ -75,11 +77,13 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def counting(spark: SparkSession) -> Callable[..., StreamingQuery]:
+    """``start_counts`` with one part of the state per core."""
+    return partial(start_counts, state_partitions=spark.sparkContext.defaultParallelism)
+
+
 def stream_slices(
-    spark: SparkSession,
-    sf_dir: str,
-    start: Callable[..., object],
-    sink: Sink,
+    spark: SparkSession, sf_dir: str, start: Callable[..., StreamingQuery], sink: Sink
 ) -> None:
     """Run a streaming query over the messages, one slice after the other.
 
@@ -100,7 +104,8 @@ def stream_slices(
 
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "counts")
-    stream_slices(spark, sf_dir, start_counts, table_sink(path, rows_per_file=1_000_000))
+    sink = table_sink(path)
+    stream_slices(spark, sf_dir, counting(spark), sink)
     return count_table(spark, path)
 
 
@@ -117,8 +122,8 @@ def catalog_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CREATE TABLE {table} ({COUNT_TABLE_DDL}) USING parquet "
         f"PARTITIONED BY (batch_id) LOCATION '{path}'"
     )
-    sink = catalog_sink(table, COUNT_TABLE_DDL, rows_per_file=1_000_000)
-    stream_slices(spark, sf_dir, start_counts, sink)
+    sink = catalog_sink(table, COUNT_TABLE_DDL)
+    stream_slices(spark, sf_dir, counting(spark), sink)
     return catalog_newest_batch(spark, table)
 
 
@@ -127,7 +132,7 @@ def throttled_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "counts")
     raw = feed_lines(spark, landed_lines(spark, sf_dir), maxFilesPerTrigger=2)
     checkpoint = shared_folder(spark, "checkpoint")
-    await_all([start_counts(raw, [table_sink(path)], checkpoint, interval=None)])
+    await_all([counting(spark)(raw, [table_sink(path)], checkpoint, interval=None)])
     # Totals only grow, so the largest one of a group is its last.
     totals = count_table(spark, path).groupBy(*KEYS)
     return totals.agg(F.max("response_count").alias("response_count"))

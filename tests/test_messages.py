@@ -1,0 +1,173 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from turnout.functions.schema import DETAIL_COLUMNS, DETAIL_TABLE_DDL, KEYS
+from turnout.operators.messages import (
+    encode_records,
+    feed_records,
+    flatten_detail,
+    group_keys,
+    parse_messages,
+)
+
+NOTHING = {"response": None, "guests": None, "venue": None, "group": None}
+
+# Text, expected fields after parsing.
+EDGES = [
+    ('{"response":"yes",', NOTHING),
+    ("hello", NOTHING),
+    ('[{"response":"yes"}]', NOTHING),
+    ("", NOTHING),
+    (None, NOTHING),
+    ("{}", NOTHING),
+    ('{{"response":"yes"}', NOTHING),
+    ('{"unknown":1}', NOTHING),
+    ('{"response":"yes","venue":"abc","guests":1}', {"response": "yes", "venue": None, "guests": "1"}),
+    ('{"response":{"x":1},"guests":[1,2]}', {"response": '{"x":1}', "guests": "[1,2]"}),
+    ('{"response":true,"guests":1e3}', {"response": "true", "guests": "1000.0"}),
+    ('{"response":"yes","response":"no"}', {"response": "no"}),
+    ('{"Response":"yes"}', {"response": None}),
+    ('{"guests":0,"response":-1.50}', {"guests": "0", "response": "-1.5"}),
+    ('{"response":"yes"} trailing', {"response": "yes"}),
+    ('{"response":"h\\u00e9 \\"q\\"","guests":"é"}', {"response": 'hé "q"', "guests": "é"}),
+]
+
+
+@pytest.mark.parametrize("text,expected", EDGES)
+def test_parse_edges(raw, text, expected):
+    row = parse_messages(raw([text])).collect()[0].asDict()
+    assert {name: row[name] for name in expected} == expected
+
+
+def test_null_topic_element_is_kept(raw):
+    text = '{"group":{"group_topics":[{"urlkey":"a","topic_name":"A"},null]}}'
+    topics = flatten_detail(parse_messages(raw([text]))).collect()[0].group_topics
+    assert [t and tuple(t) for t in topics] == [("a", "A"), None]
+
+
+def test_detail_columns_and_types(raw, spark):
+    detail = flatten_detail(parse_messages(raw(["{}"])))
+    assert tuple(detail.columns) == DETAIL_COLUMNS and len(DETAIL_COLUMNS) == 22
+    table = spark.createDataFrame([], DETAIL_TABLE_DDL).schema
+    assert [f.dataType for f in detail.schema] == [f.dataType for f in table][:-1]
+
+
+def test_venue_and_group_coordinates_stay_apart(raw):
+    text = json.dumps({"venue": {"lat": 1, "lon": 2}, "group": {"group_lat": 3, "group_lon": 4}})
+    row = flatten_detail(parse_messages(raw([text]))).collect()[0]
+    assert (row["lat"], row["lon"], row["group_lat"], row["group_lon"]) == ("1", "2", "3", "4")
+
+
+def sample(rng):
+    group = {
+        "group_topics": [{"urlkey": "a", "topic_name": 'T "x" é'}, {"urlkey": "b"}, None],
+        "group_city": "City",
+        "group_country": "us",
+        "group_id": 12,
+        "group_name": "G\\n 1",
+        "group_lon": -1.5,
+        "group_urlname": "g1",
+        "group_state": None,
+        "group_lat": 40.25,
+    }
+    fields = {
+        "venue": {"venue_name": "V", "lon": -3.25, "lat": 1e3, "venue_id": 5},
+        "visibility": "public",
+        "response": rng.choice(["yes", "no", None]),
+        "guests": 0,
+        "member": {"member_id": 7, "photo": "http://p/1.jpg", "member_name": "Ann"},
+        "rsvp_id": 1,
+        "mtime": 1500,
+        "event": {"event_name": "E", "event_id": "e1", "time": 2, "event_url": "http://e"},
+        "group": group,
+        "extra": {"a": [1, 2, {"b": True}]},
+    }
+    names = list(fields)
+    rng.shuffle(names)
+    return json.dumps({name: fields[name] for name in names}, ensure_ascii=rng.random() < 0.5)
+
+
+def damage(rng, text):
+    for _ in range(rng.randint(1, 3)):
+        if not text:
+            break
+        i, j = sorted(rng.randrange(len(text)) for _ in range(2))
+        mark = rng.choice("{}[]\",:\\ntrue0-1.e\x01\té ")
+        text = rng.choice(
+            [
+                text[:i] + text[i + 1 :],
+                text[:i] + mark + text[i:],
+                text[:i] + mark + text[i + 1 :],
+                text[:i],
+                text[:i] + text[min(j, i + 30) :],
+                text[:j] + text[i : i + 15] + text[j:],
+            ]
+        )
+    return text
+
+
+def test_keys_equal_detail_on_damaged_messages(raw):
+    """The parser of the keys alone gives what the whole parser gives, on any text."""
+    rng = random.Random(11)
+    texts = [damage(rng, sample(rng)) if i % 5 else sample(rng) for i in range(20_000)]
+    whole = sample(rng)
+    texts += [whole[:n] for n in range(len(whole) + 1)]
+    texts += [text for text, _ in EDGES]
+    texts += [
+        '{"response":"yes","group":{"group_topics":"abc","group_name":"G"}}',
+        '{"response":"yes","group":{"group_topics":[1,{"urlkey":2}],"group_name":"G"}}',
+        '{"response":"yes","group":[1]}',
+        '{"group":5,"response":"no"}',
+        '{"response":"yes","group":{"group_name":"G"},"group":null}',
+        '{"response":"yes","group":{"group_name":"G"},"group":{"group_city":"C"}}',
+        '{"response":"yes","venue":{"lat":' + "9" * 1500 + '},"group":{"group_name":"G"}}',
+        '{"response":"yes","_turnout_bad_text":"x","group":{"group_name":"G"}}',
+        "null",
+        "5",
+        '"x"',
+    ]
+    frame = raw(texts).cache()
+    keys = group_keys(frame, "id").select("id", F.struct(*KEYS).alias("keys"))
+    detail = flatten_detail(parse_messages(frame, "id"), "id")
+    both = keys.join(detail.select("id", F.struct(*KEYS).alias("whole")), "id").cache()
+    assert both.count() == len(texts)
+    different = both.filter(~F.col("keys").eqNullSafe(F.col("whole")))
+    assert different.limit(3).collect() == []
+    assert both.filter("keys.group_name is null").count() > 1000
+    assert both.filter("keys.group_name is not null").count() > 1000
+
+
+def test_encode_then_parse_gives_the_same_rows(raw):
+    rng = random.Random(3)
+    frame = raw([sample(rng) for _ in range(200)])
+    parsed = parse_messages(frame).drop("timestamp")
+    again = encode_records(parsed).withColumn("timestamp", F.lit(None))
+    assert parse_messages(again).drop("timestamp").collect() == parsed.collect()
+
+
+def test_encoded_record_keeps_nulls(spark):
+    frame = spark.createDataFrame([(1, None, "é")], "a INT, b STRING, c STRING")
+    value = encode_records(frame).collect()[0].value
+    assert bytes(value).decode() == '{"a":1,"b":null,"c":"é"}'
+
+
+@pytest.mark.parametrize(
+    "line,published",
+    [
+        ('{"a":1}', True),
+        ('{"a":1,"a":2}', True),
+        ("[1]", True),
+        ("5", True),
+        ("null", True),
+        ('{"a":1', False),
+        ("hello", False),
+        ("", False),
+    ],
+)
+def test_feed_publishes_json_lines_unchanged(spark, line, published):
+    lines = spark.createDataFrame([(line,)], "value STRING")
+    values = [bytes(row.value).decode() for row in feed_records(lines).collect()]
+    assert values == ([line] if published else [])

@@ -10,7 +10,7 @@ from turnout.jobs.options import add_option, add_trigger, interval
 from turnout.plans.messages import counts_of, detail_of
 from turnout.session import job_session
 from turnout.sources.messages import feed_lines, file_messages, topic_messages
-from turnout.streaming.queries import await_all, start_counts, start_detail
+from turnout.streaming.queries import ROWS_PER_TASK, await_all, start_counts, start_detail
 from turnout.streaming.sinks import (
     Sink,
     catalog_sink,
@@ -44,7 +44,7 @@ def arguments() -> ArgumentParser:
     parser.add_argument("--database-connector", default="jdbc")
     add_option(parser, "--database-option", "the database writer")
     parser.add_argument("--console", action="store_true", help="also print the counts")
-    parser.add_argument("--rows-per-file", type=int, default=1_000_000)
+    parser.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK)
     parser.add_argument("--state-partitions", type=int)
     add_trigger(parser)
     return parser
@@ -78,12 +78,11 @@ def detail_sinks(args: Namespace) -> list[Sink]:
 
 
 def count_sinks(args: Namespace) -> list[Sink]:
-    rows = args.rows_per_file
     sinks = []
     if args.count_path:
-        sinks.append(table_sink(args.count_path, rows_per_file=rows))
+        sinks.append(table_sink(args.count_path))
     if args.count_table:
-        sinks.append(catalog_sink(args.count_table, COUNT_TABLE_DDL, rows_per_file=rows))
+        sinks.append(catalog_sink(args.count_table, COUNT_TABLE_DDL))
     if args.database_url:
         sinks.append(
             database_sink(
@@ -126,6 +125,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 interval=interval(args),
                 name="counts",
                 state_partitions=args.state_partitions,
+                rows_per_task=args.rows_per_task,
             )
         )
     if not queries:

@@ -17,27 +17,31 @@ from turnout.functions.json_text import (
 from turnout.functions.schema import DETAIL_FIELDS
 
 
-def message_text(raw: DataFrame) -> DataFrame:
+def message_text(raw: DataFrame, *carry: str) -> DataFrame:
     """``value`` as text (it is binary from a topic) and ``timestamp`` as timestamp."""
     return raw.select(
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
+        *carry,
     )
 
 
-def parse_messages(raw: DataFrame) -> DataFrame:
-    """The nine message fields and ``timestamp``. No row is dropped: a malformed message
-    becomes a row of NULLs, or keeps what was read before the fault."""
+def parse_messages(raw: DataFrame, *carry: str) -> DataFrame:
+    """The nine message fields, ``timestamp`` and the columns of ``raw`` named in ``carry``.
+
+    No row is dropped: a malformed message becomes a row of NULLs, or keeps what was read
+    before the fault.
+    """
     return (
-        message_text(raw)
-        .select(message_struct(F.col("value")).alias("message"), "timestamp")
-        .select("message.*", "timestamp")
+        message_text(raw, *carry)
+        .select(message_struct(F.col("value")).alias("message"), "timestamp", *carry)
+        .select("message.*", "timestamp", *carry)
     )
 
 
-def flatten_detail(parsed: DataFrame) -> DataFrame:
-    """The 22 detail columns; the topics stay one array column."""
-    return parsed.select(*DETAIL_FIELDS)
+def flatten_detail(parsed: DataFrame, *carry: str) -> DataFrame:
+    """The 22 detail columns, then ``carry``; the topics stay one array column."""
+    return parsed.select(*DETAIL_FIELDS, *carry)
 
 
 def group_keys(raw: DataFrame, *carry: str) -> DataFrame:

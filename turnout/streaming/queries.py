@@ -18,6 +18,9 @@ from turnout.streaming.sinks import Sink, fan_out
 # Fixed value: the interval between micro-batches.
 INTERVAL = "20 seconds"
 
+# Count rows per writing task; one task of this size writes a file of some 100 MB.
+ROWS_PER_TASK = 1_000_000
+
 # Totals are kept for every group ever seen, so they stay on disk, not on the JVM heap.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -81,6 +84,7 @@ def start_counts(
     interval: str | None = INTERVAL,
     name: str | None = None,
     state_partitions: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> StreamingQuery:
     """Changed groups of each micro-batch, with their running totals, to the sinks.
 
@@ -91,7 +95,8 @@ def start_counts(
     conf = dict(STATE_CONF)
     if state_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
-    writer = counts_of(raw).writeStream.outputMode("update").foreachBatch(fan_out(*sinks))
+    sink = fan_out(*sinks, rows_per_task=rows_per_task)
+    writer = counts_of(raw).writeStream.outputMode("update").foreachBatch(sink)
     with session_conf(raw.sparkSession, conf):
         return _start(writer, name, checkpoint, interval)
 

@@ -16,19 +16,12 @@ def with_batch_id(batch: DataFrame, batch_id: int) -> DataFrame:
     return batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
-def in_few_files(batch: DataFrame, rows_per_file: int | None) -> DataFrame:
-    """Fewer partitions for a small batch, by its row count. The batch should be persisted."""
-    if rows_per_file is None:
-        return batch
-    return batch.coalesce(max(1, ceil(batch.count() / rows_per_file)))
-
-
-def table_sink(path: str, file_format: str = "parquet", rows_per_file: int | None = None) -> Sink:
+def table_sink(path: str, file_format: str = "parquet") -> Sink:
     """Append to files, one partition per batch. A batch written again replaces itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            with_batch_id(in_few_files(batch, rows_per_file), batch_id)
+            with_batch_id(batch, batch_id)
             .write.format(file_format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -39,9 +32,7 @@ def table_sink(path: str, file_format: str = "parquet", rows_per_file: int | Non
     return write
 
 
-def catalog_sink(
-    table: str, ddl: str, file_format: str = "parquet", rows_per_file: int | None = None
-) -> Sink:
+def catalog_sink(table: str, ddl: str, file_format: str = "parquet") -> Sink:
     """Like :func:`table_sink`, into a catalog table of the columns ``ddl``.
 
     The catalog knows the partitions, so a reader lists the files of one batch and not
@@ -54,7 +45,7 @@ def catalog_sink(
             "PARTITIONED BY (batch_id)"
         )
         (
-            with_batch_id(in_few_files(batch, rows_per_file), batch_id)
+            with_batch_id(batch, batch_id)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .insertInto(table)
@@ -131,19 +122,24 @@ def console_sink(rows: int = 20, truncate: bool = False) -> Sink:
     return write
 
 
-def fan_out(*sinks: Sink) -> Sink:
+def fan_out(*sinks: Sink, rows_per_task: int | None = None) -> Sink:
     """One sink that gives a batch to several, computing it once.
 
-    The batch is persisted and counted first: all of its state is committed in full
-    parallel, whatever part of the rows a sink reads or into how many files it writes.
+    The batch is persisted and counted first: it is computed in full parallel and all of
+    its state is committed, whatever part of the rows a sink reads. By its row count, the
+    sinks then get it in fewer partitions of at most about ``rows_per_task`` rows, so that
+    a small batch does not leave one file or open one connection per part of the state.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            batch.count()
+            rows = batch.count()
+            parts = batch
+            if rows_per_task is not None:
+                parts = batch.coalesce(max(1, ceil(rows / rows_per_task)))
             for sink in sinks:
-                sink(batch, batch_id)
+                sink(parts, batch_id)
         finally:
             batch.unpersist()
 
