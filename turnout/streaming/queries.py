@@ -139,22 +139,12 @@ def start_publish(
     return _start(writer, name, checkpoint, interval)
 
 
-def _raise_failure(queries: Sequence[StreamingQuery]) -> None:
-    for query in queries:
-        failure = query.exception()
-        if failure is not None:
-            raise failure
-
-
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait until all queries have ended. If one fails, stop the others and raise."""
-    streams = SparkSession.active().streams
     try:
-        while any(query.isActive for query in queries):
-            streams.awaitAnyTermination()
-            streams.resetTerminated()
-            _raise_failure(queries)
-        _raise_failure(queries)
+        # Each wait ends after a second, so the failure of any query is seen by then.
+        while not all([query.awaitTermination(1) for query in queries]):
+            pass
     finally:
         for query in queries:
             if query.isActive:

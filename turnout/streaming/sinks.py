@@ -40,15 +40,15 @@ def catalog_sink(table: str, ddl: str, file_format: str = "parquet") -> Sink:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.sparkSession.sql(
+        spark = batch.sparkSession
+        spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {file_format} "
             "PARTITIONED BY (batch_id)"
         )
-        (
-            with_batch_id(batch, batch_id)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(table)
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+            "SELECT * FROM {batch}",
+            batch=batch,
         )
 
     return write
@@ -129,15 +129,18 @@ def fan_out(*sinks: Sink, rows_per_task: int | None = None) -> Sink:
     its state is committed, whatever part of the rows a sink reads. By its row count, the
     sinks then get it in fewer partitions of at most about ``rows_per_task`` rows, so that
     a small batch does not leave one file or open one connection per part of the state.
+    An empty batch is not passed on.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = batch.count()
+            if rows == 0:
+                return
             parts = batch
             if rows_per_task is not None:
-                parts = batch.coalesce(max(1, ceil(rows / rows_per_task)))
+                parts = batch.coalesce(ceil(rows / rows_per_task))
             for sink in sinks:
                 sink(parts, batch_id)
         finally:
