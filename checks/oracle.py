@@ -114,6 +114,7 @@ ORACLE = {
     "stream_changelog": _CHANGELOG,
     "stream_detail": _message(_DETAIL, _BATCH),
     "stream_latest_batch": _NEWEST,
+    "catalog_changelog": _CHANGELOG,
     "catalog_latest_batch": _NEWEST,
     "throttled_stream_counts": _COUNTS_SQL,
     "stream_to_topic_files": _COUNTS.format(_message(KEYS, where="event_id % 101 <> 100")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from checks.feed import SLICES, messages
-from turnout.functions.schema import COUNT_TABLE_DDL, DETAIL_COLUMNS, KEYS
+from turnout.functions.schema import COUNT_TABLE_DDL, KEYS
 from turnout.operators.counts import count_changelog
 from turnout.operators.messages import (
     encode_records,
@@ -115,7 +115,7 @@ def stream_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scalar_detail(detail_table(spark, path))
 
 
-def catalog_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed_catalog_table(spark: SparkSession, sf_dir: str) -> str:
     path = shared_folder(spark, "catalog")
     table = "turnout_" + path[-32:]
     spark.sql(
@@ -124,7 +124,7 @@ def catalog_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sink = catalog_sink(table, COUNT_TABLE_DDL)
     stream_slices(spark, sf_dir, counting(spark), sink)
-    return catalog_newest_batch(spark, table)
+    return table
 
 
 def throttled_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,12 @@ QUERIES: dict[str, Query] = {
     "stream_changelog": stream_changelog,
     "stream_detail": stream_detail,
     "stream_latest_batch": lambda spark, sf_dir: newest_batch(stream_changelog(spark, sf_dir)),
-    "catalog_latest_batch": catalog_latest_batch,
+    "catalog_changelog": lambda spark, sf_dir: spark.table(
+        streamed_catalog_table(spark, sf_dir)
+    ),
+    "catalog_latest_batch": lambda spark, sf_dir: catalog_newest_batch(
+        spark, streamed_catalog_table(spark, sf_dir)
+    ),
     "throttled_stream_counts": throttled_stream_counts,
     "stream_to_topic_files": stream_to_topic_files,
 }

@@ -1,0 +1,101 @@
+"""The physical plans that large inputs depend on."""
+
+import re
+
+import pytest
+
+import brute
+from checks.feed import messages
+from checks.queries import QUERIES
+from turnout.operators.counts import count_changelog
+from turnout.operators.messages import group_keys
+from turnout.plans.messages import counts_of, detail_of
+from turnout.sources.messages import feed_lines, file_messages
+from turnout.sources.results import detail_table
+from turnout.operators.counts import response_counts
+from turnout.streaming.queries import await_all, start_counts
+from turnout.streaming.sinks import table_sink
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange hashpartitioning", text))
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    messages(spark, SF_DIR).select("value", "timestamp").write.parquet(path)
+    return file_messages(spark, path, streaming=False)
+
+
+def test_detail_needs_no_shuffle_and_parses_once(landed):
+    text = plan(detail_of(landed))
+    assert "Exchange" not in text
+    assert text.count("from_json") == 1
+
+
+def test_counts_shuffle_counted_groups_once(landed):
+    text = plan(counts_of(landed))
+    assert exchanges(text) == 1
+    assert text.index("partial_count") > text.index("Exchange hashpartitioning")
+    # One parser for the keys and one for damaged text, neither repeated per column.
+    assert text.count("from_json") == 2
+
+
+def test_counts_do_not_read_the_time(landed):
+    assert "ReadSchema: struct<value:binary>" in plan(counts_of(landed))
+
+
+def test_counts_of_stored_details_read_seven_columns(spark, tmp_path, landed):
+    path = str(tmp_path / "detail")
+    table_sink(path)(detail_of(landed), 0)
+    stored = detail_table(spark, path)
+    text = plan(response_counts(stored))
+    read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
+    assert read.count(":string") == 7 and "group_topics" not in read
+    assert set(response_counts(stored).collect()) == set(counts_of(landed).collect())
+
+
+def test_changelog_window_runs_over_counted_rows(spark):
+    keys = group_keys(messages(spark, SF_DIR), "batch_id")
+    text = plan(count_changelog(keys))
+    assert exchanges(text) == 2
+    assert text.index("Window") < text.index("HashAggregate")
+
+
+@pytest.mark.parametrize("name", ["top_groups", "yes_no_counts", "display_table", "head_rows"])
+def test_top_rows_are_cut_in_each_task(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in text
+    assert "PartitionFilters: [isnotnull(batch_id" in text
+    assert "Join" not in text and "Exchange hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("name", ["flatten_detail", "response_counts", "response_changelog"])
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    for bad in ("Python", "Cartesian", "NestedLoop"):
+        assert bad not in text
+
+
+def test_stream_counts_before_the_shuffle(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "0.txt").write_text(brute.message() + "\n")
+    query = start_counts(
+        feed_lines(spark, str(feed)),
+        [table_sink(str(tmp_path / "counts"))],
+        str(tmp_path / "cp"),
+        interval=None,
+    )
+    await_all([query])
+    text = query._jsq.explainInternal(False)
+    assert exchanges(text) == 1
+    assert text.index("partial_count") > text.index("Exchange hashpartitioning")
+    assert text.index("StateStoreSave") < text.index("StateStoreRestore")
