@@ -85,9 +85,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Difference of wall-clock times, so independent of the session's time zone.
     millis = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
     fault = F.when(F.col("event_id") % 101 == 100, "{").otherwise("")
-    # No hint: Catalyst broadcasts a side only below its size threshold, and AQE splits the
-    # shuffled partition of a user with very many events.
-    groups = _groups(spark, sf_dir)
+    # Events and customers both grow, so both are shuffled and merged, which may spill; AQE
+    # splits the partition of a customer with very many events.
+    groups = _groups(spark, sf_dir).hint("merge")
     return events.join(groups, F.col("user_id") == F.col("c_custkey")).select(
         F.concat(fault, F.to_json(_record(millis))).cast("binary").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -58,6 +58,12 @@ def _message(names: tuple[str, ...], *more: str, where: str = "true") -> str:
         WHERE {where}"""
 
 
+def _records(names: tuple[str, ...], rows: str) -> str:
+    """Each row as one JSON object."""
+    fields = ", ".join(f"{name} := {name}" for name in names)
+    return f"SELECT CAST(to_json(struct_pack({fields})) AS VARCHAR) AS record FROM ({rows}) r"
+
+
 _BATCH = "least(event_id * 4 // (SELECT count(*) FROM events), 3) AS batch_id"
 
 _COUNTS = f"SELECT {_KEYS}, count(response) AS response_count FROM ({{}}) m GROUP BY {_KEYS}"
@@ -103,17 +109,18 @@ ORACLE = {
         UNION ALL
         SELECT group_name, 'no_response_count' AS series, no_response_count AS y FROM bars""",
     "head_rows": f"SELECT * FROM ({_NEWEST}) n {_ORDER} LIMIT 5",
-    "json_records": f"""
-        SELECT CAST(to_json(struct_pack({
-            ", ".join(f"{name} := {name}" for name in GRID_COLUMNS)
-        })) AS VARCHAR) AS record
-        FROM ({_GRID}) g""",
+    "json_records": _records((*KEYS, "response_count", "batch_id"), _TOP),
+    "encode_records": _records(_DETAIL, _DETAIL_SQL),
     "publish_roundtrip": _DETAIL_SQL,
     "text_feed_counts": _COUNTS_SQL,
     "feed_records": _COUNTS.format(_message(KEYS, where="event_id % 101 <> 100")),
     "stream_changelog": _CHANGELOG,
     "stream_detail": _message(_DETAIL, _BATCH),
     "stream_latest_batch": _NEWEST,
+    "stream_documents": _message(_DETAIL, _BATCH),
+    "stream_two_tables": f"""
+        SELECT c.*, copy FROM ({_CHANGELOG}) c, (VALUES ('first'), ('second')) v(copy)""",
+    "stream_replayed": _CHANGELOG,
     "catalog_changelog": _CHANGELOG,
     "catalog_latest_batch": _NEWEST,
     "throttled_stream_counts": _COUNTS_SQL,

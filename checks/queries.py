@@ -33,7 +33,7 @@ from turnout.session import shared_folder
 from turnout.sources.messages import feed_lines, file_messages
 from turnout.sources.results import catalog_newest_batch, count_table, detail_table
 from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
-from turnout.streaming.sinks import Sink, catalog_sink, table_sink
+from turnout.streaming.sinks import Sink, catalog_sink, fan_out, table_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,7 +93,7 @@ def stream_slices(
     staged, landing, checkpoint = (
         shared_folder(spark, purpose) for purpose in ("staged", "landing", "checkpoint")
     )
-    # Each slice is a range of event ids: many tasks hold rows of one slice only.
+    # With four slices, a task leaves at most four files.
     messages(spark, sf_dir).write.partitionBy("batch_id").parquet(staged)
     for i in range(SLICES):
         part = spark.read.parquet(staged).filter(F.col("batch_id") == i)
@@ -115,6 +115,32 @@ def stream_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scalar_detail(detail_table(spark, path))
 
 
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details as JSON documents, topics nested in them."""
+    path = shared_folder(spark, "documents")
+    stream_slices(spark, sf_dir, start_detail, table_sink(path, "json"))
+    return scalar_detail(detail_table(spark, path, "json"))
+
+
+def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog from each of two tables that one query feeds."""
+    paths = {name: shared_folder(spark, name) for name in ("first", "second")}
+    sink = fan_out(*(table_sink(path) for path in paths.values()))
+    stream_slices(spark, sf_dir, counting(spark), sink)
+    first, second = (
+        count_table(spark, path).withColumn("copy", F.lit(name)) for name, path in paths.items()
+    )
+    return first.unionAll(second)
+
+
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog from a table to which each batch was written twice."""
+    path = shared_folder(spark, "replayed")
+    sink = table_sink(path)
+    stream_slices(spark, sf_dir, counting(spark), fan_out(sink, sink))
+    return count_table(spark, path)
+
+
 def streamed_catalog_table(spark: SparkSession, sf_dir: str) -> str:
     path = shared_folder(spark, "catalog")
     table = "turnout_" + path[-32:]
@@ -182,8 +208,11 @@ QUERIES: dict[str, Query] = {
     "display_table": lambda spark, sf_dir: grid(top_groups(newest(spark, sf_dir))),
     "chart_series": lambda spark, sf_dir: bar_series(yes_no_counts(newest(spark, sf_dir))),
     "head_rows": lambda spark, sf_dir: head_rows(newest(spark, sf_dir)),
-    "json_records": lambda spark, sf_dir: json_records(grid(top_groups(newest(spark, sf_dir)))),
+    "json_records": lambda spark, sf_dir: json_records(top_groups(newest(spark, sf_dir))),
     "refresh_stamp": lambda spark, sf_dir: dashboard(stored_changelog(spark, sf_dir)).rows,
+    "encode_records": lambda spark, sf_dir: encode_records(
+        scalar_detail(detail_of(messages(spark, sf_dir)))
+    ).select(F.col("value").cast("string").alias("record")),
     "publish_roundtrip": lambda spark, sf_dir: scalar_detail(published_again(spark, sf_dir)),
     "text_feed_counts": lambda spark, sf_dir: counts_of(
         feed_lines(spark, landed_lines(spark, sf_dir), streaming=False)
@@ -194,6 +223,9 @@ QUERIES: dict[str, Query] = {
     "stream_changelog": stream_changelog,
     "stream_detail": stream_detail,
     "stream_latest_batch": lambda spark, sf_dir: newest_batch(stream_changelog(spark, sf_dir)),
+    "stream_documents": stream_documents,
+    "stream_two_tables": stream_two_tables,
+    "stream_replayed": stream_replayed,
     "catalog_changelog": lambda spark, sf_dir: spark.table(
         streamed_catalog_table(spark, sf_dir)
     ),

@@ -142,6 +142,21 @@ def test_detail_rows_keep_topics_and_bad_messages(spark, feed, tmp_path):
     assert all(value is None for value in found[0][:-1])
 
 
+def test_even_files(spark, feed, tmp_path):
+    texts = [brute.message(f"g{i}") for i in range(40)]
+    for text in texts:
+        feed.land([text])
+    tables = {False: tmp_path / "as-read", True: tmp_path / "even"}
+    with session_conf(spark, {"spark.sql.files.openCostInBytes": str(128 << 20)}):
+        for even, path in tables.items():
+            sink = table_sink(str(path), even_files=even)
+            await_all([start_detail(feed.stream(), [sink], f"{path}-cp", interval=None)])
+            names = {r.group_name for r in detail_table(spark, str(path)).collect()}
+            assert names == {f"g{i}" for i in range(40)}
+    files = {even: len(list(path.glob("*/*.parquet"))) for even, path in tables.items()}
+    assert files[False] == 40 and files[True] < 10
+
+
 def test_detail_as_json_documents(spark, feed, tmp_path):
     feed.land([brute.message("g", "yes", group_topics=[{"urlkey": "a", "topic_name": "A"}])])
     path = str(tmp_path / "documents")

@@ -17,7 +17,8 @@ def key_struct(text: Column) -> Column:
     """Parse only the key fields and mark text that did not parse cleanly.
 
     A parser with fewer fields skips more of the text, so on malformed text it may keep
-    other fields than the whole-message parser. Pair it with :func:`key_columns`.
+    other fields than the whole-message parser: pair it with :func:`key_columns`. On
+    well-formed text both agree, with Spark's default of partial results for JSON.
     """
     ddl = f"{KEY_MESSAGE_DDL}, {_BAD} STRING"
     return F.from_json(text, ddl, {"columnNameOfCorruptRecord": _BAD})

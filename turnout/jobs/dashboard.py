@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from turnout.jobs.options import add_option
-from turnout.operators.newest import head_rows, json_records, newest_batch
+from turnout.operators.newest import head_rows, json_records, newest_batch, top_groups
 from turnout.plans.dashboard import dashboard_of
 from turnout.session import job_session
 from turnout.sources.results import catalog_newest_batch, count_table, database_newest_batch
@@ -50,7 +50,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     shapes = dashboard_of(batch, args.rows)
     head_rows(batch).show(truncate=False)
     shapes.bars.show(args.rows, truncate=False)
-    rows = json_records(shapes.rows) if args.json else shapes.rows
+    rows = json_records(top_groups(batch, args.rows)) if args.json else shapes.rows
     rows.show(args.rows, truncate=False)
 
 

@@ -35,6 +35,9 @@ def arguments() -> ArgumentParser:
     parser.add_argument("--checkpoint", required=True, help="folder for both checkpoints")
     parser.add_argument("--detail-path", help="folder of the detail table")
     parser.add_argument("--detail-table", help="catalog table for details")
+    parser.add_argument(
+        "--even-files", action="store_true", help="shuffle details into files of even size"
+    )
     parser.add_argument("--document-connector", default="mongodb")
     add_option(parser, "--document-option", "the document writer; turns it on")
     parser.add_argument("--count-path", help="folder of the count table")
@@ -69,9 +72,11 @@ def messages(spark: SparkSession, args: Namespace) -> DataFrame:
 def detail_sinks(args: Namespace) -> list[Sink]:
     sinks = []
     if args.detail_path:
-        sinks.append(table_sink(args.detail_path))
+        sinks.append(table_sink(args.detail_path, even_files=args.even_files))
     if args.detail_table:
-        sinks.append(catalog_sink(args.detail_table, DETAIL_TABLE_DDL))
+        sinks.append(
+            catalog_sink(args.detail_table, DETAIL_TABLE_DDL, even_files=args.even_files)
+        )
     if args.document_option:
         sinks.append(document_sink(args.document_connector, **dict(args.document_option)))
     return sinks

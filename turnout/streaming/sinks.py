@@ -16,12 +16,20 @@ def with_batch_id(batch: DataFrame, batch_id: int) -> DataFrame:
     return batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
-def table_sink(path: str, file_format: str = "parquet") -> Sink:
-    """Append to files, one partition per batch. A batch written again replaces itself."""
+def in_even_files(batch: DataFrame, even_files: bool) -> DataFrame:
+    """Shuffle the batch, if asked to, so that AQE merges and splits its tasks by size."""
+    return batch.hint("rebalance") if even_files else batch
+
+
+def table_sink(path: str, file_format: str = "parquet", *, even_files: bool = False) -> Sink:
+    """Append to files, one partition per batch. A batch written again replaces itself.
+
+    ``even_files`` is for detail rows that come in many small or a few large tasks.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            with_batch_id(batch, batch_id)
+            with_batch_id(in_even_files(batch, even_files), batch_id)
             .write.format(file_format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -32,7 +40,9 @@ def table_sink(path: str, file_format: str = "parquet") -> Sink:
     return write
 
 
-def catalog_sink(table: str, ddl: str, file_format: str = "parquet") -> Sink:
+def catalog_sink(
+    table: str, ddl: str, file_format: str = "parquet", *, even_files: bool = False
+) -> Sink:
     """Like :func:`table_sink`, into a catalog table of the columns ``ddl``.
 
     The catalog knows the partitions, so a reader lists the files of one batch and not
@@ -48,7 +58,7 @@ def catalog_sink(table: str, ddl: str, file_format: str = "parquet") -> Sink:
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
             "SELECT * FROM {batch}",
-            batch=batch,
+            batch=in_even_files(batch, even_files),
         )
 
     return write
