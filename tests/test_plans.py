@@ -3,16 +3,16 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from checks.feed import messages
 from checks.queries import QUERIES
-from turnout.operators.counts import count_changelog
+from turnout.operators.counts import count_changelog, response_counts
 from turnout.operators.messages import group_keys
 from turnout.plans.messages import counts_of, detail_of
 from turnout.sources.messages import feed_lines, file_messages
 from turnout.sources.results import detail_table
-from turnout.operators.counts import response_counts
 from turnout.streaming.queries import await_all, start_counts
 from turnout.streaming.sinks import table_sink
 
@@ -62,8 +62,8 @@ def test_counts_of_stored_details_read_seven_columns(spark, tmp_path, landed):
     assert set(response_counts(stored).collect()) == set(counts_of(landed).collect())
 
 
-def test_changelog_window_runs_over_counted_rows(spark):
-    keys = group_keys(messages(spark, SF_DIR), "batch_id")
+def test_changelog_window_runs_over_counted_rows(landed):
+    keys = group_keys(landed.withColumn("batch_id", F.dayofyear("timestamp")), "batch_id")
     text = plan(count_changelog(keys))
     assert exchanges(text) == 2
     assert text.index("Window") < text.index("HashAggregate")
