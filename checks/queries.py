@@ -90,13 +90,10 @@ def stream_slices(
     Each slice lands as files before the query is started again on the same checkpoint,
     so micro-batch ``i`` reads slice ``i``, whole, on any file system.
     """
-    staged, landing, checkpoint = (
-        shared_folder(spark, purpose) for purpose in ("staged", "landing", "checkpoint")
-    )
-    # With four slices, a task leaves at most four files.
-    messages(spark, sf_dir).write.partitionBy("batch_id").parquet(staged)
+    landing, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
     for i in range(SLICES):
-        part = spark.read.parquet(staged).filter(F.col("batch_id") == i)
+        # The filter moves below the join: a slice of the events is joined and made text.
+        part = messages(spark, sf_dir).filter(F.col("batch_id") == i)
         part.select("value", "timestamp").write.mode("append").parquet(landing)
         raw = file_messages(spark, landing)
         await_all([start(raw, [sink], checkpoint, interval=None)])
