@@ -117,6 +117,7 @@ ORACLE = {
     "stream_changelog": _CHANGELOG,
     "stream_detail": _message(_DETAIL, _BATCH),
     "stream_latest_batch": _NEWEST,
+    "marked_latest_batch": _NEWEST,
     "stream_documents": _message(_DETAIL, _BATCH),
     "stream_two_tables": f"""
         SELECT c.*, copy FROM ({_CHANGELOG}) c, (VALUES ('first'), ('second')) v(copy)""",

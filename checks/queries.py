@@ -31,7 +31,12 @@ from turnout.plans.dashboard import dashboard
 from turnout.plans.messages import counts_of, detail_of
 from turnout.session import shared_folder
 from turnout.sources.messages import feed_lines, file_messages
-from turnout.sources.results import catalog_newest_batch, count_table, detail_table
+from turnout.sources.results import (
+    catalog_newest_batch,
+    count_table,
+    detail_table,
+    marked_newest_batch,
+)
 from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
 from turnout.streaming.sinks import Sink, catalog_sink, fan_out, table_sink
 
@@ -106,6 +111,12 @@ def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_table(spark, path)
 
 
+def marked_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "counts")
+    stream_slices(spark, sf_dir, counting(spark), table_sink(path, mark_newest=True))
+    return marked_newest_batch(spark, path)
+
+
 def stream_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "detail")
     stream_slices(spark, sf_dir, start_detail, table_sink(path))
@@ -222,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "stream_changelog": stream_changelog,
     "stream_detail": stream_detail,
     "stream_latest_batch": lambda spark, sf_dir: newest_batch(stream_changelog(spark, sf_dir)),
+    "marked_latest_batch": marked_latest_batch,
     "stream_documents": stream_documents,
     "stream_two_tables": stream_two_tables,
     "stream_replayed": stream_replayed,

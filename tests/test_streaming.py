@@ -10,7 +10,12 @@ from turnout.functions.schema import COUNT_TABLE_DDL, DETAIL_COLUMNS, KEYS
 from turnout.operators.newest import newest_batch
 from turnout.plans.messages import counts_of, detail_of
 from turnout.sources.messages import feed_lines, file_messages
-from turnout.sources.results import catalog_newest_batch, count_table, detail_table
+from turnout.sources.results import (
+    catalog_newest_batch,
+    count_table,
+    detail_table,
+    marked_newest_batch,
+)
 from turnout.streaming.queries import (
     await_all,
     session_conf,
@@ -222,6 +227,39 @@ def test_catalog_table(spark, feed, tmp_path):
     assert rows(newest) == rows(newest_batch(spark.table(table)))
 
 
+def test_marked_table_reads_one_folder(spark, feed, tmp_path):
+    batches = random_batches(6, batches=11, size=30)
+    path, checkpoint = tmp_path / "counts", str(tmp_path / "cp")
+    for number, texts in enumerate(batches):
+        feed.land(texts)
+        if number in (0, 10):
+            raw = feed.stream(maxFilesPerTrigger=1)
+            sink = table_sink(str(path), mark_newest=True)
+            await_all([start_counts(raw, [sink], checkpoint, interval=None)])
+            newest = marked_newest_batch(spark, str(path))
+            expected = {r for r in brute.changelog(batches) if r[-1] == number}
+            assert rows(newest) == expected
+            assert all(f"batch_id={number}/" in name for name in newest.inputFiles())
+    # The notes are not rows of the table.
+    assert rows(count_table(spark, str(path))) == brute.changelog(batches)
+    assert sorted(p.name for p in (path / "_newest").iterdir()) == ["place=0", "place=1"]
+    # While one note is being replaced, the other one counts.
+    for note in (path / "_newest" / "place=0").iterdir():
+        note.unlink()
+    assert {r[-1] for r in rows(marked_newest_batch(spark, str(path)))} == {9}
+
+
+def test_batch_replayed_after_its_note(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [("a", "us", None, "c", "1", "2", "yes", n, 0) for n in range(9)], COUNT_TABLE_DDL
+    ).drop("batch_id")
+    sink = table_sink(str(tmp_path / "counts"), mark_newest=True)
+    for batch_id in (0, 1, 2, 2):
+        sink(frame, batch_id)
+    newest = marked_newest_batch(spark, str(tmp_path / "counts"))
+    assert newest.count() == 9 and newest.first().batch_id == 2
+
+
 def test_empty_batch_is_not_the_newest(spark, feed, tmp_path):
     feed.land([brute.message("a", "yes")])
     feed.land([])

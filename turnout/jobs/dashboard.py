@@ -6,10 +6,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from turnout.jobs.options import add_option
-from turnout.operators.newest import head_rows, json_records, newest_batch, top_groups
+from turnout.operators.newest import head_rows, json_records, top_groups
 from turnout.plans.dashboard import dashboard_of
 from turnout.session import job_session
-from turnout.sources.results import catalog_newest_batch, count_table, database_newest_batch
+from turnout.sources.results import (
+    catalog_newest_batch,
+    database_newest_batch,
+    marked_newest_batch,
+)
 
 
 def arguments() -> ArgumentParser:
@@ -28,7 +32,7 @@ def arguments() -> ArgumentParser:
 
 def newest(spark: SparkSession, args: Namespace) -> DataFrame:
     if args.count_path:
-        return newest_batch(count_table(spark, args.count_path))
+        return marked_newest_batch(spark, args.count_path)
     if args.count_table:
         return catalog_newest_batch(spark, args.count_table)
     return database_newest_batch(

@@ -85,7 +85,7 @@ def detail_sinks(args: Namespace) -> list[Sink]:
 def count_sinks(args: Namespace) -> list[Sink]:
     sinks = []
     if args.count_path:
-        sinks.append(table_sink(args.count_path))
+        sinks.append(table_sink(args.count_path, mark_newest=True))
     if args.count_table:
         sinks.append(catalog_sink(args.count_table, COUNT_TABLE_DDL))
     if args.database_url:

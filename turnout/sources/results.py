@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 from turnout.functions.schema import COUNT_TABLE_DDL, DETAIL_TABLE_DDL, KEYS
 
 
+# Folder in a file table that notes its newest batch; readers of the table skip it.
+NEWEST = "_newest"
+
+
 def count_table(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """The count table kept as files, one partition per batch."""
     return spark.read.schema(COUNT_TABLE_DDL).format(file_format).load(path)
@@ -16,6 +20,25 @@ def detail_table(spark: SparkSession, path: str, file_format: str = "parquet") -
     return spark.read.schema(DETAIL_TABLE_DDL).format(file_format).load(path)
 
 
+def marked_newest_batch(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+    """The newest batch of a file table whose sink notes it.
+
+    Only the folder of that batch is listed and read, however many batches there are.
+    """
+    notes = (
+        spark.read.schema("id BIGINT")
+        .option("ignoreMissingFiles", True)
+        .json(f"{path}/{NEWEST}/place=*")
+    )
+    newest = notes.agg(F.max("id")).first()[0]
+    return (
+        spark.read.schema(COUNT_TABLE_DDL)
+        .format(file_format)
+        .option("basePath", path)
+        .load(f"{path}/batch_id={newest}")
+    )
+
+
 def catalog_newest_batch(spark: SparkSession, table: str) -> DataFrame:
     """The newest batch of a count table in the catalog.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from turnout.operators.messages import encode_records
+from turnout.sources.results import NEWEST
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -21,10 +22,18 @@ def in_even_files(batch: DataFrame, even_files: bool) -> DataFrame:
     return batch.hint("rebalance") if even_files else batch
 
 
-def table_sink(path: str, file_format: str = "parquet", *, even_files: bool = False) -> Sink:
+def table_sink(
+    path: str,
+    file_format: str = "parquet",
+    *,
+    even_files: bool = False,
+    mark_newest: bool = False,
+) -> Sink:
     """Append to files, one partition per batch. A batch written again replaces itself.
 
     ``even_files`` is for detail rows that come in many small or a few large tasks.
+    ``mark_newest`` notes the id of the batch for ``marked_newest_batch``, after its rows
+    are there. The note goes to one of two places in turn, so a reader always finds one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -36,6 +45,9 @@ def table_sink(path: str, file_format: str = "parquet", *, even_files: bool = Fa
             .partitionBy("batch_id")
             .save(path)
         )
+        if mark_newest:
+            note = batch.sparkSession.range(batch_id, batch_id + 1, 1, 1)
+            note.write.mode("overwrite").json(f"{path}/{NEWEST}/place={batch_id % 2}")
 
     return write
 
