@@ -101,6 +101,7 @@ ORACLE = {
     "max_batch": f"SELECT max(batch_id) AS max_batch_id FROM ({_CHANGELOG}) c",
     "latest_batch": _NEWEST,
     "top_groups": _TOP,
+    "sql_top_groups": _TOP,
     "yes_no_counts": _BARS,
     "display_table": _GRID,
     "chart_series": f"""

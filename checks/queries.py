@@ -36,6 +36,7 @@ from turnout.sources.results import (
     count_table,
     detail_table,
     marked_newest_batch,
+    top_groups_sql,
 )
 from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
 from turnout.streaming.sinks import Sink, catalog_sink, fan_out, table_sink
@@ -214,6 +215,9 @@ QUERIES: dict[str, Query] = {
     "max_batch": lambda spark, sf_dir: max_batch(stored_changelog(spark, sf_dir)),
     "latest_batch": newest,
     "top_groups": lambda spark, sf_dir: top_groups(newest(spark, sf_dir)),
+    "sql_top_groups": lambda spark, sf_dir: spark.sql(
+        top_groups_sql("{counts}"), counts=stored_changelog(spark, sf_dir)
+    ),
     "yes_no_counts": lambda spark, sf_dir: yes_no_counts(newest(spark, sf_dir)),
     "display_table": lambda spark, sf_dir: grid(top_groups(newest(spark, sf_dir))),
     "chart_series": lambda spark, sf_dir: bar_series(yes_no_counts(newest(spark, sf_dir))),

@@ -9,7 +9,13 @@ from turnout.jobs import dashboard, publish, respond
 from turnout.operators.newest import newest_batch
 from turnout.plans.messages import counts_of
 from turnout.sources.messages import topic_messages
-from turnout.sources.results import count_table, database_newest_batch, database_query, detail_table
+from turnout.sources.results import (
+    count_table,
+    database_newest_batch,
+    database_query,
+    detail_table,
+    top_groups_sql,
+)
 from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
 from turnout.streaming.sinks import database_sink, document_sink, table_sink, topic_sink
 
@@ -213,6 +219,8 @@ def test_the_dashboard_on_a_database(spark, tmp_path, capsys):
          "--database-option", f"ddl={COUNT_TABLE_DDL}"]
     )
     assert "only" in capsys.readouterr().out
+    _, options = connectors.stored(tmp_path / "database-read")
+    assert {o["query"] for o in options} == {top_groups_sql("counts")}
 
 
 @pytest.mark.parametrize(

@@ -1,5 +1,6 @@
 import json
 
+import duckdb
 import pytest
 
 from turnout.functions.schema import COUNT_TABLE_DDL, KEYS
@@ -16,7 +17,7 @@ from turnout.operators.newest import (
     yes_no_counts,
 )
 from turnout.plans.dashboard import dashboard
-from turnout.sources.results import count_table
+from turnout.sources.results import count_table, top_groups_sql
 
 
 def row(name, response, count, batch, city="c"):
@@ -118,6 +119,24 @@ def test_dashboard_has_a_refresh_time(table):
     assert with_refresh_time(shapes.bars).columns[-1] == "refreshed_at"
 
 
+def test_sql_for_databases_gives_the_same_rows(table):
+    rows = [
+        row(name, response, count, batch)
+        for batch in (0, 1)
+        for count in (3, 3, 5)
+        for name in ["b", "a", None]
+        for response in ("yes", "no", None)
+    ]
+    frame = table(rows)
+    expected = top_groups(newest_batch(frame).distinct()).collect()
+    columns = ", ".join(frame.columns)
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE TABLE counts ({COUNT_TABLE_DDL.replace('STRING', 'VARCHAR')})")
+        connection.executemany(f"INSERT INTO counts ({columns}) VALUES (?,?,?,?,?,?,?,?,?)", rows)
+        found = connection.execute(top_groups_sql("counts")).fetchall()
+    assert found == [tuple(r) for r in expected] and len(found) == 10
+
+
 def test_newest_batch_reads_one_partition(table, spark, tmp_path):
     rows = [row(f"g{i}", "yes", i, i % 5) for i in range(50)]
     path = str(tmp_path / "counts")

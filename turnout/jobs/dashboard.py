@@ -11,7 +11,7 @@ from turnout.plans.dashboard import dashboard_of
 from turnout.session import job_session
 from turnout.sources.results import (
     catalog_newest_batch,
-    database_newest_batch,
+    database_top_groups,
     marked_newest_batch,
 )
 
@@ -31,14 +31,16 @@ def arguments() -> ArgumentParser:
 
 
 def newest(spark: SparkSession, args: Namespace) -> DataFrame:
+    """The newest batch, of a database its top rows only."""
     if args.count_path:
         return marked_newest_batch(spark, args.count_path)
     if args.count_table:
         return catalog_newest_batch(spark, args.count_table)
-    return database_newest_batch(
+    return database_top_groups(
         spark,
         args.database_url,
         args.database_table,
+        args.rows,
         connector=args.database_connector,
         **dict(args.database_option),
     )

@@ -77,3 +77,23 @@ def database_newest_batch(
         .load()
     )
     return rows.dropDuplicates([*KEYS, "batch_id"])
+
+
+def top_groups_sql(table: str, n: int = 10) -> str:
+    """SQL of ``top_groups`` of the newest batch, for databases that know LIMIT."""
+    order = ", ".join(f"{name} IS NULL, {name}" for name in KEYS)
+    return (
+        f"SELECT * FROM (SELECT DISTINCT * FROM {table} "
+        f"WHERE batch_id = (SELECT max(batch_id) FROM {table})) newest "
+        f"ORDER BY response_count DESC, {order} LIMIT {n}"
+    )
+
+
+def database_top_groups(
+    spark: SparkSession, url: str, table: str, n: int = 10, connector: str = "jdbc", **options: str
+) -> DataFrame:
+    """The ``n`` rows with the largest counts of the newest batch: only these travel.
+
+    Among equal counts the database compares keys by its own collation.
+    """
+    return database_query(spark, url, top_groups_sql(table, n), connector, **options)
