@@ -150,9 +150,8 @@ def test_database_query_is_sent_as_it_is(spark, tmp_path):
     (tmp_path / "database").mkdir()
     (tmp_path / "database" / "x.rows").write_text('{"group_name": "a", "n": 3}\n')
     sql = "SELECT group_name, response_count AS n FROM counts ORDER BY 2 DESC LIMIT 10"
-    frame = database_query(
-        spark, "jdbc:any", sql, connector="test_store", store=store, ddl="group_name STRING, n BIGINT"
-    )
+    ddl = "group_name STRING, n BIGINT"
+    frame = database_query(spark, "jdbc:any", sql, connector="test_store", store=store, ddl=ddl)
     assert [tuple(r) for r in frame.collect()] == [("a", 3)]
     _, options = connectors.stored(tmp_path / "database-read")
     assert options[0]["query"] == sql

@@ -53,9 +53,8 @@ def database_query(
     spark: SparkSession, url: str, sql: str, connector: str = "jdbc", **options: str
 ) -> DataFrame:
     """Rows of a query that the database runs."""
-    return (
-        spark.read.format(connector).option("url", url).option("query", sql).options(**options).load()
-    )
+    reader = spark.read.format(connector).option("url", url).option("query", sql)
+    return reader.options(**options).load()
 
 
 def database_newest_batch(

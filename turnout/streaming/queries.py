@@ -18,8 +18,9 @@ from turnout.streaming.sinks import Sink, fan_out
 # Fixed value: the interval between micro-batches.
 INTERVAL = "20 seconds"
 
-# Count rows per writing task; one task of this size writes a file of some 100 MB.
-ROWS_PER_TASK = 1_000_000
+# Count rows per writing task: as many as one database connection inserts well within an
+# interval. For files it means some megabytes each.
+ROWS_PER_TASK = 100_000
 
 # Totals are kept for every group ever seen, so they stay on disk, not on the JVM heap.
 STATE_CONF = {
