@@ -39,7 +39,7 @@ from turnout.sources.results import (
     top_groups_sql,
 )
 from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
-from turnout.streaming.sinks import Sink, catalog_sink, fan_out, table_sink
+from turnout.streaming.sinks import Sink, catalog_sink, table_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,7 +89,7 @@ def counting(spark: SparkSession) -> Callable[..., StreamingQuery]:
 
 
 def stream_slices(
-    spark: SparkSession, sf_dir: str, start: Callable[..., StreamingQuery], sink: Sink
+    spark: SparkSession, sf_dir: str, start: Callable[..., StreamingQuery], *sinks: Sink
 ) -> None:
     """Run a streaming query over the messages, one slice after the other.
 
@@ -102,7 +102,7 @@ def stream_slices(
         part = messages(spark, sf_dir).filter(F.col("batch_id") == i)
         part.select("value", "timestamp").write.mode("append").parquet(landing)
         raw = file_messages(spark, landing)
-        await_all([start(raw, [sink], checkpoint, interval=None)])
+        await_all([start(raw, sinks, checkpoint, interval=None)])
 
 
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,8 +134,7 @@ def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog from each of two tables that one query feeds."""
     paths = {name: shared_folder(spark, name) for name in ("first", "second")}
-    sink = fan_out(*(table_sink(path) for path in paths.values()))
-    stream_slices(spark, sf_dir, counting(spark), sink)
+    stream_slices(spark, sf_dir, counting(spark), *map(table_sink, paths.values()))
     first, second = (
         count_table(spark, path).withColumn("copy", F.lit(name)) for name, path in paths.items()
     )
@@ -146,7 +145,7 @@ def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog from a table to which each batch was written twice."""
     path = shared_folder(spark, "replayed")
     sink = table_sink(path)
-    stream_slices(spark, sf_dir, counting(spark), fan_out(sink, sink))
+    stream_slices(spark, sf_dir, counting(spark), sink, sink)
     return count_table(spark, path)
 
 
