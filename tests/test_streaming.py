@@ -79,6 +79,20 @@ def test_one_file_per_trigger_gives_the_changelog(spark, feed, tmp_path):
     assert {r[-1] for r in rows(newest_batch(table))} == {3}
 
 
+@pytest.mark.parametrize("cuts", [(), (1, 2, 700)])
+def test_last_totals_do_not_depend_on_the_batches(spark, feed, tmp_path, cuts):
+    texts = [text for batch in random_batches(7, batches=2) for text in batch]
+    for start, end in zip((0, *cuts), (*cuts, len(texts))):
+        feed.land(texts[start:end])
+    path = str(tmp_path / "counts")
+    raw = feed.stream(maxFilesPerTrigger=1)
+    await_all([start_counts(raw, [table_sink(path)], str(tmp_path / "cp"), interval=None)])
+    last = {}
+    for *key, total, batch_id in sorted(rows(count_table(spark, path)), key=lambda r: r[-1]):
+        last[tuple(key)] = total
+    assert last == brute.counts(texts)
+
+
 def test_restart_goes_on_with_totals_and_ids(spark, feed, tmp_path):
     batches = random_batches(2, batches=3)
     path, checkpoint = str(tmp_path / "counts"), str(tmp_path / "cp")
