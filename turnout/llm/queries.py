@@ -11,6 +11,7 @@ from turnout.llm.jaccard_join import jaccard_components
 from turnout.llm.line_dedup import dedup_lines
 from turnout.llm.packing import pack_pieces, token_pieces
 from turnout.llm.quality import fit_quality, score_quality
+from turnout.llm.substring_dedup import dedup_substrings
 from turnout.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -56,6 +63,7 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
     "op8_best_fit": op8_best_fit,
@@ -128,6 +136,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SUBSTRING_DEDUP_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({SPACED_WORDS}, []) AS w FROM documents),
+windows AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS words
+  FROM d, unnest(range(1, len(w) - 33)) AS r(p)
+),
+repeated AS (SELECT words FROM windows GROUP BY words HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT doc_id, p + j AS place
+  FROM windows JOIN repeated USING (words), unnest(range(0, 35)) AS r(j)
+),
+places AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+texts AS (
+  SELECT doc_id, count(c.place) AS n_removed,
+    string_agg(word, ' ' ORDER BY place) FILTER (c.place IS NULL) AS kept
+  FROM places LEFT JOIN covered c USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN texts USING (doc_id)
+"""
+
 JACCARD_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce({LOWER_SPACED_WORDS}, []) AS w FROM documents),
 grams AS (
@@ -154,5 +184,6 @@ FROM reach LEFT JOIN sizes ON sizes.doc_id = x GROUP BY x
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op3_decontaminate": DECONTAMINATE_SQL,
+    "op5_substring_dedup": SUBSTRING_DEDUP_SQL,
     "op6_jaccard_join": JACCARD_SQL,
 }

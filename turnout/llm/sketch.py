@@ -16,7 +16,6 @@ CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 PARTS = 64
 PART = CELLS // PARTS
-COMMON_BITS = 6
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:
@@ -57,8 +56,3 @@ def levels(
     for row in added.collect():
         table[row.part * PART : (row.part + 1) * PART] = np.frombuffer(row.levels, np.uint8)
     return table
-
-
-def common_level(table: np.ndarray) -> int:
-    """The level from which at most one in 2^COMMON_BITS cells counts as common."""
-    return int(np.sort(table)[-(CELLS >> COMMON_BITS)]) + 1
