@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 
 from turnout.llm.decontaminate import contamination
 from turnout.llm.jaccard_join import jaccard_components
+from turnout.llm.licenses import scan_licenses
 from turnout.llm.line_dedup import dedup_lines
+from turnout.llm.neighbours import nearest
 from turnout.llm.packing import pack_pieces, token_pieces
 from turnout.llm.quality import fit_quality, score_quality
 from turnout.llm.substring_dedup import dedup_substrings
 from turnout.llm.tables import table
+from turnout.llm.token_counts import context_limits, encoded_lengths, length_histogram
 
 Query = Callable[[SparkSession, str], DataFrame]
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -23,6 +27,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "n_lines", "n_removed", "doc.text")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = encoded_lengths(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+    return context_limits(length_histogram(lengths))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -36,6 +45,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumns(
+        {name: F.array_join(name, ",") for name in ("base_labels", "labels")}
+    ).withColumn("expressions", F.array_join("expressions", "; "))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_substrings(table(spark, sf_dir, "documents"))
     kept = F.sha2(F.col("kept"), 256).alias("kept_sha256")
@@ -60,13 +76,20 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(token_pieces(table(spark, sf_dir, "documents"), WORD_VOCABULARY))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
+    "op4_licenses": op4_licenses,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
     "op8_best_fit": op8_best_fit,
+    "op9_nearest": op9_nearest,
 }
 # Words of the classes that the operators take, in DuckDB's regular expressions.
 ALNUM_WORDS = (
