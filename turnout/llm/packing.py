@@ -47,7 +47,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_bpe(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
-        for part, texts in text_chunks(batches, "text"):
+        for part, texts in text_chunks(batches, "text", 1 << 20):
             # Spark's text is UTF-8; other bytes, which no text column should hold, are replaced.
             encoded = encoder.encode([t.decode("utf-8", "replace") for t in texts])
             rows, piece, data = [], [], []
