@@ -1,0 +1,29 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+REPO = str(Path(__file__).resolve().parents[2])
+sys.path.insert(0, REPO)
+
+
+@pytest.fixture(autouse=True)
+def importable(spark):
+    """Python workers find the package, wherever pytest was started."""
+    known = os.environ.get("PYTHONPATH")
+    spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [REPO, known]))
+
+
+@pytest.fixture
+def documents(spark):
+    """A frame of (doc_id, text) with columns whose names clash with those of operators."""
+
+    def make(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        return frame.selectExpr(
+            "doc_id", "text", "1 as _row", "'x' as hash", "2 as id", "3 as length", "'y' as lines",
+            "4 as score", "'z' as doc", "5 as covered", "6 as piece",
+        ).coalesce(2)
+
+    return make

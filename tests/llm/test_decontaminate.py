@@ -1,0 +1,73 @@
+import random
+
+from turnout.llm.decontaminate import WuManber, contamination, item_patterns
+from turnout.llm.text import ALNUM, split_words, word_hashes
+
+
+def brute(docs, items):
+    patterns = item_patterns([(None if i is None else str(i), (t or "").encode()) for i, t in items])
+    out = []
+    for doc_id, text in docs:
+        words = tuple((text or "").encode().translate(ALNUM).split())
+        hit, names = set(), set()
+        for pattern, ids in patterns.items():
+            for at in range(len(words) - len(pattern) + 1):
+                if words[at : at + len(pattern)] == pattern:
+                    hit |= set(range(at, at + len(pattern)))
+                    names |= ids
+        named = sorted(n for n in names if n is not None)
+        out.append((doc_id, len(words), named, len(hit), bool(hit) and 20 * len(hit) >= len(words)))
+    return out
+
+
+def cases():
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choice(["a", "b", "É", "d1"]) for _ in range(n))
+    items = [(i, text(rng.choice([3, 5, 13, 14, 20, 40]))) for i in range(25)]
+    items += [(30, items[0][1]), (None, text(15)), (31, None), (32, "..."), (33, items[2][1]), (34, "Zz")]
+    docs = [(i, text(rng.randrange(0, 120))) for i in range(60)]
+    docs += [(100 + i, f"{text(30)}, {t.upper()}! {text(5)}") for i, t in items if i is not None and t]
+    docs += [(None, None), (200, ""), (201, "  ;; "), (202, text(700)), (202, items[3][1]), (203, "zz")]
+    return docs, items
+
+
+def run(spark, documents, docs, items, **options):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination(documents(docs), benchmark, **options)
+    rows = found.select("doc.doc_id", "n_words", "items", "n_hit", "contaminated").collect()
+    return sorted([tuple(r) for r in rows], key=repr), found
+
+
+def test_against_brute_force(spark, documents):
+    docs, items = cases()
+    assert run(spark, documents, docs, items)[0] == sorted(brute(docs, items), key=repr)
+
+
+def test_blocks_of_items_give_the_same(spark, documents):
+    docs, items = cases()
+    whole, frame = run(spark, documents, docs, items)
+    parts, other = run(spark, documents, docs, items, most=100)
+    assert parts == whole
+    merged = lambda f: {(r.doc.doc_id, tuple((x.s, x.e) for x in r.spans)) for r in f.collect()}
+    assert merged(other) == merged(frame)
+
+
+def test_empty_tables(spark, documents):
+    assert run(spark, documents, [], [(1, "a b")])[0] == []
+    assert run(spark, documents, [(1, "a b")], [])[0] == [(1, 2, [], 0, False)]
+
+
+def test_shift_skips_but_misses_nothing():
+    words = [b"w%d" % (i % 7) for i in range(3000)]
+    engine = WuManber([tuple(words[5:18]), tuple(words[9:22])])
+    parts = split_words([b" ".join(words), b"", b" ".join(words[:13])])
+    found = sorted(engine.search(parts, word_hashes(parts)))
+    expected = [
+        (at, i)
+        for at in range(3000 - 12)
+        for i, p in enumerate(engine.patterns)
+        if tuple(words[at : at + 13]) == p
+    ]
+    assert [f for f in found if f[0] < 3000] == expected
+    plain = split_words([b"x%d" % i + b" y" * 5000 for i in range(2)])
+    assert not list(engine.search(plain, word_hashes(plain)))

@@ -1,0 +1,72 @@
+import numpy as np
+
+from turnout.llm.neighbours import nearest, probe_steps
+from turnout.llm.queries import op9_nearest
+from turnout.llm.tables import table
+
+
+def brute(rows, every, k):
+    use = {}
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
+            continue
+        use[i] = min(use.get(i, v), v)
+    ids = np.array(sorted(use))
+    matrix = np.array([use[i] for i in ids], np.float32).astype(float)
+    out = {}
+    for n, i in enumerate(ids):
+        if i % every == 0:
+            score = matrix @ matrix[n]
+            order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:k]
+            out[int(i)] = [(int(ids[j]), float(score[j])) for j in order]
+    return out
+
+
+def got(frame, id="vec_id"):
+    out = {}
+    for r in sorted(frame.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r[id], r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def frame_of(spark, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    return frame.selectExpr("*", "1 as id", "2 as rep", "3 as score", "4 as bucket", "5 as query_id")
+
+
+def test_equal_and_unusable_vectors(spark):
+    rng = np.random.default_rng(1)
+    base = rng.integers(-3, 4, (30, 8)).astype(float).tolist()
+    rows = [(i, base[i % 30]) for i in range(200)] + [(400 + i, base[0]) for i in range(60)]
+    rows += [(500, None), (520, [0.0] * 8), (540, [float("nan")] * 8), (560, [None] + [1.0] * 7)]
+    rows += [(None, base[1]), (20, rows[20][1]), (580, [float("inf")] + [1.0] * 7)]
+    # All buckets are visited: results are exact, ties included.
+    found = got(nearest(frame_of(spark, rows), every=20, k=9, hashes=1, probes=3, width=50.0, tables=1))
+    expected = brute(rows, 20, 9)
+    assert found.keys() == expected.keys()
+    for i, row in expected.items():
+        assert [x for x, _ in found[i]] == [x for x, _ in row]
+        assert np.allclose([s for _, s in found[i]], [s for _, s in row], atol=1e-12)
+
+
+def test_few_candidates_and_empty_table(spark):
+    assert got(nearest(frame_of(spark, [(0, [1.0, 2.0]), (1, [1.0, 0.0])]), width=50.0)) == {0: [(1, 1.0)]}
+    assert nearest(frame_of(spark, [])).count() == 0
+    assert nearest(frame_of(spark, [(0, None)])).count() == 0
+
+
+def test_recall(spark):
+    for sf in ("sf0.01", "sf0.1"):
+        rows = [tuple(r) for r in table(spark, f"/root/testdata/{sf}", "embeddings").select("vec_id", "embedding").collect()]
+        expected, found = brute(rows, 20, 20), got(op9_nearest(spark, f"/root/testdata/{sf}"))
+        share = [len({x for x, _ in found.get(i, [])} & {x for x, _ in row}) / len(row) for i, row in expected.items()]
+        assert np.mean(share) >= 0.9
+
+
+def test_probes_come_in_order_of_cost():
+    within = np.array([0.1, 0.7, 0.45])
+    cost = lambda moves: sum((within[h] if by < 0 else 1 - within[h]) ** 2 for h, by in moves)
+    found = probe_steps(within, 100)
+    assert len(found) == len(set(found)) == 27
+    assert all(cost(a) <= cost(b) + 1e-12 for a, b in zip(found, found[1:]))

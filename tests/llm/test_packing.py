@@ -1,0 +1,78 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from turnout.llm.packing import END_ID, TOKENS, pack, pack_pieces, token_pieces
+from turnout.llm.tokens import NOT_PLAIN, WordBpe, reaches_itself
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    "", " ", "Straße ΣΑΣ İstanbul é’s don't I'LL x²½ \x1c a\x85b\xa0c ſ K Å", "á <|endoftext|> b",
+    "x" * 3000, "日本語 テスト 12345", "a\x00b", "''s't're!?x's9½ªº", "é ǅ ﬁ", "word " * 9000, "\n\tA1b2\r\n",
+]
+
+
+def test_words_encode_as_whole_texts_do():
+    assert reaches_itself(VOCABULARY)
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(1, 0x250)] + list("  ''stre.,-0é") * 20
+    texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(4000)]
+    assert sum(not NOT_PLAIN.search(t) for t in texts) > 500
+    whole = Tokenizer.from_file(VOCABULARY)
+    expected = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    found = [np.frombuffer(x, "<u4").tolist() for x in WordBpe(VOCABULARY).encode(texts)]
+    assert found == expected
+
+
+def test_pieces_and_places(spark, documents):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, None), (3, ODD[3]), (3, ODD[3])]
+    pieces = token_pieces(documents(rows), VOCABULARY, keep_ids=True)
+    got = pack_pieces(pieces, share=5).collect()
+    whole = Tokenizer.from_file(VOCABULARY)
+    expected = []
+    for doc_id, text in rows:
+        ids = whole.encode(text or "", add_special_tokens=False).ids + [END_ID]
+        for k, at in enumerate(range(0, len(ids), TOKENS)):
+            part = ids[at : at + TOKENS]
+            expected.append((doc_id, k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes()), part))
+    fields = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, r.ids) for r in got]
+    assert sorted(fields, key=repr) == sorted(expected, key=repr)
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for row in places.values():
+        at = 0
+        for offset, length in sorted(row):
+            assert offset == at
+            at += length
+        assert at <= TOKENS
+
+
+def test_empty_table(documents):
+    assert pack_pieces(token_pieces(documents([]), VOCABULARY)).count() == 0
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_every_capacity_holds_and_few_sequences_are_used(rule):
+    rng = np.random.default_rng(1)
+    lengths = np.minimum(4096, np.exp(rng.normal(6.3, 1, 6000)).astype(int) + 1)
+    sequence, offset = pack(lengths, rule=rule)
+    assert np.bincount(sequence, lengths).max() <= 4096
+    assert sequence.max() + 1 <= np.ceil(lengths.sum() / 4096) * 1.005 + 1
+    sequence, _ = pack(lengths, documents=3, attention=4096 * 4096, rule=rule)
+    assert np.bincount(sequence).max() <= 3
+    small = np.minimum(lengths, 1000)
+    sequence, _ = pack(small, attention=1_000_000, rule=rule)
+    assert np.bincount(sequence, small.astype(float) ** 2).max() <= 1_000_000
+
+
+def test_best_fit_by_hand_and_impossible_pieces():
+    sequence, offset = pack(np.array([6, 5, 4, 5, 4]), tokens=10)
+    assert sequence.tolist() == [0, 1, 0, 1, 2] and offset.tolist() == [0, 0, 6, 5, 0]
+    with pytest.raises(ValueError):
+        pack(np.array([11]), tokens=10)
+    assert pack(np.array([], int))[0].tolist() == []
