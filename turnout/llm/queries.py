@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout.llm.decontaminate import contamination
+from turnout.llm.html_text import extract_text, fit_extractor
 from turnout.llm.jaccard_join import jaccard_components
 from turnout.llm.licenses import scan_licenses
 from turnout.llm.line_dedup import dedup_lines
@@ -80,6 +81,13 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extract_text(pages.select("page_id", "url", "html"), fit_extractor(pages))
+    length = F.length("text").cast("long").alias("n_chars")
+    return found.select("page.page_id", "page.url", "text", length)
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
@@ -90,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op7_quality": op7_quality,
     "op8_best_fit": op8_best_fit,
     "op9_nearest": op9_nearest,
+    "op10_html_text": op10_html_text,
 }
 # Words of the classes that the operators take, in DuckDB's regular expressions.
 ALNUM_WORDS = (
