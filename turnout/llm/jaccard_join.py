@@ -5,8 +5,9 @@ each class goes on. Two sets that overlap enough share an entry among the first
 entries, in any order; the order here puts common entries last. Each class goes to the lists of
 those entries, and each list proposes pairs:
 
-1. the smallest set of a list with each other one (a star), which finds most links of a group of
-   copies without naming all its pairs;
+1. the set in which the list's entry comes first with each other one (a star). That set has the
+   fewest rarer entries, so in a group of copies it is the one nearest to the others, and finds
+   most links without naming all pairs;
 2. after the first round's links have been made components, the pairs of a list that lie in
    different components. No possible link between two components stays untested.
 
@@ -24,12 +25,12 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnout.llm import sketch
 from turnout.llm.components import components
-from turnout.llm.tables import ROW, TEXT, numbered, stored
+from turnout.llm.tables import ROW, TEXT, bucketed, numbered, stored
 from turnout.llm.text import gram_hashes, sorted_groups, split_words, text_chunks, word_hashes
 
 N = 5
@@ -132,7 +133,8 @@ def class_rows(docs: DataFrame, n: int) -> DataFrame:
 def prefix_entries(
     texts: DataFrame, table: np.ndarray, n: int, percent: int
 ) -> DataFrame:
-    """One row per entry among the first fifth of a set: ``entry``, ``row``, ``size``, ``at``."""
+    """One row per entry among the first fifth of a set: ``entry``, ``row`` and ``place``, which
+    holds the entry's number in the set's order above the size of the set (32 bits each)."""
     held = texts.sparkSession.sparkContext.broadcast(table)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,29 +145,37 @@ def prefix_entries(
             for row, found in zip(rows, shingle_sets(chunk, n)):
                 size = len(found)
                 first = size - -(-percent * size // 100) + 1 if size else 0
-                order = np.lexsort((found, level[sketch.cells(found)]))[:first]
-                out.append((found[order], np.full(len(order), row), np.full(len(order), size), np.arange(len(order))))
+                order = np.lexsort((found, level[sketch.cells(found, len(level))]))[:first]
+                place = (np.arange(len(order)) << 32) + size
+                out.append((found[order].view(np.int64), np.full(len(order), row), place))
             if out:
-                entry, row, size, at = map(np.concatenate, zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(entry.view(np.int64)), pa.array(row), pa.array(size.astype(np.int32)), pa.array(at.astype(np.int32))],
-                    ["entry", "row", "size", "at"],
-                )
+                columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
+                yield pa.RecordBatch.from_arrays(columns, ["entry", "row", "place"])
 
-    return texts.mapInArrow(entries, "entry long, row long, size int, at int")
+    return texts.mapInArrow(entries, "entry long, row long, place long")
 
 
-def possible(small: str, large: str, percent: int):
+def possible(x: str, y: str, percent: int):
     """Whether two sets can overlap enough, by their sizes and the places of the shared entry.
 
     Held for the first entry that two sets share; a later one may fail, which loses no pair.
     """
-    sizes = 100 * F.col(f"{small}.size") >= percent * F.col(f"{large}.size")
-    rest = F.least(
-        F.col(f"{small}.size") - F.col(f"{small}.at"), F.col(f"{large}.size") - F.col(f"{large}.at")
+    size = [F.col(f"{c}.place").bitwiseAND(0xFFFFFFFF) for c in (x, y)]
+    rest = [n - F.shiftright(f"{c}.place", 32) for n, c in zip(size, (x, y))]
+    sizes = 100 * F.least(*size) >= percent * F.greatest(*size)
+    return sizes & ((100 + percent) * F.least(*rest) >= percent * (size[0] + size[1]))
+
+
+def shared_lists(entries: DataFrame) -> DataFrame:
+    """Rows of lists of two or more, each with the ``head`` of its list."""
+    order = Window.partitionBy("entry").orderBy("place", "row")
+    return (
+        entries.withColumn("head", F.first(F.struct("row", "place")).over(order))
+        .withColumn("last", F.lag("row").over(order))
+        .withColumn("next", F.lead("row").over(order))
+        .filter("last is not null or next is not null")
+        .drop("last", "next")
     )
-    total = F.col(f"{small}.size") + F.col(f"{large}.size")
-    return sizes & ((100 + percent) * rest >= percent * total)
 
 
 def search_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -183,7 +193,7 @@ def search_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> Dat
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
         F.col("a").alias(ROW),
     )
-    rows = members.unionAll(queries).join(docs.select(ROW, TEXT), ROW)
+    rows = members.unionAll(queries).hint("merge").join(docs, ROW)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["a", "block"]):
@@ -203,28 +213,26 @@ def search_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> Dat
 
 
 def class_links(reps: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Links (a, b) of classes that connect what all links would connect."""
-    lists = prefix_entries(reps, table, n, percent)
-
-    # Lists of two or more. The least set of a list is known before the list is read again, as
-    # each entry is counted within tasks first.
-    place = F.struct("size", "row", "at")
-    heads = lists.groupBy("entry").agg(F.count("*").alias("n"), F.min(place).alias("head")).filter("n > 1")
-    shared = stored(lists.join(heads.select("entry", "head"), "entry"), "lists")
-    star = shared.select("head", F.struct("size", "row", "at").alias("x")).filter("head.row != x.row")
-    pairs = star.filter(possible("head", "x", percent)).select(F.col("head.row").alias("a"), F.col("x.row").alias("b"))
+    """Links (a, b) of the rows ``reps`` that connect what all links would connect."""
+    shared = stored(shared_lists(prefix_entries(reps, table, n, percent)), "lists")
+    star = shared.select("head", F.struct("row", "place").alias("x")).filter("head.row != x.row")
+    pairs = star.filter(possible("head", "x", percent))
+    pairs = pairs.select(F.col("head.row").alias("a"), F.col("x.row").alias("b"))
     pairs = stored(pairs.distinct(), "pairs")
     links = stored(search_pairs(pairs, reps, n, percent), "found")
 
     of = components(links).select(F.col("a").alias("row"), F.col("b").alias("part"))
-    placed = shared.drop("head").join(of, "row", "left").withColumn("part", F.coalesce("part", "row"))
-    mixed = placed.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q")
-    rest = placed.join(mixed.select("entry"), "entry")
-    left = rest.select("entry", F.struct("size", "row", "at").alias("x"), F.col("part").alias("p"))
-    right = rest.select("entry", F.struct("size", "row", "at").alias("y"), F.col("part").alias("q"))
-    across = left.join(right, "entry").filter("p != q and (x.size, x.row) < (y.size, y.row)")
-    more = across.filter(possible("x", "y", percent)).select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-    more = stored(more.distinct().join(pairs, ["a", "b"], "anti"), "pairs")
+    placed = shared.drop("head").join(of, "row", "left")
+    placed = placed.withColumn("part", F.coalesce("part", "row"))
+    parts = placed.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    rest = placed.join(parts.filter("p != q").select("entry"), "entry")
+    left = rest.select("entry", F.struct("row", "place").alias("x"), F.col("part").alias("p"))
+    right = rest.select("entry", F.struct("row", "place").alias("y"), F.col("part").alias("q"))
+    across = left.join(right, "entry").filter("p != q and x.row < y.row")
+    more = across.filter(possible("x", "y", percent))
+    more = more.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
+    tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = stored(more.distinct().join(tested, ["a", "b"], "anti"), "pairs")
     if more.isEmpty():
         return links
     return links.unionAll(stored(search_pairs(more, reps, n, percent), "found"))
@@ -256,8 +264,12 @@ def jaccard_components(
         .agg(F.min(ROW).alias("rep"), F.min(place).alias("first"))
     )
     classes = stored(classes, "classes")
-    reps = rows.join(classes.select(F.col("rep").alias(ROW)), ROW, "semi").select(ROW, TEXT)
-    links = class_links(reps, sketch.levels(rows.select(ROW, TEXT), grams), n, percent)
+    # The ids grow with the corpus, so the texts are shuffled; later joins find them in buckets.
+    ids = classes.select(F.col("rep").alias(ROW)).hint("merge")
+    reps = bucketed(rows.select(ROW, TEXT).join(ids, ROW, "semi"), ROW)
+    bits = sketch.cell_bits(found.agg(F.sum("size")).first()[0] or 0)
+    table = sketch.levels(rows.select(ROW, TEXT), grams, bits)
+    links = class_links(reps, table, n, percent)
     of = components(links).select(F.col("a").alias("rep"), F.col("b").alias("part"))
     placed = classes.join(of, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
     firsts = placed.groupBy("part").agg(F.min("first").alias("first"))

@@ -1,58 +1,80 @@
-"""How common hashes are in the corpus, in a table of fixed size.
+"""How common hashes are in the corpus, in a table of bounded size.
 
-Hashes fall into CELLS cells, which are counted; a cell's level is twice the logarithm of its
-count. An order by level puts what is common last. Only the choice between otherwise equal plans
-may rest on it: a level is no count of one hash.
+Hashes fall into cells, about one for each PER_CELL of them but at most 2^MOST_BITS, which are
+counted; a cell's level is twice the logarithm of its count. An order by level puts what is common
+last. Only the choice between otherwise equal plans may rest on it: a level is no count of one hash.
 """
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-CELL_BITS = 20
-CELLS = 1 << CELL_BITS
+PER_CELL = 16
+LEAST_BITS, MOST_BITS = 16, 24
 PARTS = 64
-PART = CELLS // PARTS
+#: Hashes that are counted at once.
+BUFFER = 1 << 21
 
 
-def cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+def cell_bits(hashes: int) -> int:
+    """Bits of the table for so many hashes; its levels take 16 MB at most."""
+    return min(MOST_BITS, max(LEAST_BITS, (hashes // PER_CELL).bit_length()))
+
+
+def cells(hashes: np.ndarray, size: int) -> np.ndarray:
+    return (hashes & np.uint64(size - 1)).astype(np.int64)
 
 
 def levels(
-    rows: DataFrame, hashes: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
+    rows: DataFrame,
+    hashes: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
+    bits: int,
 ) -> np.ndarray:
-    """The level of each cell, one byte each: a megabyte, whatever the size of the corpus.
+    """The level of each of 2^bits cells, one byte each.
 
-    Each task counts into a table of its own and hands on its parts, which are added part by part
-    as they come in.
+    Each task counts into a table of its own, up to 255 for a cell, and hands on its parts packed;
+    they are added part by part as they come in.
     """
+    size, part = 1 << bits, (1 << bits) // PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+        total, waiting, many = np.zeros(size, np.uint32), [], 0
         for found in hashes(batches):
-            total += np.bincount(cells(found), minlength=CELLS)
+            waiting.append(cells(found, size))
+            many += len(found)
+            if many >= BUFFER:
+                total += np.bincount(np.concatenate(waiting), minlength=size).astype(np.uint32)
+                waiting, many = [], 0
+        if waiting:
+            total += np.bincount(np.concatenate(waiting), minlength=size).astype(np.uint32)
         if total.any():
-            parts = [p.astype("<i8").tobytes() for p in np.split(total, PARTS)]
-            for k, p in enumerate(parts):
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([p])], ["part", "counts"])
+            small = np.minimum(total, 255).astype(np.uint8)
+            for k, p in enumerate(np.split(small, PARTS)):
+                packed = zlib.compress(p.tobytes(), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k]), pa.array([packed])], ["part", "counts"]
+                )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[k] = sums.get(k, 0) + np.frombuffer(p, "<i8")
-        out = [np.floor(2 * np.log2(s + 1)).astype(np.uint8).tobytes() for s in sums.values()]
+                found = np.frombuffer(zlib.decompress(p), np.uint8)
+                if k in sums:
+                    sums[k] += found
+                else:
+                    sums[k] = found.astype(np.uint64)
+        out = [np.floor(2 * np.log2(s + 1.0)).astype(np.uint8).tobytes() for s in sums.values()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int64()), pa.array(out, pa.binary())], ["part", "levels"]
         )
 
     counted = rows.mapInArrow(count, "part long, counts binary")
     added = counted.repartition(PARTS, "part").mapInArrow(add, "part long, levels binary")
-    table = np.zeros(CELLS, np.uint8)
+    table = np.zeros(size, np.uint8)
     for row in added.collect():
-        table[row.part * PART : (row.part + 1) * PART] = np.frombuffer(row.levels, np.uint8)
+        table[row.part * part : (row.part + 1) * part] = np.frombuffer(row.levels, np.uint8)
     return table

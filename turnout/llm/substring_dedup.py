@@ -52,7 +52,7 @@ def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
 def gram_keys(hashes: np.ndarray, level: np.ndarray, m: int) -> np.ndarray:
     """Sort keys of all m-grams: the level of how common they are, then their hash."""
     grams = gram_hashes(hashes, m)
-    common = level[sketch.cells(grams)].astype(np.uint64)
+    common = level[sketch.cells(grams, len(level))].astype(np.uint64)
     return (common << np.uint64(56)) | (mix(grams) >> np.uint64(8))
 
 
@@ -281,7 +281,9 @@ def dedup_substrings(
         for _, texts in text_chunks(batches, TEXT, CHUNK):
             yield gram_hashes(word_hashes(split_words(texts)), m)
 
-    table = sketch.levels(rows.select(ROW, TEXT), grams)
+    # About six bytes a word.
+    size = rows.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
+    table = sketch.levels(rows.select(ROW, TEXT), grams, sketch.cell_bits(size // 6))
     found = stored(find_super_kmers(rows.select(ROW, TEXT), table, window, m), "runs")
     # A window can occur twice only where its minimiser does, be it in one string.
     twice = found.groupBy("key").agg(F.sum("times").alias("n")).filter("n > 1").select("key")

@@ -18,6 +18,17 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def bucketed(frame: DataFrame, key: str) -> DataFrame:
+    """The frame, written once in buckets of ``key``: joins on it shuffle the other side only."""
+    spark = frame.sparkSession
+    path = shared_folder(spark, "buckets")
+    name = f"buckets_{path[-32:]}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = frame.write.bucketBy(parts, key).sortBy(key)
+    writer.option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def numbered(docs: DataFrame, text: str, **columns: str) -> DataFrame:
     """A row number, the text as bytes, and other columns under names of our own.
 
