@@ -13,8 +13,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: the group it answers for."""
     key = F.col("n_nationkey")
-    urlkey = F.concat(F.lit("topic_"), key)
-    topics = F.array(F.struct(urlkey.alias("urlkey"), F.upper(urlkey).alias("topic_name")))
+
+    def topic(j: int) -> Column:
+        urlkey = F.concat(F.lit("topic_"), key, F.lit(f"_{j}"))
+        name = F.when((key + j) % 3 != 0, F.upper(urlkey))
+        topic = F.struct(urlkey.alias("urlkey"), name.alias("topic_name"))
+        return F.when((key + j) % 5 != 0, topic)
+
+    # None to three topics, some of them NULL, some without a name.
+    topics = F.slice(F.array(topic(1), topic(2), topic(3)), 1, (key % 4).cast("int"))
     group = F.struct(
         F.when(key % 6 != 0, topics).alias("group_topics"),
         F.concat(F.lit("City_"), F.col("c_custkey") % 3).alias("group_city"),
@@ -45,8 +52,8 @@ def _record(millis: Column) -> Column:
     )
     place, meeting = event_id % 97, event_id % 50
     venue = F.struct(
-        F.concat(F.lit("Venue_"), place).alias("venue_name"),
-        (2 * place - 90).alias("lon"),
+        F.concat(F.lit('Vénue "'), place, F.lit('"')).alias("venue_name"),
+        (place / 2 - 22.5).alias("lon"),
         (place - 45).alias("lat"),
         place.alias("venue_id"),
     )
@@ -78,21 +85,26 @@ def _record(millis: Column) -> Column:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value BINARY, timestamp TIMESTAMP, batch_id BIGINT``, one message per event.
 
-    Every 101st message is malformed: an extra brace before its text.
+    Of 101 messages two are malformed: one has an extra brace before its text, one breaks
+    off being JSON within the member.
     """
     events = _table(spark, sf_dir, "events")
     total = events.agg(F.count(F.lit(1))).scalar()
     # Difference of wall-clock times, so independent of the session's time zone.
     millis = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-    fault = F.when(F.col("event_id") % 101 == 100, "{").otherwise("")
+    text = F.to_json(_record(millis))
+    broken = F.replace(text, F.lit('"member_name":"'), F.lit('"member_name":'))
+    kind = F.col("event_id") % 101
+    text = F.when(kind == 100, F.concat(F.lit("{"), text)).when(kind == 50, broken).otherwise(text)
     # Events and customers both grow, so both are shuffled and merged, which may spill; AQE
     # splits the partition of a customer with very many events.
     groups = _groups(spark, sf_dir).hint("merge")
-    return events.join(groups, F.col("user_id") == F.col("c_custkey")).select(
-        F.concat(fault, F.to_json(_record(millis))).cast("binary").alias("value"),
+    rows = events.join(groups, F.col("user_id") == F.col("c_custkey")).withColumn("total", total)
+    return rows.select(
+        text.cast("binary").alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.least(
-            F.floor(F.col("event_id") * SLICES / total).cast("bigint"),
+            F.expr(f"event_id * {SLICES}L div total"),
             F.lit(SLICES - 1).cast("bigint"),
         ).alias("batch_id"),
     )

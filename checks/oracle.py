@@ -3,6 +3,13 @@
 from turnout.functions.schema import DETAIL_COLUMNS, KEYS
 from turnout.operators.newest import GRID_COLUMNS
 
+_TOPICS = """CASE WHEN n_nationkey % 6 <> 0 THEN list_transform(
+    [1, 2, 3][1:n_nationkey % 4],
+    lambda j: CASE WHEN (n_nationkey + j) % 5 <> 0 THEN {
+        'urlkey': 'topic_' || n_nationkey || '_' || j,
+        'topic_name': CASE WHEN (n_nationkey + j) % 3 <> 0
+            THEN 'TOPIC_' || n_nationkey || '_' || j END} END) END"""
+
 _COLUMNS = {
     "visibility": "'public'",
     "response": (
@@ -19,11 +26,11 @@ _COLUMNS = {
     "group_lat": "3 * n_nationkey - 30",
     "group_lon": "7 * n_nationkey - 90",
     "group_id": "n_nationkey",
-    "topic_urlkey": "CASE WHEN n_nationkey % 6 <> 0 THEN 'topic_' || n_nationkey END",
-    "topic_name": "CASE WHEN n_nationkey % 6 <> 0 THEN 'TOPIC_' || n_nationkey END",
+    "group_urlname": "lower(n_name)",
+    "group_topics": f"CAST(to_json({_TOPICS}) AS VARCHAR)",
     "member_name": "c_name",
-    "venue_name": "CASE WHEN event_id % 5 <> 0 THEN 'Venue_' || (event_id % 97) END",
-    "lon": "CASE WHEN event_id % 5 <> 0 THEN 2 * (event_id % 97) - 90 END",
+    "venue_name": "CASE WHEN event_id % 5 <> 0 THEN 'Vénue \"' || (event_id % 97) || '\"' END",
+    "lon": "CASE WHEN event_id % 5 <> 0 THEN (event_id % 97) / 2 - 22.5e0 END",
     "lat": "CASE WHEN event_id % 5 <> 0 THEN (event_id % 97) - 45 END",
     "venue_id": "CASE WHEN event_id % 5 <> 0 THEN event_id % 97 END",
     "member_id": "user_id",
@@ -34,19 +41,17 @@ _COLUMNS = {
     "event_url": "'http://example.org/e/' || (event_id % 50)",
 }
 
-_SCALARS = ("visibility", "response", "guests", "rsvp_id", "mtime")
-_DETAIL = tuple(
-    name
-    for column in DETAIL_COLUMNS
-    for name in (("topic_urlkey", "topic_name") if column == "group_topics" else (column,))
-)
+# What a message that breaks off within the member keeps.
+_BEFORE_MEMBER = {"venue_name", "lon", "lat", "venue_id", "visibility", "response", "guests"}
+_DETAIL = DETAIL_COLUMNS
 _KEYS = ", ".join(KEYS)
 
 
 def _message(names: tuple[str, ...], *more: str, where: str = "true") -> str:
-    """Columns of all messages as text, NULL in malformed ones."""
+    """Columns of all messages as text, NULL where malformed ones lost them."""
     columns = [
-        f"CASE WHEN event_id % 101 <> 100 THEN CAST({_COLUMNS[name]} AS VARCHAR) END AS {name}"
+        f"CASE WHEN event_id % 101 NOT IN ({'100' if name in _BEFORE_MEMBER else '50, 100'}) "
+        f"THEN CAST({_COLUMNS[name]} AS VARCHAR) END AS {name}"
         for name in names
     ]
     return f"""
@@ -60,10 +65,16 @@ def _message(names: tuple[str, ...], *more: str, where: str = "true") -> str:
 
 def _records(names: tuple[str, ...], rows: str) -> str:
     """Each row as one JSON object."""
-    fields = ", ".join(f"{name} := {name}" for name in names)
+    # Topics stay nested in a record.
+    fields = ", ".join(
+        f"{name} := {'topics' if name == 'group_topics' else name}" for name in names
+    )
     return f"SELECT CAST(to_json(struct_pack({fields})) AS VARCHAR) AS record FROM ({rows}) r"
 
 
+_NESTED_TOPICS = f"CASE WHEN event_id % 101 NOT IN (50, 100) THEN {_TOPICS} END AS topics"
+_GOOD = "event_id % 101 NOT IN (50, 100)"
+
 _BATCH = "least(event_id * 4 // (SELECT count(*) FROM events), 3) AS batch_id"
 
 _COUNTS = f"SELECT {_KEYS}, count(response) AS response_count FROM ({{}}) m GROUP BY {_KEYS}"
@@ -93,8 +104,13 @@ _GRID = f"SELECT {', '.join(GRID_COLUMNS)} FROM ({_TOP}) t"
 _DETAIL_SQL = _message(_DETAIL)
 _COUNTS_SQL = _COUNTS.format(_message(KEYS))
 
+_MATCHED = "events JOIN customer ON user_id = c_custkey"
+_REJECTED = f"""
+    SELECT event_id, (SELECT count(*) FROM {_MATCHED}) AS lines
+    FROM {_MATCHED} WHERE NOT ({_GOOD})"""
+
 ORACLE = {
-    "parse_messages": _message(_SCALARS, "ts AS timestamp"),
+    "parse_messages": _message(tuple(_COLUMNS), "ts AS timestamp"),
     "flatten_detail": _DETAIL_SQL,
     "response_counts": _COUNTS_SQL,
     "response_changelog": _CHANGELOG,
@@ -111,10 +127,10 @@ ORACLE = {
         SELECT group_name, 'no_response_count' AS series, no_response_count AS y FROM bars""",
     "head_rows": f"SELECT * FROM ({_NEWEST}) n {_ORDER} LIMIT 5",
     "json_records": _records((*KEYS, "response_count", "batch_id"), _TOP),
-    "encode_records": _records(_DETAIL, _DETAIL_SQL),
+    "encode_records": _records(_DETAIL, _message(_DETAIL, _NESTED_TOPICS)),
     "publish_roundtrip": _DETAIL_SQL,
     "text_feed_counts": _COUNTS_SQL,
-    "feed_records": _COUNTS.format(_message(KEYS, where="event_id % 101 <> 100")),
+    "feed_records": _COUNTS.format(_message(KEYS, where=_GOOD)),
     "stream_changelog": _CHANGELOG,
     "stream_detail": _message(_DETAIL, _BATCH),
     "stream_latest_batch": _NEWEST,
@@ -125,6 +141,10 @@ ORACLE = {
     "stream_replayed": _CHANGELOG,
     "catalog_changelog": _CHANGELOG,
     "catalog_latest_batch": _NEWEST,
-    "throttled_stream_counts": _COUNTS_SQL,
-    "stream_to_topic_files": _COUNTS.format(_message(KEYS, where="event_id % 101 <> 100")),
+    "throttled_stream_counts": f"SELECT *, 3::BIGINT AS batches FROM ({_COUNTS_SQL}) c",
+    "refresh_stamp": f"""
+        SELECT *, strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M:%S') AS refreshed_at
+        FROM ({_GRID}) g""",
+    "rejected_lines": _REJECTED,
+    "stream_to_topic_files": _COUNTS.format(_message(KEYS, where=_GOOD)),
 }

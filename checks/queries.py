@@ -3,9 +3,10 @@
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from checks.feed import SLICES, messages
 from turnout.functions.schema import COUNT_TABLE_DDL, KEYS
@@ -27,11 +28,12 @@ from turnout.operators.newest import (
     top_groups,
     yes_no_counts,
 )
-from turnout.plans.dashboard import dashboard
+from turnout.plans.dashboard import dashboard_of
 from turnout.plans.messages import counts_of, detail_of
 from turnout.session import shared_folder
 from turnout.sources.messages import feed_lines, file_messages
 from turnout.sources.results import (
+    NEWEST,
     catalog_newest_batch,
     count_table,
     detail_table,
@@ -45,35 +47,54 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def scalar_detail(detail: DataFrame) -> DataFrame:
-    """Detail rows with the first topic in place of the array, for comparison by value."""
-    topic = F.get("group_topics", F.lit(0))
+    """Detail rows with the whole array of topics as JSON text, for comparison by value."""
+    return detail.withColumn("group_topics", topics_text("group_topics"))
+
+
+def topics_text(topics: str) -> Column:
+    return F.to_json(topics, {"ignoreNullFields": "false"})
+
+
+def leaves(parsed: DataFrame) -> DataFrame:
+    """Every leaf of the message fields, the topics as JSON text."""
     columns = []
-    for name in detail.columns:
-        if name == "group_topics":
-            columns += [
-                topic["urlkey"].alias("topic_urlkey"),
-                topic["topic_name"].alias("topic_name"),
-            ]
+    for field in parsed.schema:
+        if isinstance(field.dataType, StructType):
+            columns += [f"{field.name}.{name}" for name in field.dataType.names]
         else:
-            columns.append(F.col(name))
-    return detail.select(*columns)
+            columns.append(field.name)
+    flat = parsed.select(*columns).withColumn("group_topics", topics_text("group_topics"))
+    return flat.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_changelog(group_keys(messages(spark, sf_dir), "batch_id"))
 
 
-def stored_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The changelog as a file table, as the stream would have left it."""
+def changelog_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The changelog as a file table with a note of its newest batch, as a stream leaves it."""
     path = shared_folder(spark, "changelog")
     # Rebalance: the rows of a batch go to few files, and a large batch to several tasks.
     rows = changelog(spark, sf_dir).hint("rebalance", "batch_id")
     rows.write.partitionBy("batch_id").parquet(path)
-    return count_table(spark, path)
+    newest = spark.range(SLICES - 1, SLICES, 1, 1)
+    newest.write.json(f"{path}/{NEWEST}/place=0")
+    return path
+
+
+def stored_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_table(spark, changelog_folder(spark, sf_dir))
 
 
 def newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_batch(stored_changelog(spark, sf_dir))
+    """The newest batch by its note: one folder is listed and read."""
+    return marked_newest_batch(spark, changelog_folder(spark, sf_dir))
+
+
+def refresh_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of the dashboard, refreshed when the last event came."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return dashboard_of(newest(spark, sf_dir), time=events.agg(F.max("ts")).scalar()).rows
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> str:
@@ -97,9 +118,11 @@ def stream_slices(
     so micro-batch ``i`` reads slice ``i``, whole, on any file system.
     """
     landing, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
+    staged = shared_folder(spark, "staged")
+    rows = messages(spark, sf_dir).select("batch_id", "value", "timestamp")
+    rows.hint("rebalance", "batch_id").write.partitionBy("batch_id").parquet(staged)
     for i in range(SLICES):
-        # The filter moves below the join: a slice of the events is joined and made text.
-        part = messages(spark, sf_dir).filter(F.col("batch_id") == i)
+        part = spark.read.schema(rows.schema).parquet(staged).filter(F.col("batch_id") == i)
         part.select("value", "timestamp").write.mode("append").parquet(landing)
         raw = file_messages(spark, landing)
         await_all([start(raw, sinks, checkpoint, interval=None)])
@@ -162,33 +185,53 @@ def streamed_catalog_table(spark: SparkSession, sf_dir: str) -> str:
 
 
 def throttled_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last totals of a stream that takes about a quarter of the files per micro-batch."""
-    path = shared_folder(spark, "counts")
-    lines = landed_lines(spark, sf_dir)
-    files = len(feed_lines(spark, lines, streaming=False).inputFiles())
-    raw = feed_lines(spark, lines, maxFilesPerTrigger=max(1, files // 4))
+    """Last totals of a stream over six files that takes two at a time, and the batches made."""
+    path, lines = shared_folder(spark, "counts"), shared_folder(spark, "lines")
+    text = messages(spark, sf_dir).select(F.col("value").cast("string"))
+    text.repartition(6).write.text(lines)
+    raw = feed_lines(spark, lines, maxFilesPerTrigger=2)
     checkpoint = shared_folder(spark, "checkpoint")
     await_all([counting(spark)(raw, [table_sink(path)], checkpoint, interval=None)])
+    table = count_table(spark, path)
+    batches = table.agg(F.count_distinct("batch_id")).scalar()
     # Totals only grow, so the largest one of a group is its last.
-    totals = count_table(spark, path).groupBy(*KEYS)
-    return totals.agg(F.max("response_count").alias("response_count"))
+    totals = table.groupBy(*KEYS).agg(F.max("response_count").alias("response_count"))
+    return totals.withColumn("batches", batches)
 
 
-def stream_to_topic_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the feed published by a stream, with files in place of the topic."""
-    published = shared_folder(spark, "published")
+def publish_feed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Publish the feed by a stream, with files in place of the topic; the folders of what was
+    published and of what was rejected."""
+    published, rejected = shared_folder(spark, "published"), shared_folder(spark, "rejected")
     query = start_publish(
         feed_lines(spark, landed_lines(spark, sf_dir)),
         "",
         "",
+        table_sink(rejected),
         shared_folder(spark, "checkpoint"),
         interval=None,
         connector="parquet",
         path=published,
     )
     await_all([query])
-    raw = file_messages(spark, published, streaming=False)
-    return counts_of(raw)
+    return published, rejected
+
+
+def stream_to_topic_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the messages that a stream published."""
+    published, _ = publish_feed(spark, sf_dir)
+    lines = spark.read.schema("value BINARY").parquet(published)
+    return counts_of(lines.withColumn("timestamp", F.lit(None).cast("timestamp")))
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a publishing stream rejected, by the event of each line, and how many lines it took."""
+    published, rejected = publish_feed(spark, sf_dir)
+    lines = spark.read.schema("value STRING, batch_id BIGINT").parquet(rejected)
+    number = F.regexp_extract("value", '"rsvp_id":([0-9]+)', 1).cast("bigint")
+    good = spark.read.schema("value BINARY").parquet(published)
+    total = good.agg(F.count("*")).scalar() + lines.agg(F.count("*")).scalar()
+    return lines.select(number.alias("event_id"), total.alias("lines"))
 
 
 def published_again(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,21 +241,14 @@ def published_again(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "parse_messages": lambda spark, sf_dir: parse_messages(messages(spark, sf_dir)).select(
-        "visibility",
-        "response",
-        "guests",
-        "rsvp_id",
-        "mtime",
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
-    ),
+    "parse_messages": lambda spark, sf_dir: leaves(parse_messages(messages(spark, sf_dir))),
     "flatten_detail": lambda spark, sf_dir: scalar_detail(
         flatten_detail(parse_messages(messages(spark, sf_dir)))
     ),
     "response_counts": lambda spark, sf_dir: counts_of(messages(spark, sf_dir)),
     "response_changelog": changelog,
     "max_batch": lambda spark, sf_dir: max_batch(stored_changelog(spark, sf_dir)),
-    "latest_batch": newest,
+    "latest_batch": lambda spark, sf_dir: newest_batch(stored_changelog(spark, sf_dir)),
     "top_groups": lambda spark, sf_dir: top_groups(newest(spark, sf_dir)),
     "sql_top_groups": lambda spark, sf_dir: spark.sql(
         top_groups_sql("{counts}"), counts=stored_changelog(spark, sf_dir)
@@ -222,9 +258,9 @@ QUERIES: dict[str, Query] = {
     "chart_series": lambda spark, sf_dir: bar_series(yes_no_counts(newest(spark, sf_dir))),
     "head_rows": lambda spark, sf_dir: head_rows(newest(spark, sf_dir)),
     "json_records": lambda spark, sf_dir: json_records(top_groups(newest(spark, sf_dir))),
-    "refresh_stamp": lambda spark, sf_dir: dashboard(stored_changelog(spark, sf_dir)).rows,
+    "refresh_stamp": refresh_stamp,
     "encode_records": lambda spark, sf_dir: encode_records(
-        scalar_detail(detail_of(messages(spark, sf_dir)))
+        detail_of(messages(spark, sf_dir))
     ).select(F.col("value").cast("string").alias("record")),
     "publish_roundtrip": lambda spark, sf_dir: scalar_detail(published_again(spark, sf_dir)),
     "text_feed_counts": lambda spark, sf_dir: counts_of(
@@ -248,4 +284,5 @@ QUERIES: dict[str, Query] = {
     ),
     "throttled_stream_counts": throttled_stream_counts,
     "stream_to_topic_files": stream_to_topic_files,
+    "rejected_lines": rejected_lines,
 }

@@ -35,6 +35,7 @@ def publish_texts(spark, folder, texts):
         spark.readStream.text(str(path)),
         "server:9092",
         "messages",
+        table_sink(str(folder / "rejected")),
         str(folder / "publish-cp"),
         interval=None,
         connector="test_topic",
@@ -170,6 +171,7 @@ def test_the_three_programs(spark, tmp_path, capsys):
         (feed / f"{number}.txt").write_text("".join(t + "\n" for t in texts))
         publish.main(
             ["--feed", str(feed), "--servers", "s", "--topic", "t", "--connector", "test_topic",
+             "--rejected", str(tmp_path / "rejected"),
              "--checkpoint", str(tmp_path / "publish"), "--topic-option", f"store={topic}",
              "--feed-option", "maxFilesPerTrigger=10", "--once"]
         )
@@ -181,12 +183,15 @@ def test_the_three_programs(spark, tmp_path, capsys):
              "--count-path", str(tmp_path / "counts"), "--count-table", "program_counts",
              "--database-url", "jdbc:any", "--database-table", "counts",
              "--database-connector", "test_store", "--database-option", f"store={database}",
-             "--console", "--state-partitions", "4", "--once"]
+             "--console", "--console-rows", "7", "--state-partitions", "4", "--once"]
         )
     printed = capsys.readouterr().out
     assert "group_topics: array" in printed and "response_count: long" in printed
     assert "Batch: 1" in printed
 
+    rejected = spark.read.parquet(str(tmp_path / "rejected")).collect()
+    assert [(r.value, r.batch_id) for r in rejected] == [("broken", 1)]
+
     newest = {("b", "no", 2), ("c", "waitlist", 1)}
     for table in (count_table(spark, str(tmp_path / "counts")), spark.table("program_counts")):
         found = newest_batch(table).collect()
@@ -219,7 +224,30 @@ def test_the_dashboard_on_a_database(spark, tmp_path, capsys):
     )
     assert "only" in capsys.readouterr().out
     _, options = connectors.stored(tmp_path / "database-read")
-    assert {o["query"] for o in options} == {top_groups_sql("counts")}
+    # One read gives all shapes.
+    assert [o["query"] for o in options] == [top_groups_sql("counts")]
+
+
+def test_the_dashboard_before_the_first_batch(spark, tmp_path, capsys):
+    dashboard.main(["--count-path", str(tmp_path / "none")])
+    spark.sql(f"CREATE TABLE no_counts ({COUNT_TABLE_DDL}) USING parquet PARTITIONED BY (batch_id)")
+    dashboard.main(["--count-table", "no_counts"])
+    printed = capsys.readouterr().out
+    assert printed.count("yes_response_count") == 2 and printed.count("refreshed_at") == 2
+
+
+def test_top_groups_sql_tells_groups_apart_by_bytes(spark):
+    columns = ", ".join(
+        f"{name} {kind} COLLATE UTF8_LCASE" if kind == "STRING" else f"{name} {kind}"
+        for name, kind in (c.split() for c in COUNT_TABLE_DDL.split(", "))
+    )
+    row = ("us", None, "c", "1", "2", "yes")
+    rows = [("Go Club", *row, 5, 1), ("go club", *row, 5, 1), ("Go Club", *row, 5, 1)]
+    frame = spark.createDataFrame([*rows, ("old", *row, 9, 0)], COUNT_TABLE_DDL)
+    spark.sql(f"CREATE TABLE collated ({columns}) USING parquet")
+    frame.write.insertInto("collated")
+    found = spark.sql(top_groups_sql("collated")).collect()
+    assert sorted((r.group_name, r.response_count) for r in found) == [("Go Club", 5), ("go club", 5)]
 
 
 @pytest.mark.parametrize(

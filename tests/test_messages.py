@@ -11,6 +11,7 @@ from turnout.operators.messages import (
     flatten_detail,
     group_keys,
     parse_messages,
+    rejected_lines,
 )
 
 NOTHING = {"response": None, "guests": None, "venue": None, "group": None}
@@ -162,7 +163,19 @@ def test_encoded_record_keeps_nulls(spark):
         ("[1]", True),
         ("5", True),
         ("null", True),
+        (' {"a":"\\u0041\\"] }"} ', True),
+        ('{"a":' + "1" * 1500 + "}", True),
+        ('{"a":-1.' + "5" * 1500 + "e" + "3" * 50 + "}", True),
+        ('{"a":"' + "9" * 1500 + '"}', True),
+        ('{"a":' + "[" * 900 + "]" * 900 + "}", True),
         ('{"a":1', False),
+        ('{"a":1} tail', False),
+        ('{"a":1}{"b":2}', False),
+        ('{"a":1},{"b":2}', False),
+        ('{"a":1}] [2', False),
+        ('{"a":1}}', False),
+        ('1, "y":2', False),
+        ('{"a":0123}', False),
         ("hello", False),
         ("", False),
     ],
@@ -171,3 +184,5 @@ def test_feed_publishes_json_lines_unchanged(spark, line, published):
     lines = spark.createDataFrame([(line,)], "value STRING")
     values = [bytes(row.value).decode() for row in feed_records(lines).collect()]
     assert values == ([line] if published else [])
+    rejected = [row.value for row in rejected_lines(lines).collect()]
+    assert rejected == ([] if published else [line])

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 import brute
 from checks.feed import messages
 from checks.queries import QUERIES
+from turnout.functions.schema import COUNT_TABLE_DDL
 from turnout.operators.counts import count_changelog, response_counts
 from turnout.operators.messages import group_keys
 from turnout.plans.messages import counts_of, detail_of
 from turnout.sources.messages import feed_lines, file_messages
-from turnout.sources.results import detail_table
+from turnout.sources.results import catalog_newest_batch, detail_table
 from turnout.streaming.queries import await_all, start_counts
-from turnout.streaming.sinks import table_sink
+from turnout.streaming.sinks import catalog_sink, table_sink
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -73,10 +74,27 @@ def test_changelog_window_runs_over_counted_rows(landed):
 def test_top_rows_are_cut_in_each_task(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "TakeOrderedAndProject" in text
-    assert "PartitionFilters: [isnotnull(batch_id" in text
+    # The folder of the newest batch is all that is listed.
+    assert re.search(r"Location: InMemoryFileIndex\(1 paths\)\[\S*/batch_id=3\]", text)
     assert "Join" not in text and "Exchange hashpartitioning" not in text
 
 
+def test_newest_batch_by_subquery_prunes_the_scan(spark):
+    text = plan(QUERIES["latest_batch"](spark, SF_DIR))
+    assert "PartitionFilters: [isnotnull(batch_id" in text
+
+
+def test_newest_batch_in_the_catalog_lists_one_partition(spark):
+    frame = spark.createDataFrame([("a", "us", None, "c", "1", "2", "yes", 1)], COUNT_TABLE_DDL.rpartition(",")[0])
+    sink = catalog_sink("hundred_batches", COUNT_TABLE_DDL)
+    for batch_id in range(100):
+        sink(frame, batch_id)
+    spark.sql("REFRESH TABLE hundred_batches")
+    newest = catalog_newest_batch(spark, "hundred_batches")
+    assert re.search(r"Location: InMemoryFileIndex\(1 paths\)\[\S*/batch_id=99\]", plan(newest))
+    assert [r.batch_id for r in newest.collect()] == [99]
+
+
 @pytest.mark.parametrize("name", ["flatten_detail", "response_counts", "response_changelog"])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

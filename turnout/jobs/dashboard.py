@@ -15,6 +15,9 @@ from turnout.sources.results import (
     marked_newest_batch,
 )
 
+# Fixed value: the rows of the first shape.
+HEAD = 5
+
 
 def arguments() -> ArgumentParser:
     parser = ArgumentParser(description=__doc__)
@@ -24,6 +27,9 @@ def arguments() -> ArgumentParser:
     source.add_argument("--database-url")
     parser.add_argument("--database-table")
     parser.add_argument("--database-connector", default="jdbc")
+    parser.add_argument(
+        "--database-exact", default="BINARY", help="the database's type for text by its bytes"
+    )
     add_option(parser, "--database-option", "the database reader")
     parser.add_argument("--rows", type=int, default=10)
     parser.add_argument("--json", action="store_true", help="print the rows as JSON records")
@@ -40,8 +46,9 @@ def newest(spark: SparkSession, args: Namespace) -> DataFrame:
         spark,
         args.database_url,
         args.database_table,
-        args.rows,
+        max(args.rows, HEAD),
         connector=args.database_connector,
+        exact=args.database_exact,
         **dict(args.database_option),
     )
 
@@ -52,12 +59,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.database_url and not args.database_table:
         parser.error("--database-url needs --database-table")
     spark = job_session("dashboard")
-    batch = newest(spark, args)
-    shapes = dashboard_of(batch, args.rows)
-    head_rows(batch).show(truncate=False)
-    shapes.bars.show(args.rows, truncate=False)
-    rows = json_records(top_groups(batch, args.rows)) if args.json else shapes.rows
-    rows.show(args.rows, truncate=False)
+    # One read: all shapes come from the same rows, whatever is written meanwhile.
+    batch = top_groups(newest(spark, args), max(args.rows, HEAD)).persist()
+    try:
+        shapes = dashboard_of(batch, args.rows)
+        head_rows(batch, HEAD).show(truncate=False)
+        shapes.bars.show(args.rows, truncate=False)
+        rows = json_records(top_groups(batch, args.rows)) if args.json else shapes.rows
+        rows.show(args.rows, truncate=False)
+    finally:
+        batch.unpersist()
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from turnout.jobs.options import add_option, add_trigger, interval
 from turnout.session import job_session
 from turnout.sources.messages import feed_lines
 from turnout.streaming.queries import await_all, start_publish
+from turnout.streaming.sinks import table_sink
 
 
 def arguments() -> ArgumentParser:
@@ -15,6 +16,7 @@ def arguments() -> ArgumentParser:
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic", required=True)
     parser.add_argument("--connector", default="kafka")
+    parser.add_argument("--rejected", required=True, help="folder for lines that are not JSON")
     parser.add_argument("--checkpoint", required=True)
     add_option(parser, "--feed-option", "the feed reader, such as maxFilesPerTrigger")
     add_option(parser, "--topic-option", "the topic writer")
@@ -29,6 +31,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         feed_lines(spark, args.feed, **dict(args.feed_option)),
         args.servers,
         args.topic,
+        table_sink(args.rejected),
         args.checkpoint,
         interval=interval(args),
         name="publish",

@@ -46,9 +46,13 @@ def arguments() -> ArgumentParser:
     parser.add_argument("--database-table")
     parser.add_argument("--database-connector", default="jdbc")
     add_option(parser, "--database-option", "the database writer")
+    parser.add_argument("--database-connections", type=int, default=8)
     parser.add_argument("--console", action="store_true", help="also print the counts")
+    parser.add_argument("--console-rows", type=int, default=20)
     parser.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK)
-    parser.add_argument("--state-partitions", type=int)
+    parser.add_argument(
+        "--state-partitions", type=int, help="frozen by the first start; required on a cluster"
+    )
     add_trigger(parser)
     return parser
 
@@ -93,12 +97,13 @@ def count_sinks(args: Namespace) -> list[Sink]:
             database_sink(
                 args.database_url,
                 args.database_table,
+                connections=args.database_connections,
                 connector=args.database_connector,
                 **dict(args.database_option),
             )
         )
     if args.console:
-        sinks.append(console_sink())
+        sinks.append(console_sink(args.console_rows))
     return sinks
 
 
@@ -109,19 +114,24 @@ def main(argv: Sequence[str] | None = None) -> None:
         parser.error("--topic needs --servers")
     if bool(args.database_url) != bool(args.database_table):
         parser.error("--database-url and --database-table go together")
-    spark = job_session("respond")
+    spark = job_session("respond", {"spark.scheduler.mode": "FAIR"})
+    if args.state_partitions is None and not spark.sparkContext.master.startswith("local"):
+        parser.error("on a cluster, choose --state-partitions for the groups to come")
     raw = messages(spark, args)
     for frame in (raw, detail_of(raw), counts_of(raw)):
         frame.printSchema()
 
     queries = []
+    # A pool for each query: a long batch of details does not hold up the counts.
     if sinks := detail_sinks(args):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "detail")
         queries.append(
             start_detail(
                 raw, sinks, f"{args.checkpoint}/detail", interval=interval(args), name="detail"
             )
         )
     if sinks := count_sinks(args):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "counts")
         queries.append(
             start_counts(
                 raw,
@@ -133,6 +143,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 rows_per_task=args.rows_per_task,
             )
         )
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
     if not queries:
         parser.error("name at least one place for details or counts")
     await_all(queries)

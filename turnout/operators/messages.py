@@ -68,3 +68,9 @@ def feed_records(lines: DataFrame) -> DataFrame:
     """Feed lines that are JSON, unchanged, as a binary ``value`` column."""
     text = F.col("value").cast("string")
     return lines.filter(is_json(text)).select(text.cast("binary").alias("value"))
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """The other feed lines, as text; with ``feed_records`` they are all lines."""
+    text = F.col("value").cast("string")
+    return lines.filter(~is_json(text)).select(text.alias("value"))

@@ -76,6 +76,7 @@ def json_records(rows: DataFrame) -> DataFrame:
     return rows.select(record_text().alias("record"))
 
 
-def with_refresh_time(rows: DataFrame) -> DataFrame:
-    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    return rows.withColumn("refreshed_at", stamp)
+def with_refresh_time(rows: DataFrame, time: Column | None = None) -> DataFrame:
+    """The rows and the time of the refresh as text: now, or the given timestamp."""
+    time = F.current_timestamp() if time is None else time
+    return rows.withColumn("refreshed_at", F.date_format(time, "yyyy-MM-dd HH:mm:ss"))

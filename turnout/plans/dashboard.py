@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from turnout.operators.newest import (
     bar_series,
@@ -22,12 +22,13 @@ class Dashboard(NamedTuple):
     series: DataFrame
 
 
-def dashboard_of(newest: DataFrame, n: int = 10) -> Dashboard:
-    """Shapes of one batch that is already picked."""
+def dashboard_of(newest: DataFrame, n: int = 10, time: Column | None = None) -> Dashboard:
+    """Shapes of one batch that is already picked, refreshed now or at ``time``."""
     bars = yes_no_counts(newest, n)
-    return Dashboard(with_refresh_time(grid(top_groups(newest, n))), bars, bar_series(bars))
+    rows = with_refresh_time(grid(top_groups(newest, n)), time)
+    return Dashboard(rows, bars, bar_series(bars))
 
 
-def dashboard(table: DataFrame, n: int = 10) -> Dashboard:
+def dashboard(table: DataFrame, n: int = 10, time: Column | None = None) -> Dashboard:
     """Shapes of the newest batch of the whole count table."""
-    return dashboard_of(newest_batch(table), n)
+    return dashboard_of(newest_batch(table), n, time)

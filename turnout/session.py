@@ -1,6 +1,7 @@
 """The Spark session and the shared folder of a job."""
 
 import tempfile
+from collections.abc import Mapping
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -14,10 +15,10 @@ SESSION_CONF = {
 }
 
 
-def job_session(app_name: str) -> SparkSession:
+def job_session(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSession:
     """The session of a job; master, memory and connector packages come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
-    for name, value in SESSION_CONF.items():
+    for name, value in {**SESSION_CONF, **(conf or {})}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

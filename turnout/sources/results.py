@@ -1,13 +1,15 @@
 """Readers of the count table and of the detail table."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from turnout.functions.schema import COUNT_TABLE_DDL, DETAIL_TABLE_DDL, KEYS
 
-
 # Folder in a file table that notes its newest batch; readers of the table skip it.
 NEWEST = "_newest"
+# Property of a catalog table that holds the id of its newest batch.
+NEWEST_PROPERTY = "turnout.newest_batch"
 
 
 def count_table(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
@@ -20,33 +22,46 @@ def detail_table(spark: SparkSession, path: str, file_format: str = "parquet") -
     return spark.read.schema(DETAIL_TABLE_DDL).format(file_format).load(path)
 
 
+def newest_note(spark: SparkSession, path: str) -> Row | None:
+    """``id`` of the newest batch that a file table notes, and the ``place`` of the note."""
+    try:
+        notes = (
+            spark.read.schema("id BIGINT, place INT")
+            .option("ignoreMissingFiles", True)
+            .json(f"{path}/{NEWEST}")
+        )
+        return notes.filter("id IS NOT NULL").orderBy(F.desc("id")).first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def marked_newest_batch(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """The newest batch of a file table whose sink notes it.
+    """The newest batch of a file table whose sink notes it; no rows before the first batch.
 
     Only the folder of that batch is listed and read, however many batches there are.
     """
-    notes = (
-        spark.read.schema("id BIGINT")
-        .option("ignoreMissingFiles", True)
-        .json(f"{path}/{NEWEST}/place=*")
-    )
-    newest = notes.agg(F.max("id")).first()[0]
+    newest = newest_note(spark, path)
+    if newest is None:
+        return spark.createDataFrame([], COUNT_TABLE_DDL)
     return (
         spark.read.schema(COUNT_TABLE_DDL)
         .format(file_format)
         .option("basePath", path)
-        .load(f"{path}/batch_id={newest}")
+        .load(f"{path}/batch_id={newest.id}")
     )
 
 
 def catalog_newest_batch(spark: SparkSession, table: str) -> DataFrame:
-    """The newest batch of a count table in the catalog.
+    """The newest batch of a count table in the catalog, as its sink noted it.
 
-    Its id comes from the list of partitions, so no file of an older batch is opened.
+    The id is a property of the table, fetched first: compared with a literal, it prunes the
+    partitions before any file is listed. A table without the property has no batch yet.
     """
-    name = F.regexp_extract("partition", "^batch_id=(\\d+)$", 1)
-    newest = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(name.cast("bigint")))
-    return spark.table(table).filter(F.col("batch_id") == newest.scalar())
+    noted = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == NEWEST_PROPERTY).first()
+    rows = spark.table(table)
+    return rows.filter(F.col("batch_id") == (int(noted.value) if noted else F.lit(None)))
 
 
 def database_query(
@@ -78,21 +93,34 @@ def database_newest_batch(
     return rows.dropDuplicates([*KEYS, "batch_id"])
 
 
-def top_groups_sql(table: str, n: int = 10) -> str:
-    """SQL of ``top_groups`` of the newest batch, for databases that know LIMIT."""
+def top_groups_sql(table: str, n: int = 10, exact: str = "BINARY") -> str:
+    """SQL of ``top_groups`` of the newest batch, for databases that know LIMIT.
+
+    A batch that was written again is there twice; equal rows are kept once. Keys are
+    told apart by their bytes, as type ``exact`` of the database, whatever its collation.
+    """
+    keys = ", ".join([*(f"CAST({name} AS {exact})" for name in KEYS), "response_count"])
+    columns = ", ".join((*KEYS, "response_count", "batch_id"))
     order = ", ".join(f"{name} IS NULL, {name}" for name in KEYS)
     return (
-        f"SELECT * FROM (SELECT DISTINCT * FROM {table} "
-        f"WHERE batch_id = (SELECT max(batch_id) FROM {table})) newest "
-        f"ORDER BY response_count DESC, {order} LIMIT {n}"
+        f"SELECT {columns} FROM (SELECT {columns}, "
+        f"ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY response_count) AS copy_number "
+        f"FROM {table} WHERE batch_id = (SELECT max(batch_id) FROM {table})) newest "
+        f"WHERE copy_number = 1 ORDER BY response_count DESC, {order} LIMIT {n}"
     )
 
 
 def database_top_groups(
-    spark: SparkSession, url: str, table: str, n: int = 10, connector: str = "jdbc", **options: str
+    spark: SparkSession,
+    url: str,
+    table: str,
+    n: int = 10,
+    connector: str = "jdbc",
+    exact: str = "BINARY",
+    **options: str,
 ) -> DataFrame:
     """The ``n`` rows with the largest counts of the newest batch: only these travel.
 
-    Among equal counts the database compares keys by its own collation.
+    Groups are told apart by bytes; among equal counts the database orders by its collation.
     """
-    return database_query(spark, url, top_groups_sql(table, n), connector, **options)
+    return database_query(spark, url, top_groups_sql(table, n, exact), connector, **options)

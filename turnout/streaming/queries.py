@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from turnout.operators.messages import feed_records
+from turnout.operators.messages import rejected_lines
 from turnout.plans.messages import counts_of, detail_of
-from turnout.streaming.sinks import Sink, fan_out
+from turnout.streaming.sinks import Sink, fan_out, lines_sink
 
 # Fixed value: the interval between micro-batches.
 INTERVAL = "20 seconds"
@@ -108,11 +108,13 @@ def start_console(
     *,
     mode: str = "update",
     interval: str | None = INTERVAL,
+    rows: int = 20,
     truncate: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
     """Rows of a streaming frame to the console, as a query of its own."""
     writer = frame.writeStream.outputMode(mode).format("console").option("truncate", truncate)
+    writer = writer.option("numRows", rows)
     with session_conf(frame.sparkSession, STATE_CONF):
         return _start(writer, name, checkpoint, interval)
 
@@ -121,6 +123,7 @@ def start_publish(
     lines: DataFrame,
     servers: str,
     topic: str,
+    rejected: Sink,
     checkpoint: str,
     *,
     interval: str | None = INTERVAL,
@@ -128,16 +131,17 @@ def start_publish(
     connector: str = "kafka",
     **options: str,
 ) -> StreamingQuery:
-    """Feed lines to a topic, one message per line, without a key."""
-    writer = (
-        feed_records(lines)
-        .writeStream.outputMode("append")
-        .format(connector)
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .options(**options)
-    )
-    return _start(writer, name, checkpoint, interval)
+    """Feed lines to a topic, one message per line, without a key; at least once.
+
+    Lines that are not JSON go to the sink ``rejected``, with their text: no line is lost.
+    """
+    published = lines_sink(servers, topic, connector, **options)
+
+    def refused(batch: DataFrame, batch_id: int) -> None:
+        rejected(rejected_lines(batch), batch_id)
+
+    writer = lines.select("value").writeStream.outputMode("append")
+    return _start(writer.foreachBatch(fan_out(published, refused)), name, checkpoint, interval)
 
 
 def await_all(queries: Sequence[StreamingQuery]) -> None:

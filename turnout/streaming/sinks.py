@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from turnout.operators.messages import encode_records
-from turnout.sources.results import NEWEST
+from turnout.operators.messages import encode_records, feed_records
+from turnout.sources.results import NEWEST, NEWEST_PROPERTY, newest_note
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -33,7 +33,8 @@ def table_sink(
 
     ``even_files`` is for detail rows that come in many small or a few large tasks.
     ``mark_newest`` notes the id of the batch for ``marked_newest_batch``, after its rows
-    are there. The note goes to one of two places in turn, so a reader always finds one.
+    are there. The note goes to the place of two that does not hold the last one, so a
+    reader always finds one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -46,8 +47,11 @@ def table_sink(
             .save(path)
         )
         if mark_newest:
-            note = batch.sparkSession.range(batch_id, batch_id + 1, 1, 1)
-            note.write.mode("overwrite").json(f"{path}/{NEWEST}/place={batch_id % 2}")
+            spark = batch.sparkSession
+            last = newest_note(spark, path)
+            place = 1 - last.place if last else 0
+            note = spark.range(batch_id, batch_id + 1, 1, 1)
+            note.write.mode("overwrite").json(f"{path}/{NEWEST}/place={place}")
 
     return write
 
@@ -57,8 +61,8 @@ def catalog_sink(
 ) -> Sink:
     """Like :func:`table_sink`, into a catalog table of the columns ``ddl``.
 
-    The catalog knows the partitions, so a reader lists the files of one batch and not
-    of all; use it where batches are many.
+    The id of the batch becomes a property of the table once its rows are there, so a reader
+    finds the files of that batch alone; use it where batches are many.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -72,6 +76,7 @@ def catalog_sink(
             "SELECT * FROM {batch}",
             batch=in_even_files(batch, even_files),
         )
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{NEWEST_PROPERTY}' = '{int(batch_id)}')")
 
     return write
 
@@ -117,6 +122,23 @@ def database_sink(
     return write
 
 
+def lines_sink(servers: str, topic: str, connector: str = "kafka", **options: str) -> Sink:
+    """Publish feed lines that are JSON as they are. At least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            feed_records(batch)
+            .write.format(connector)
+            .mode("append")
+            .option("kafka.bootstrap.servers", servers)
+            .option("topic", topic)
+            .options(**options)
+            .save()
+        )
+
+    return write
+
+
 def topic_sink(servers: str, topic: str, connector: str = "kafka", **options: str) -> Sink:
     """Publish each row as one JSON message without a key. At least once."""
 
