@@ -127,7 +127,7 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = pickle.loads(held.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, QUERY_BLOCK):
+            for at in range(0, batch.num_rows, VECTORS_AT_ONCE):
                 part = batch.slice(at, VECTORS_AT_ONCE)
                 vectors = lengthened(as_matrix(part.column(1)), made.longest, query)
                 step, within = made.keys(vectors)
@@ -203,9 +203,9 @@ def nearest(
     vector: str = "embedding",
     every: int = 20,
     k: int = K,
-    tables: int = 6,
-    hashes: int = 6,
-    probes: int = 32,
+    tables: int = 4,
+    hashes: int = 4,
+    probes: int = 12,
     width: float = 2.0,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, the id and ``score`` of the ``k`` nearest found of each query.
