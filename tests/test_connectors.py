@@ -246,8 +246,8 @@ def test_top_groups_sql_tells_groups_apart_by_bytes(spark):
     frame = spark.createDataFrame([*rows, ("old", *row, 9, 0)], COUNT_TABLE_DDL)
     spark.sql(f"CREATE TABLE collated ({columns}) USING parquet")
     frame.write.insertInto("collated")
-    found = spark.sql(top_groups_sql("collated")).collect()
-    assert sorted((r.group_name, r.response_count) for r in found) == [("Go Club", 5), ("go club", 5)]
+    found = sorted((r.group_name, r[-2]) for r in spark.sql(top_groups_sql("collated")).collect())
+    assert found == [("Go Club", 5), ("go club", 5)]
 
 
 @pytest.mark.parametrize(

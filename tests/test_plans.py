@@ -85,7 +85,8 @@ def test_newest_batch_by_subquery_prunes_the_scan(spark):
 
 
 def test_newest_batch_in_the_catalog_lists_one_partition(spark):
-    frame = spark.createDataFrame([("a", "us", None, "c", "1", "2", "yes", 1)], COUNT_TABLE_DDL.rpartition(",")[0])
+    ddl = COUNT_TABLE_DDL.rpartition(",")[0]
+    frame = spark.createDataFrame([("a", "us", None, "c", "1", "2", "yes", 1)], ddl)
     sink = catalog_sink("hundred_batches", COUNT_TABLE_DDL)
     for batch_id in range(100):
         sink(frame, batch_id)

@@ -76,7 +76,8 @@ def catalog_sink(
             "SELECT * FROM {batch}",
             batch=in_even_files(batch, even_files),
         )
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{NEWEST_PROPERTY}' = '{int(batch_id)}')")
+        note = f"'{NEWEST_PROPERTY}' = '{int(batch_id)}'"
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({note})")
 
     return write
 
