@@ -4,13 +4,31 @@ from html.parser import HTMLParser
 from typing import NamedTuple
 
 #: Elements whose content is no text of the page.
-SILENT = {"script", "style", "title", "noscript", "template", "textarea", "select", "button", "svg", "iframe", "object", "math", "head"}
+SILENT = {
+    "script", "style", "title", "noscript", "template", "textarea", "select", "button", "svg",
+    "iframe", "object", "math", "head",
+}
 #: Elements that have no end tag.
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+VOID = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
+    "track", "wbr",
+}
 #: Elements that stay within a block.
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+INLINE = {
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
+    "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rt", "rp", "s", "samp",
+    "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+}
 #: Elements that end an open element of the same kind.
-ITEMS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
+ITEMS = {
+    "li": {"ul", "ol", "menu"},
+    "dt": {"dl"},
+    "dd": {"dl"},
+    "tr": {"table"},
+    "td": {"tr", "table"},
+    "th": {"tr", "table"},
+    "option": {"select"},
+}
 
 
 class Block(NamedTuple):

@@ -152,16 +152,18 @@ def search_block(docs: DataFrame, block: list) -> DataFrame:
                 spans(covered[a:b]) if found else ([], [])
                 for a, b, found in zip(words.first, words.first[1:], items)
             ]
+            named = [sorted(i for i in x if i is not None) for x in items]
+            carried = [n for n in part.schema.names if n not in (ROW, TEXT)]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(part.schema.get_field_index(ROW)),
                     pa.array(np.diff(words.first).astype(np.int64)),
                     pa.array([m[0] for m in marks], pa.list_(pa.int64())),
                     pa.array([m[1] for m in marks], pa.list_(pa.int64())),
-                    pa.array([sorted(i for i in x if i is not None) for x in items], pa.list_(pa.string())),
-                    *(part.column(i) for i, name in enumerate(part.schema.names) if name not in (ROW, TEXT)),
+                    pa.array(named, pa.list_(pa.string())),
+                    *(part.column(part.schema.get_field_index(n)) for n in carried),
                 ],
-                names=[ROW, "n_words", "starts", "ends", "items", *(n for n in part.schema.names if n not in (ROW, TEXT))],
+                names=[ROW, "n_words", "starts", "ends", "items", *carried],
             )
 
     rest = [f for f in docs.schema.fields if f.name not in (ROW, TEXT)]
@@ -227,15 +229,18 @@ def contamination(
             F.flatten(F.collect_list("items")).alias("more_items"),
         )
         none = F.expr("cast(array() as array<bigint>)")
+        no_items = F.expr("cast(array() as array<string>)")
+        all_items = F.concat("items", F.coalesce("more_items", no_items))
         found = (
             found.join(other, ROW, "left")
             .withColumn("starts", F.concat("starts", F.coalesce("more_starts", none)))
             .withColumn("ends", F.concat("ends", F.coalesce("more_ends", none)))
-            .withColumn("items", F.array_sort(F.array_distinct(F.concat("items", F.coalesce("more_items", F.expr("cast(array() as array<string>)"))))))
+            .withColumn("items", F.array_sort(F.array_distinct(all_items)))
         )
         found = found.withColumn("spans", merged_spans(F.col("starts"), F.col("ends")))
     else:
-        found = found.withColumn("spans", F.arrays_zip(F.col("starts").alias("s"), F.col("ends").alias("e")))
+        edges = F.arrays_zip(F.col("starts").alias("s"), F.col("ends").alias("e"))
+        found = found.withColumn("spans", edges)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
     return found.select("doc", "n_words", "spans", "items", hit.alias("n_hit")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))

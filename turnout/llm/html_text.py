@@ -44,21 +44,26 @@ ARTICLE = {"article", "main"}
 #: Containers of training layouts (fixed values): paths of element and class.
 ARTICLE_PATHS = (
     "body article p|body main article p|body main p|body div.content p|body div.post-body p|"
-    "body div#content div.entry-content p|body div.article-body section p|body div.page div.story p|"
-    "body div.container div.main-content p|body article div.text p|body article section p|"
-    "body div#main div.post p|body article ul li|body main div.article blockquote|body div.wrapper article p|"
+    "body div#content div.entry-content p|body div.article-body section p|"
+    "body div.page div.story p|body div.container div.main-content p|body article div.text p|"
+    "body article section p|body div#main div.post p|body article ul li|"
+    "body main div.article blockquote|body div.wrapper article p|"
     "body table tr td div.article p|body article header h1|body div.main article h2"
 ).split("|")
 OTHER_PATHS = (
-    "nav ul li a|header div|header nav a|header p|div.menu ul li a|div.navbar a|ul.nav li a|ul.menu li a|div.breadcrumb a|"
-    "div#header p|div.header h2|div.site-header p|div.masthead div|footer|footer p|footer div a|div.footer p|div#footer div|div.copyright|"
-    "aside p|aside ul li a|aside h3|div.sidebar p|div.sidebar ul li|div#sidebar div|div.widget ul li a|"
-    "div.ad|div.ads p|div.advert p|div.advertisement span|div.sponsored p|div.promo a|div#ad div|section.ad p|"
-    "div.notice p|div.cookie-notice p|div.cookie-banner p|div#cookie-consent div|div.alert p|div.banner p|p.notice|"
-    "div.popup p|div.modal p|div.newsletter p|div.subscribe p|form p|form label|form div span|div.search form label|"
-    "div.login form p|div.signup p|section.comments p|section#comments div.comment p|div.comments div p|div#comments ul li p|"
-    "ol.comment-list li p|div.comment p|div.comment-body p|article.comment p|div.replies p|div.discussion p|div#respond p|"
-    "div.related ul li a|div.recommended a|div.share a|div.social ul li a|div.tags a|div.pagination a"
+    "nav ul li a|header div|header nav a|header p|div.menu ul li a|div.navbar a|ul.nav li a|"
+    "ul.menu li a|div.breadcrumb a|div#header p|div.header h2|div.site-header p|"
+    "div.masthead div|footer|footer p|footer div a|div.footer p|div#footer div|div.copyright|"
+    "aside p|aside ul li a|aside h3|div.sidebar p|div.sidebar ul li|div#sidebar div|"
+    "div.widget ul li a|div.ad|div.ads p|div.advert p|div.advertisement span|div.sponsored p|"
+    "div.promo a|div#ad div|section.ad p|div.notice p|div.cookie-notice p|div.cookie-banner p|"
+    "div#cookie-consent div|div.alert p|div.banner p|p.notice|div.popup p|div.modal p|"
+    "div.newsletter p|div.subscribe p|form p|form label|form div span|div.search form label|"
+    "div.login form p|div.signup p|section.comments p|section#comments div.comment p|"
+    "div.comments div p|div#comments ul li p|ol.comment-list li p|div.comment p|"
+    "div.comment-body p|article.comment p|div.replies p|div.discussion p|div#respond p|"
+    "div.related ul li a|div.recommended a|div.share a|div.social ul li a|div.tags a|"
+    "div.pagination a"
 ).split("|")
 
 
@@ -146,7 +151,7 @@ def lstm(w: Weights, side: str, x: np.ndarray, live: np.ndarray) -> tuple[np.nda
     out, tape = np.zeros((steps, pages, HIDDEN), np.float32), []
     for t in range(steps):
         g = gates[t] + h @ w[f"{side}_h"]
-        i, f, o = sigmoid(g[:, :HIDDEN]), sigmoid(g[:, HIDDEN : 2 * HIDDEN]), sigmoid(g[:, 2 * HIDDEN : 3 * HIDDEN])
+        i, f, o = np.split(sigmoid(g[:, : 3 * HIDDEN]), 3, axis=1)
         z = np.tanh(g[:, 3 * HIDDEN :])
         new = f * c + i * z
         on = live[t][:, None]
@@ -156,7 +161,9 @@ def lstm(w: Weights, side: str, x: np.ndarray, live: np.ndarray) -> tuple[np.nda
     return out, tape
 
 
-def lstm_gradients(w: Weights, side: str, x: np.ndarray, live: np.ndarray, tape: list, d_out: np.ndarray) -> tuple[np.ndarray, Weights]:
+def lstm_gradients(
+    w: Weights, side: str, x: np.ndarray, live: np.ndarray, tape: list, d_out: np.ndarray
+) -> tuple[np.ndarray, Weights]:
     steps, pages, _ = x.shape
     d_gates = np.zeros((steps, pages, 4 * HIDDEN), np.float32)
     d_h, d_c = np.zeros((2, pages, HIDDEN), np.float32)
@@ -167,15 +174,15 @@ def lstm_gradients(w: Weights, side: str, x: np.ndarray, live: np.ndarray, tape:
         d_h = d_h + d_out[t]
         d_new = np.where(on, d_c + d_h * o * (1 - new * new), 0)
         d_o = np.where(on, d_h * new, 0)
-        g = np.concatenate(
-            [d_new * z * i * (1 - i), d_new * c * f * (1 - f), d_o * o * (1 - o), d_new * i * (1 - z * z)], 1
-        )
+        d_i, d_f = d_new * z * i * (1 - i), d_new * c * f * (1 - f)
+        g = np.concatenate([d_i, d_f, d_o * o * (1 - o), d_new * i * (1 - z * z)], 1)
         d_gates[t] = g
         d_wh += h.T @ g
         d_h = np.where(on, g @ w[f"{side}_h"].T, d_h)
         d_c = np.where(on, d_new * f, d_c)
     flat = d_gates.reshape(-1, 4 * HIDDEN)
-    grads = {f"{side}_h": d_wh, f"{side}_x": x.reshape(-1, INPUT).T @ flat, f"{side}_b": flat.sum(0)}
+    d_wx = x.reshape(-1, INPUT).T @ flat
+    grads = {f"{side}_h": d_wh, f"{side}_x": d_wx, f"{side}_b": flat.sum(0)}
     return d_gates @ w[f"{side}_x"].T, grads
 
 
@@ -215,7 +222,9 @@ def gradients(w: Weights, pages: list[list[Block]], labels: list[list[int]]) ->
     return g | inputs.gradients((dx + dx_back[::-1])[at[0], at[1]])
 
 
-def laid_out(rng: np.random.Generator, article: list[str], other: list[str]) -> tuple[list[Block], list[int]]:
+def laid_out(
+    rng: np.random.Generator, article: list[str], other: list[str]
+) -> tuple[list[Block], list[int]]:
     """Texts set in a layout drawn at random, and which blocks are the article."""
 
     def block(path: str, text: str, within: str = "html body") -> Block:
@@ -245,7 +254,9 @@ def laid_out(rng: np.random.Generator, article: list[str], other: list[str]) ->
     shape = ARTICLE_PATHS[rng.integers(len(ARTICLE_PATHS))].removeprefix("body ")
     wrap = ("html body", "html body div", "html body div .page", "html body div .wrapper div")
     outside = wrap[rng.integers(len(wrap))]
-    inside = " ".join([outside, *shape.split()[:-1]]).replace(".", " .").replace("#", " .").replace("-", " .")
+    inside = " ".join([outside, *shape.split()[:-1]])
+    for sign in ".#-":
+        inside = inside.replace(sign, " .")
     rows = others(int(rng.integers(0, 4)), outside)
     if rng.random() < 0.7:
         rows.append((block(" ".join([*shape.split()[:-1], "h1"]), article[0], outside), 1))

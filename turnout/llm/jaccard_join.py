@@ -108,6 +108,10 @@ def t_occurrence(query: np.ndarray, candidates: list[np.ndarray], percent: int)
     return divide_skip(lists, need)
 
 
+def digest_of(found: np.ndarray) -> bytes:
+    return blake2b(found.tobytes(), digest_size=16).digest()
+
+
 def class_rows(docs: DataFrame, n: int) -> DataFrame:
     """Row, id, size of the set, and a 128-bit digest of it (null: empty set)."""
 
@@ -119,10 +123,7 @@ def class_rows(docs: DataFrame, n: int) -> DataFrame:
                     part.column(part.schema.get_field_index(ROW)),
                     part.column(part.schema.get_field_index("id")),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(
-                        [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-                        pa.binary(),
-                    ),
+                    pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary()),
                 ],
                 [ROW, "id", "size", "digest"],
             )
@@ -202,10 +203,8 @@ def search_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> Dat
             own = rows.index(query)
             found = t_occurrence(sets[own], sets[:own] + sets[own + 1 :], percent)
             others = rows[:own] + rows[own + 1 :]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([query] * len(found), pa.int64()), pa.array([others[i] for i in found], pa.int64())],
-                ["a", "b"],
-            )
+            pairs = [[query] * len(found), [others[i] for i in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], ["a", "b"])
 
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     dealt = rows.repartition(int(parts), "a", "block").sortWithinPartitions("a", "block")
@@ -288,5 +287,6 @@ def jaccard_components(
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` less all but one of each component of near copies."""
     kept = jaccard_components(docs, id, text).filter("is_first").select(ROW)
-    rows = docs.select(F.monotonically_increasing_id().alias(ROW), F.struct(*docs.columns).alias("doc"))
+    number = F.monotonically_increasing_id().alias(ROW)
+    rows = docs.select(number, F.struct(*docs.columns).alias("doc"))
     return rows.join(kept, ROW, "semi").select("doc.*")

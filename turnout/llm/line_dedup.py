@@ -65,7 +65,8 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     the same each time, as a table does (see ``tables.numbered``).
     """
     gone = later_windows(line_windows(docs, id, text))
-    rows = docs.select(F.monotonically_increasing_id().alias(ROW), F.struct(*docs.columns).alias("doc"))
+    number = F.monotonically_increasing_id().alias(ROW)
+    rows = docs.select(number, F.struct(*docs.columns).alias("doc"))
     lines = F.split(F.col(f"doc.`{text}`"), "\n", -1)
     covered = F.array_distinct(
         F.flatten(F.transform("later", lambda i: F.sequence(i, i + WINDOW - 1)))

@@ -106,7 +106,8 @@ def probe_steps(within: np.ndarray, probes: int) -> list[tuple[tuple[int, int],
 
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
     """``id`` and ``v``, one row per id, of vectors that take part."""
-    rows = vectors.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("v"))
+    number, v = F.col(f"`{id}`").cast("long"), F.col(f"`{vector}`")
+    rows = vectors.select(number.alias("id"), v.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("v", lambda x: x != 0)
     taken = rows.filter("id is not null and v is not null").filter(~bad & some)
@@ -224,7 +225,8 @@ def nearest(
     named = stored(
         base.join(reps.withColumnRenamed("id", "rep"), "v").select("id", "rep"), "named"
     )
-    square = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    doubles = F.transform("v", lambda x: x.cast("double"))
+    square = F.aggregate(doubles, F.lit(0.0), lambda total, x: total + x * x)
     longest, size = reps.agg(F.sqrt(F.max(square)), F.max(F.size("v"))).first()
     made = made_tables(size or 1, tables, hashes, width, longest or 1.0)
 
@@ -240,7 +242,8 @@ def nearest(
     blocks = F.coalesce("blocks", F.lit(1).cast("long"))
     own = F.pmod(F.xxhash64("id"), blocks).alias("block")
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
-    stored_rows = held.join(large, place, "left").select(*place, own, F.lit(0).alias("query"), "id", "v")
+    stored_rows = held.join(large, place, "left")
+    stored_rows = stored_rows.select(*place, own, F.lit(0).alias("query"), "id", "v")
     visits = hashed(query_reps, made, True, probes).join(large, place, "left")
     visits = visits.select(*place, every_block, F.lit(1).alias("query"), "id", "v")
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -253,7 +256,8 @@ def nearest(
     best = best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1).drop("n")
     # The least ids of each distinct vector: no others can be among the nearest.
     least = Window.partitionBy("rep").orderBy("id")
-    members = named.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1).drop("n")
+    members = named.withColumn("n", F.row_number().over(least))
+    members = members.filter(F.col("n") <= k + 1).drop("n")
     by_id = Window.partitionBy("query_rep").orderBy(F.desc("score"), "id")
     lists = best.join(members, "rep").withColumn("n", F.row_number().over(by_id))
     lists = lists.filter(F.col("n") <= k + 1).select("query_rep", "id", "score")

@@ -65,7 +65,8 @@ def token_pieces(
                 pa.array([crc32(d) for d in data], pa.int64()),
             ]
             if keep_ids:
-                columns.append(pa.array([np.frombuffer(d, "<u4").astype(np.int32) for d in data], pa.list_(pa.int32())))
+                lists = [np.frombuffer(d, "<u4").astype(np.int32) for d in data]
+                columns.append(pa.array(lists, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids

@@ -93,7 +93,9 @@ def chunk_features(
     )
 
 
-def text_logits(w: Weights, score: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def text_logits(
+    w: Weights, score: np.ndarray, begin: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     count = np.diff(np.append(begin, len(score)))
     low, mean = np.minimum.reduceat(score, begin), np.add.reduceat(score, begin) / count
     return w["out"][0] * low + w["out"][1] * mean + w["out"][2], low, mean
@@ -188,14 +190,17 @@ def train(
     return w
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, rows: int, longest: int) -> tuple[list[bytes], np.ndarray]:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, rows: int, longest: int
+) -> tuple[list[bytes], np.ndarray]:
     """At most ``rows`` labelled texts, both labels alike if there are enough, chosen by a hash.
 
     A text longer than ``longest`` bytes is no training text, but is scored like any other. Each
     id counts once; rows with a null id, text or label are left out.
     """
+    number, marked = F.col(f"`{id}`").cast("long"), F.col(f"`{label}`").cast("int")
     known = (
-        labels.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
+        labels.select(number.alias("id"), marked.alias("label"))
         .filter("id is not null and label in (0, 1)")
         .filter(F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
         .groupBy("id")
@@ -204,14 +209,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id: str, text: str, labe
     order = [F.xxhash64("id"), F.col("id")]
     # A top-k in each task; no more than these ids reach the driver.
     half = [known.filter(F.col("label") == k).orderBy(*order).limit(rows // 2) for k in (0, 1)]
-    ids = [r.id for r in half[0].unionAll(half[1]).select("id").collect()]
-    chosen = known.filter(F.col("id").isin(ids)) if len(ids) < 1 else known.join(
-        docs.sparkSession.createDataFrame([(i,) for i in ids], "id long"), "id", "semi"
-    )
-    texts = docs.select(
-        F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
-    ).filter((F.length("text") <= longest) & F.col("text").isNotNull())
-    found = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    sample = half[0].unionAll(half[1]).select("id", "label").collect()
+    chosen = docs.sparkSession.createDataFrame(sample, "id long, label int")
+    texts = docs.select(number.alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
+    texts = texts.filter((F.length("text") <= longest) & F.col("text").isNotNull())
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id")
+    found = found.agg(F.min("text").alias("text"), F.max("label").alias("label"))
     rows_found = sorted(found.collect(), key=lambda r: r.id)
     return [bytes(r.text) for r in rows_found], np.array([r.label for r in rows_found])
 
@@ -249,7 +252,8 @@ def score_quality(
             p = pa.array(probabilities(w, texts))
             yield pa.RecordBatch.from_arrays([part.column(0), p], ["doc", "score"])
 
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(f"`{text}`").cast("binary").alias("bytes"))
+    whole, read = F.struct(*docs.columns), F.col(f"`{text}`").cast("binary")
+    rows = docs.select(whole.alias("doc"), read.alias("bytes"))
     schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
     scored = rows.mapInArrow(score, schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

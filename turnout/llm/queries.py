@@ -68,6 +68,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = fit_quality(docs, table(spark, sf_dir, "labels"))
     held_out = F.crc32(F.col("doc.doc_id").cast("string").cast("binary")) % 4 == 2
+    held_out = F.coalesce(held_out, F.lit(False))
     return score_quality(docs, weights).select(
         "doc.doc_id", held_out.alias("held_out"), "score", "predicted"
     )
@@ -102,7 +103,8 @@ QUERIES: dict[str, Query] = {
 }
 # Words of the classes that the operators take, in DuckDB's regular expressions.
 ALNUM_WORDS = (
-    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "regexp_extract_all("
+    "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 SPACED_WORDS = "regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')"
@@ -125,7 +127,8 @@ ranked AS (
   FROM windows WHERE third IS NOT NULL
 ),
 covered AS (
-  SELECT DISTINCT doc_id, place + j AS place FROM ranked, (SELECT unnest([0, 1, 2]) AS j) WHERE n > 1
+  SELECT DISTINCT doc_id, place + j AS place
+  FROM ranked, (SELECT unnest([0, 1, 2]) AS j) WHERE n > 1
 ),
 marked AS (
   SELECT l.*, c.place IS NOT NULL AS gone FROM lines l LEFT JOIN covered c USING (doc_id, place)
@@ -155,14 +158,16 @@ windows AS (
 ),
 hits AS (SELECT doc_id, n, p, item_id FROM windows JOIN patterns USING (n, words)),
 places AS (
-  SELECT doc_id, count(DISTINCT p + j) AS n_hit FROM hits, unnest(range(0, n)) AS r(j) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT p + j) AS n_hit
+  FROM hits, unnest(range(0, n)) AS r(j) GROUP BY doc_id
 ),
 items AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items,
     string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
   FROM hits GROUP BY doc_id
 )
-SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)

@@ -53,7 +53,8 @@ def context_limits(histogram: DataFrame) -> DataFrame:
         (F.col("length") * F.col("n_docs")).alias("n_tokens"),
         F.floor(F.col("length") / BLOCK).alias("block"),
     )
-    blocks = rows.groupBy("block").agg(F.sum("n_docs").alias("docs"), F.sum("n_tokens").alias("tokens"))
+    sums = F.sum("n_docs").alias("docs"), F.sum("n_tokens").alias("tokens")
+    blocks = rows.groupBy("block").agg(*sums)
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.desc("block")).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
@@ -72,6 +73,8 @@ def context_limits(histogram: DataFrame) -> DataFrame:
     )
     docs_over = F.coalesce(F.sum("n_docs").over(longer), F.lit(0)) + F.col("docs_after")
     tokens_over = F.coalesce(F.sum("n_tokens").over(longer), F.lit(0)) + F.col("tokens_after")
+    tokens_up_to = F.col("all_tokens") - F.col("tokens_over")
+    tokens_kept = tokens_up_to + F.col("length") * F.col("docs_over")
     return (
         rows.join(blocks, "block")
         .withColumn("docs_over", docs_over)
@@ -82,9 +85,7 @@ def context_limits(histogram: DataFrame) -> DataFrame:
             "n_tokens",
             "docs_over",
             "tokens_over",
-            (F.col("all_tokens") - F.col("tokens_over") + F.col("length") * F.col("docs_over")).alias(
-                "tokens_kept"
-            ),
+            tokens_kept.alias("tokens_kept"),
             ((F.col("all_docs") - F.col("docs_over")) / F.col("all_docs")).alias("quantile"),
         )
     )
