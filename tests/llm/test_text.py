@@ -1,0 +1,78 @@
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from turnout.llm import sketch, text
+from turnout.llm.text import (
+    ALNUM,
+    gram_hashes,
+    sorted_groups,
+    split_words,
+    text_chunks,
+    word_hashes,
+)
+
+BYTES = st.lists(st.binary(max_size=40), max_size=6)
+
+
+@settings(deadline=None)
+@given(BYTES)
+def test_words_are_those_of_split(texts):
+    for table in (None, ALNUM):
+        words = split_words(texts, table)
+        plain = [(t.translate(table) if table else t).split() for t in texts]
+        found = [
+            [words.word(i) for i in range(a, b)] for a, b in zip(words.first, words.first[1:])
+        ]
+        assert found == plain
+
+
+@settings(deadline=None)
+@given(BYTES)
+def test_hashes_depend_on_the_word_alone(texts):
+    words = split_words(texts)
+    hashes = word_hashes(words)
+    known = {}
+    for i, h in enumerate(hashes.tolist()):
+        assert known.setdefault(words.word(i), h) == h
+    assert len(set(known.values())) == len(known)
+    alone = [word_hashes(split_words([w]))[0] for w in known]
+    assert alone == list(known.values())
+
+
+def test_long_words_and_slices(monkeypatch):
+    texts = [b"a" * 5000 + b" b", b"a" * 4999 + b"c b", b"x " * 3000]
+    whole = word_hashes(split_words(texts))
+    monkeypatch.setattr(text, "HASH_BYTES", 64)
+    assert (word_hashes(split_words(texts)) == whole).all()
+    assert whole[0] != whole[2] and whole[1] == whole[3]
+
+
+def test_grams_of_equal_words_are_equal():
+    hashes = np.array([1, 2, 3, 1, 2, 3, 2], np.uint64)
+    grams = gram_hashes(hashes, 3)
+    assert len(grams) == 5 and grams[0] == grams[3] and len(set(grams.tolist())) == 4
+    assert len(gram_hashes(hashes, 8)) == 0
+
+
+def test_chunks_and_groups_of_batches():
+    batch = pa.RecordBatch.from_pydict({"t": [b"a" * 9, None, b"", b"b" * 30, b"c"], "k": [1, 1, 2, 2, 3]})
+    chunks = list(text_chunks(iter([batch, batch.slice(5)]), "t", 10))
+    assert [t for _, part in chunks for t in part] == [b"a" * 9, b"", b"", b"b" * 30, b"c"]
+    assert all(sum(map(len, part)) <= 10 or len(part) == 1 for _, part in chunks)
+    parts = [batch.slice(0, 1), batch.slice(1, 2), batch.slice(3), batch.slice(5)]
+    groups = [g["k"].to_pylist() for g in sorted_groups(iter(parts), ["k"])]
+    assert groups == [[1, 1], [2, 2], [3]]
+
+
+def test_levels_rise_with_counts(spark):
+    frame = spark.range(0, 4000, 1, 4).selectExpr("id % 2 * (id % 500) as id")
+
+    def hashes(batches):
+        for batch in batches:
+            yield batch.column(0).to_numpy().astype(np.uint64)
+
+    table = sketch.levels(frame, hashes, 16)
+    assert len(table) == 1 << 16 and table[0] > table[1] > table[2] == 0
+    assert sketch.cell_bits(0) == 16 and sketch.cell_bits(10**15) == 24
