@@ -7,9 +7,10 @@ minimiser. Equal windows have equal minimisers, so each bucket counts its window
 
 1. Minimisers are counted without their strings; one that occurs once holds no repeated window, so
    its string need not travel.
-2. Equal strings are counted within tasks and merged before they are dealt to buckets: a passage
-   that many texts share arrives as one string and a count. What shares only part of it has
-   rarer grams elsewhere, which come first, so no bucket gathers all texts with the passage.
+2. Equal strings are counted before they are dealt to buckets, for some megabytes of text at a
+   time: a passage that many texts share arrives as few strings with counts. What shares only
+   part of it has rarer grams elsewhere, which come first, so no bucket gathers all texts with
+   the passage.
 3. A bucket sorts the windows of its strings and marks those that occur twice or more.
 4. Marked strings are joined with the places where they stand, and the words go.
 """
@@ -96,7 +97,8 @@ def find_super_kmers(rows: DataFrame, table: np.ndarray, window: int, m: int) ->
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches, TEXT, CHUNK):
             words = split_words(texts)
-            key, times, text, start, count = super_kmers(words, word_hashes(words), held.value, window, m)
+            found = super_kmers(words, word_hashes(words), held.value, window, m)
+            key, times, text, start, count = found
             row = part.column(part.schema.get_field_index(ROW)).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -113,39 +115,51 @@ def find_super_kmers(rows: DataFrame, table: np.ndarray, window: int, m: int) ->
 
 
 def packed_strings(texts: DataFrame, window: int, with_string: bool) -> DataFrame:
-    """The super-k-mers in ``runs`` of each text: key, digest and either the packed string or the
-    place where it stands."""
+    """The super-k-mers in ``runs`` of each text: the places where they stand, by digest, or the
+    packed strings, equal ones of a part of the texts once with their ``times``."""
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, chunk in text_chunks(batches, TEXT, CHUNK):
             rows = part.column(part.schema.get_field_index(ROW)).to_pylist()
             runs = part.column(part.schema.get_field_index("runs")).to_pylist()
-            keys, digests, packed, places = [], [], [], []
+            places, times = [], {}
             for row, text, found in zip(rows, chunk, runs):
                 words = text.split()
                 for run in found:
                     a, key = run["start"], run["key"]
                     string = b" ".join(words[a : a + run["windows"] + window - 1])
-                    keys.append(key)
-                    digests.append(blake2b(string, digest_size=16).digest())
-                    packed.append(string)
-                    places.append((row, a))
+                    if with_string:
+                        times[key, string] = times.get((key, string), 0) + 1
+                    else:
+                        places.append((digest_of(string), row, a))
             if with_string:
-                columns = [pa.array(keys, pa.int64()), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())]
-            else:
+                strings = [string for _, string in times]
                 columns = [
-                    pa.array(digests, pa.binary()),
-                    pa.array([p[0] for p in places], pa.int64()),
-                    pa.array([p[1] for p in places], pa.int32()),
+                    pa.array([key for key, _ in times], pa.int64()),
+                    pa.array([digest_of(string) for string in strings], pa.binary()),
+                    pa.array(strings, pa.binary()),
+                    pa.array(list(times.values()), pa.int64()),
                 ]
+            else:
+                kinds = [pa.binary(), pa.int64(), pa.int32()]
+                columns = [pa.array([p[i] for p in places], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["key", "digest", "packed"] if with_string else ["digest", ROW, "start"]
-    ddl = "key long, digest binary, packed binary" if with_string else f"digest binary, {ROW} long, start int"
-    return texts.mapInArrow(strings, ddl)
+    if with_string:
+        names = ["key", "digest", "packed", "times"]
+        ddl = "key long, digest binary, packed binary, times long"
+    else:
+        names, ddl = ["digest", ROW, "start"], f"digest binary, {ROW} long, start int"
+    return texts.mapInArrow(strings_of, ddl)
+
 
+def digest_of(string: bytes) -> bytes:
+    return blake2b(string, digest_size=16).digest()
 
-def repeated_windows(strings: list[bytes], times: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
+
+def repeated_windows(
+    strings: list[bytes], times: np.ndarray, window: int
+) -> list[list[tuple[int, int]]]:
     """For each string, the runs (first, last + 1) of its windows that occur twice or more in all,
     where string i occurs ``times[i]`` times.
 
@@ -209,7 +223,10 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.T
 
 def marked_strings(strings: DataFrame, window: int) -> DataFrame:
     """Digest and runs of repeated windows of the strings that have any."""
-    merged = strings.groupBy("key", "digest", "packed").agg(F.count("*").alias("times"))
+    parts = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt by key, so that neither the grouping nor the sort shuffles them again.
+    dealt = strings.repartition(parts, "key")
+    merged = dealt.groupBy("key", "digest", "packed").agg(F.sum("times").alias("times"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket in whole_buckets(batches, CHUNK):
@@ -227,10 +244,8 @@ def marked_strings(strings: DataFrame, window: int) -> DataFrame:
                 ["digest", "first", "last"],
             )
 
-    parts = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = merged.repartition(parts, "key").sortWithinPartitions("key")
-    dealt = dealt.select("key", "digest", "packed", "times")
-    return dealt.mapInArrow(mark, "digest binary, first array<int>, last array<int>")
+    buckets = merged.sortWithinPartitions("key").select("key", "digest", "packed", "times")
+    return buckets.mapInArrow(mark, "digest binary, first array<int>, last array<int>")
 
 
 def remove_words(texts: DataFrame, window: int) -> DataFrame:
@@ -293,5 +308,9 @@ def dedup_substrings(
     texts = rows.select(ROW, TEXT).join(runs, ROW)
     marked = marked_strings(packed_strings(texts, window, True), window)
     places = packed_strings(texts, window, False).join(marked, "digest")
-    spans = places.groupBy(ROW).agg(F.collect_list(F.struct("start", "first", "last")).alias("spans"))
-    return remove_words(rows.join(spans, ROW, "left"), window).withColumnRenamed("id", id)
+    span = F.struct("start", "first", "last")
+    spans = places.groupBy(ROW).agg(F.collect_list(span).alias("spans"))
+    # Ids and spans meet first, so that the texts are the same as above and shuffled once.
+    marks = rows.select(ROW, "id").join(spans, ROW, "left")
+    marked_texts = rows.select(ROW, TEXT).join(marks, ROW)
+    return remove_words(marked_texts, window).withColumnRenamed("id", id)
