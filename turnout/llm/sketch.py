@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame
 PER_CELL = 16
 LEAST_BITS, MOST_BITS = 16, 24
 PARTS = 64
-#: Hashes that are counted at once.
-BUFFER = 1 << 21
 
 
 def cell_bits(hashes: int) -> int:
@@ -41,15 +39,10 @@ def levels(
     size, part = 1 << bits, (1 << bits) // PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, waiting, many = np.zeros(size, np.uint32), [], 0
+        total = np.zeros(size, np.uint32)
         for found in hashes(batches):
-            waiting.append(cells(found, size))
-            many += len(found)
-            if many >= BUFFER:
-                total += np.bincount(np.concatenate(waiting), minlength=size).astype(np.uint32)
-                waiting, many = [], 0
-        if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=size).astype(np.uint32)
+            cell, times = np.unique(cells(found, size), return_counts=True)
+            total[cell] += times.astype(np.uint32)
         if total.any():
             small = np.minimum(total, 255).astype(np.uint8)
             for k, p in enumerate(np.split(small, PARTS)):

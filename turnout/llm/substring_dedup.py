@@ -38,7 +38,7 @@ WINDOW = 35
 M = 4
 #: Windows of one packed string.
 LONGEST = 1024
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:

@@ -20,7 +20,7 @@ ALNUM = bytes(
 #: Bytes that separate words of the class [^\x20\x09-\x0D]+.
 SPACES = b" \t\n\r\x0b\x0c"
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 HASH_BYTES = 1 << 20
 LONG_WORD = 1 << 12
 

@@ -3,7 +3,7 @@
 import base64
 import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -14,7 +14,7 @@ import regex
 NOT_PLAIN = re.compile("[^\t-\r -\u024f\u2010-\u2027]")
 #: How the word vocabulary splits texts (fixed by its file).
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 LONGEST_CACHED = 64
 JOINED_WORDS = 1 << 13
 #: Ends a piece. Plain texts do not hold it.
@@ -50,12 +50,12 @@ class WordBpe:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        added = self.whole.get_added_tokens_decoder()
-        self.special = [t.content for t in added.values()]
-        tokens = {t: i for t, i in self.whole.get_vocab().items() if i not in added}
+        with open(path, encoding="utf-8") as file:
+            known = json.load(file)
+        added = {t["content"] for t in known["added_tokens"]}
+        self.path, self.special = path, sorted(added)
+        tokens = {t: i for t, i in known["model"]["vocab"].items() if t not in added}
         self.fast = tiktoken.Encoding(
             "words",
             pat_str=f"[^{END}]+{END}",
@@ -99,6 +99,13 @@ class WordBpe:
         data = ids.astype("<u4").tobytes()
         return [data[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
 
+    @cached_property
+    def whole(self):
+        """The library's own encoder, made when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def library(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
