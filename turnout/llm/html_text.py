@@ -329,16 +329,20 @@ def article_blocks(w: Weights, pages: list[list[Block]]) -> list[np.ndarray]:
 def fit_extractor(
     pages: DataFrame, html: str = "html", rows: int = 400, longest: int = 1 << 16
 ) -> Weights:
-    """Weights learnt from at most ``rows`` pages of at most ``longest`` bytes, chosen by a hash of
-    their text: the bound on what the driver holds, 26 MB at most, whatever the table's size."""
+    """Weights learnt from at most ``rows`` pages of at most ``longest`` bytes, those with the
+    least hashes: the bound on what the driver holds, 26 MB at most, whatever the table's size.
+
+    The hashes are picked first, and only these pages are fetched, equal ones once.
+    """
     text = F.col(f"`{html}`")
-    sample = (
-        pages.select(text.alias("html"))
-        .filter(text.isNotNull() & (F.octet_length(text) <= longest))
-        .orderBy(F.xxhash64("html"), "html")
-        .limit(rows)
-    )
-    return train(sorted({r.html for r in sample.collect()}))
+    short = pages.select(text.alias("html"), F.xxhash64(text).alias("hash"))
+    short = short.filter(F.col("html").isNotNull() & (F.octet_length("html") <= longest))
+    hashes = short.select("hash").distinct().orderBy("hash").limit(rows)
+    least = hashes.agg(F.max("hash")).first()[0]
+    if least is None:
+        return train([])
+    sample = short.filter(F.col("hash") <= least).groupBy("hash").agg(F.min("html").alias("html"))
+    return train(sorted(r.html for r in sample.collect()))
 
 
 def extract_text(
