@@ -14,13 +14,14 @@ import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.tables import ROW, TEXT, numbered
+from turnout.llm.tables import ROW, TEXT, row_numbers
 from turnout.llm.text import ALNUM, Words, gram_hashes, split_words, text_chunks, word_hashes
 
 WINDOW = 13
@@ -211,17 +212,22 @@ def contamination(
     window. Null and empty texts have no words; items without words match nothing. Items with a
     null id count as hits but are not named. Repeated items, and items that share a window, are
     each named once. The documents are read once if the items fit one block, else once for each
-    block (``docs`` must then read the same each time, see ``tables.numbered``).
+    block, and joined by number (see ``tables.row_numbers``).
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias(ROW),
+    columns = (
         F.col(f"`{text}`").cast("binary").alias(TEXT),
         F.struct(*docs.columns).alias("doc"),
     )
     blocks = item_blocks(benchmark, item, item_text, most)
-    found = search_block(rows, next(blocks, []))
-    more = [search_block(numbered(docs, text), block) for block in blocks]
-    if more:
+    block, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        rows = docs.select(F.lit(0).cast("long").alias(ROW), *columns)  # nothing is joined
+    else:
+        rows = row_numbers(docs, *columns)
+    found = search_block(rows, block)
+    if second is not None:
+        texts = rows.select(ROW, TEXT)
+        more = [search_block(texts, block) for block in chain([second], blocks)]
         union = reduce(DataFrame.unionAll, more).filter(F.size("starts") > 0)
         other = union.groupBy(ROW).agg(
             F.flatten(F.collect_list("starts")).alias("more_starts"),

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from turnout.llm import sketch
 from turnout.llm.components import components
-from turnout.llm.tables import ROW, TEXT, bucketed, numbered, stored
+from turnout.llm.tables import ROW, TEXT, bucketed, numbered, row_numbers, stored
 from turnout.llm.text import gram_hashes, sorted_groups, split_words, text_chunks, word_hashes
 
 N = 5
@@ -247,9 +247,14 @@ def jaccard_components(
     overlap by ``percent`` of the union; a component is what links connect, and its id the least
     id in it (nulls are never least; null if all are null). A null or empty text has no set and is
     alone. Rows with equal texts, and equal rows, are linked; of rows with the least id, the first
-    in the table is kept. ``docs`` must read the same each time (see ``tables.numbered``).
+    by number is kept (see ``tables.row_numbers``).
     """
-    rows = numbered(docs, text, id=id).withColumn("id", F.col("id").cast("long"))
+    return row_components(numbered(docs, text, id=id), n, percent).withColumnRenamed("id", id)
+
+
+def row_components(rows: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """``jaccard_components`` of rows with a number, an ``id`` and the text as bytes."""
+    rows = rows.withColumn("id", F.col("id").cast("long"))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for _, texts in text_chunks(batches, TEXT):
@@ -277,7 +282,7 @@ def jaccard_components(
     alone = F.col("digest").isNull()
     return known.select(
         ROW,
-        F.col("id").alias(id),
+        "id",
         F.col("size").alias("n_shingles"),
         F.when(alone, F.col("id")).otherwise(F.col("first.id")).alias("component_id"),
         (alone | (F.col(ROW) == F.col(f"first.{ROW}"))).alias("is_first"),
@@ -286,7 +291,9 @@ def jaccard_components(
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` less all but one of each component of near copies."""
-    kept = jaccard_components(docs, id, text).filter("is_first").select(ROW)
-    number = F.monotonically_increasing_id().alias(ROW)
-    rows = docs.select(number, F.struct(*docs.columns).alias("doc"))
+    rows = row_numbers(docs, F.struct(*docs.columns).alias("doc"))
+    texts = rows.select(
+        ROW, F.col(f"doc.`{text}`").cast("binary").alias(TEXT), F.col(f"doc.`{id}`").alias("id")
+    )
+    kept = row_components(texts).filter("is_first").select(ROW)
     return rows.join(kept, ROW, "semi").select("doc.*")

@@ -9,23 +9,21 @@ lines, also where a later occurrence overlaps the first.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.tables import ROW
+from turnout.llm.tables import ROW, row_numbers
 
 WINDOW = 3
 
 
-def line_windows(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """One row per window: 128-bit hash, id, row number and first line.
+def line_windows(numbers: DataFrame, id: str, text: str) -> DataFrame:
+    """One row per window of numbered rows: 128-bit hash, id, row number and first line.
 
     A hash of hashes of neighbouring lines: each line is hashed once. At 10^13 windows the chance
     that any two different ones meet is below 10^-12.
     """
-    lines = F.split(F.col(f"`{text}`"), "\n", -1)
+    lines = F.split(F.col(f"doc.`{text}`"), "\n", -1)
     hashed = F.transform(lines, lambda line: F.unhex(F.md5(line.cast("binary"))))
-    rows = docs.select(
-        F.col(f"`{id}`").cast("long").alias("id"),
-        F.monotonically_increasing_id().alias(ROW),
-        hashed.alias("hashes"),
+    rows = numbers.select(
+        F.col(f"doc.`{id}`").cast("long").alias("id"), ROW, hashed.alias("hashes")
     ).filter(F.size("hashes") >= WINDOW)
     starts = F.sequence(F.lit(0), F.size("hashes") - WINDOW)
     window = F.transform(
@@ -61,12 +59,11 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
     Null text stays null and has no lines; empty text is one line; a text that loses all lines
     becomes empty. Texts of fewer than three lines have no window and stay. Rows with a null id come
-    last; rows with equal ids, and equal rows, count in the order of the table. ``docs`` must read
-    the same each time, as a table does (see ``tables.numbered``).
+    last; rows with equal ids, and equal rows, count in the order of their numbers
+    (see ``tables.row_numbers``).
     """
-    gone = later_windows(line_windows(docs, id, text))
-    number = F.monotonically_increasing_id().alias(ROW)
-    rows = docs.select(number, F.struct(*docs.columns).alias("doc"))
+    rows = row_numbers(docs, F.struct(*docs.columns).alias("doc"))
+    gone = later_windows(line_windows(rows, id, text))
     lines = F.split(F.col(f"doc.`{text}`"), "\n", -1)
     covered = F.array_distinct(
         F.flatten(F.transform("later", lambda i: F.sequence(i, i + WINDOW - 1)))

@@ -287,8 +287,7 @@ def dedup_substrings(
     Words are what white space separates, unchanged. Every word goes that is covered by a window
     which starts anywhere else too, in the same text, in another, or in an equal row; all windows
     are judged on the input, so all copies of a passage go. Null and empty texts have no words;
-    texts of fewer words than a window stay. ``docs`` must read the same each time (see
-    ``tables.numbered``).
+    texts of fewer words than a window stay.
     """
     rows = numbered(docs, text, id=id).withColumn("id", F.col("id").cast("long"))
 

@@ -1,12 +1,17 @@
 """Tables that an operator writes and reads again, in the folder that the cluster shares."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout.session import shared_folder
 
 ROW = "_row"
 TEXT = "_text"
+#: Bits of a row number that are the row's place within its file.
+PLACE_BITS = 40
+#: Steps of a plan that return each row of a file at most once.
+ROWWISE = {"Project", "Filter", "SubqueryAlias"}
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -29,14 +34,52 @@ def bucketed(frame: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
-def numbered(docs: DataFrame, text: str, **columns: str) -> DataFrame:
-    """A row number, the text as bytes, and other columns under names of our own.
+def file_place(docs: DataFrame) -> tuple[Column, Column] | None:
+    """File and place within the file of each row, if ``docs`` only scans files that tell them."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ROWWISE:
+        plan = plan.children().apply(0)
+    if plan.nodeName() != "LogicalRelation":
+        return None
+    try:
+        place = docs.metadataColumn("_metadata")
+        docs.select(place["row_index"])
+    except AnalysisException:
+        return None
+    if plan.relation().location().rootPaths().size() != 1:
+        return None  # a file that is named twice is read twice
+    return place["file_path"], place["row_index"]
+
 
-    The numbers hold for a frame that returns the same rows in the same partitions each time it
-    is read, as tables and files do. Give other frames through ``stored`` first.
+def row_numbers(docs: DataFrame, *columns: Column) -> DataFrame:
+    """A row number in ``_row`` and the columns.
+
+    The numbers do not depend on how a scan is split into tasks, which changes with the number of
+    cores, so the frame may be read again and joined on them. Rows of Parquet files are numbered by
+    the file, in the order of names, and their place in it. Other frames are written once, with
+    their numbers.
     """
-    return docs.select(
-        F.monotonically_increasing_id().alias(ROW),
+    place = file_place(docs)
+    if place is None:
+        number = F.monotonically_increasing_id().alias(ROW)
+        return stored(docs.select(number, *columns), "numbered")
+    path, index = place
+    names = sorted(r.path for r in docs.select(path.alias("path")).distinct().collect())
+    files = docs.sparkSession.createDataFrame(
+        [(name, i << PLACE_BITS) for i, name in enumerate(names)], "_path string, _first long"
+    )
+    rows = docs.select(path.alias("_path"), index.alias("_index"), *columns)
+    # A few bytes for each file: the rows stay where they are.
+    named = rows.join(F.broadcast(files), "_path")
+    number = (F.col("_first") + F.col("_index")).alias(ROW)
+    return named.select(number, *rows.columns[2:])
+
+
+def numbered(docs: DataFrame, text: str, **columns: str) -> DataFrame:
+    """A row number (see ``row_numbers``), the text as bytes, and other columns under names of our
+    own."""
+    return row_numbers(
+        docs,
         F.col(f"`{text}`").cast("binary").alias(TEXT),
         *(F.col(f"`{name}`").alias(new) for new, name in columns.items()),
     )
