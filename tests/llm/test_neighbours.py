@@ -70,3 +70,41 @@ def test_probes_come_in_order_of_cost():
     found = probe_steps(within, 100)
     assert len(found) == len(set(found)) == 27
     assert all(cost(a) <= cost(b) + 1e-12 for a, b in zip(found, found[1:]))
+
+
+def exact(spark, rows, **limits):
+    """Whether all queries get what brute force finds, by parameters that the query uses."""
+    found, expected = got(nearest(frame_of(spark, rows), **limits)), brute(rows, 20, limits.get("k", 20))
+    assert {i: [x for x, _ in row] for i, row in found.items()} == {
+        i: [x for x, _ in row] for i, row in expected.items()
+    }
+
+
+def test_queries_that_meet_few_vectors_get_all(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    for n, dimensions in ((2, 2), (15, 64), (21, 64)):
+        exact(spark, list(enumerate(rng.standard_normal((n, dimensions)).tolist())))
+    # Opposite groups: the small one meets itself alone.
+    far = np.ones((4, 64)) + 0.01 * rng.standard_normal((4, 64))
+    near = -np.ones((90, 64)) + 0.01 * rng.standard_normal((90, 64))
+    rows = [(20 * i, v) for i, v in enumerate(far.tolist())]
+    rows += [(2000 + i, v) for i, v in enumerate(near.tolist())]
+    full = got(nearest(frame_of(spark, rows)))
+    assert len(full) == 9 and all(len(row) == 20 for row in full.values())
+    for i in range(0, 80, 20):
+        assert [x for x, _ in full[i]] == [x for x, _ in brute(rows, 20, 20)[i]]
+    # Many blocks of vectors and of queries.
+    monkeypatch.setattr("turnout.llm.neighbours.BLOCK", 7)
+    monkeypatch.setattr("turnout.llm.neighbours.SHARE", 2)
+    exact(spark, list(enumerate(rng.standard_normal((60, 64)).tolist())), probes=1, k=58)
+
+
+def test_one_long_vector(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((1500, 64))
+    rows = list(enumerate((vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).tolist()))
+    rows[7] = (7, (1000 * np.array(rows[7][1])).tolist())
+    expected, found = brute(rows, 20, 20), got(nearest(frame_of(spark, rows)))
+    assert found.keys() == expected.keys() and all(len(row) == 20 for row in found.values())
+    share = [len({x for x, _ in found[i]} & {x for x, _ in row}) / 20 for i, row in expected.items()]
+    assert np.mean(share) >= 0.9

@@ -1,7 +1,9 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Vectors are scaled so that the largest inner product is the least distance: each is divided by the
-longest length and gets one more component, which makes all lengths 1. A table's hash is a few
+Vectors are scaled so that the largest inner product is the least distance: each is divided by a
+length and gets one more component, which makes all lengths 1. Vectors are in bands by length, each
+half as long as the one before, and divided by the longest length of their band, so that one long
+vector does not press the others together; a query visits all bands. A table's hash is a few
 projections on normal (2-stable) vectors, cut into steps of WIDTH. A query visits its own bucket
 and those that differ by single steps of some projections, in the order of their estimated chance
 to hold a near vector: the sum of squared distances to the borders that are crossed.
@@ -9,7 +11,8 @@ to hold a near vector: the sum of squared distances to the borders that are cros
 Vectors are equal in groups: one row stands for each distinct vector, with its least ids, as no
 more than those can be among the nearest. Buckets are split into blocks of about BLOCK distinct
 vectors; a block is searched by exact inner products, its best go on, and the best of all tables
-are kept for each query.
+are kept for each query. Queries that meet too few vectors are searched against all of them, block
+by block.
 """
 
 import heapq
@@ -28,17 +31,21 @@ from turnout.llm.text import sorted_groups
 K = 20
 BLOCK = 4096
 QUERY_BLOCK = 1024
+#: Queries that a block is searched for at once when all blocks are.
+SHARE = 16384
 VECTORS_AT_ONCE = 256
 
 
 @dataclass
 class Tables:
-    """The hash of each table: projections (tables, hashes, dimensions + 1), shifts, width."""
+    """The hash of each table: projections (tables, hashes, dimensions + 1), shifts, width; the
+    bands that have vectors, sorted, and the longest length in each."""
 
     projections: np.ndarray
     shifts: np.ndarray
     width: float
-    longest: float
+    bands: np.ndarray
+    longest: np.ndarray
 
     def keys(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Steps (vectors, tables, hashes) and the place of each vector within its step."""
@@ -48,24 +55,32 @@ class Tables:
 
 
 def made_tables(
-    dimensions: int, tables: int, hashes: int, width: float, longest: float, seed: int = 11
+    dimensions: int,
+    tables: int,
+    hashes: int,
+    width: float,
+    bands: np.ndarray,
+    longest: np.ndarray,
+    seed: int = 11,
 ) -> Tables:
     rng = np.random.default_rng(seed)
     return Tables(
         rng.standard_normal((tables, hashes, dimensions + 1)),
         rng.random((tables, hashes)),
         width,
+        bands,
         longest,
     )
 
 
-def lengthened(vectors: np.ndarray, longest: float, query: bool) -> np.ndarray:
-    """Vectors of length 1 whose distances order as inner products do."""
-    if query:
+def lengthened(vectors: np.ndarray, longest: np.ndarray | None) -> np.ndarray:
+    """Vectors of length 1 whose distances order as inner products do: queries (None), or vectors
+    by the longest lengths of their bands."""
+    if longest is None:
         scaled = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         rest = np.zeros(len(vectors))
     else:
-        scaled = vectors / longest
+        scaled = vectors / longest[:, None]
         rest = np.sqrt(np.maximum(0, 1 - (scaled**2).sum(1)))
     return np.concatenate([scaled, rest[:, None]], 1)
 
@@ -122,7 +137,8 @@ def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> DataFrame:
-    """One row per vector and bucket: of vectors their own, of queries all that they visit."""
+    """One row per vector and bucket: of vectors their own, of queries all that they visit, in all
+    bands. A number in ``table`` stands for a table of one band."""
     held = distinct.sparkSession.sparkContext.broadcast(pickle.dumps(tables))
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,14 +146,15 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
         for batch in batches:
             for at in range(0, batch.num_rows, VECTORS_AT_ONCE):
                 part = batch.slice(at, VECTORS_AT_ONCE)
-                vectors = lengthened(as_matrix(part.column(1)), made.longest, query)
-                step, within = made.keys(vectors)
+                band = None if query else part.column(2).to_numpy()
+                longest = None if query else made.longest[np.searchsorted(made.bands, band)]
+                step, within = made.keys(lengthened(as_matrix(part.column(1)), longest))
                 rows, keys, numbers = [], [], []
                 for t in range(step.shape[1]):
                     if not query:
                         rows.append(np.arange(len(step)))
                         keys.append(bucket_keys(step[:, t]))
-                        numbers.append(np.full(len(step), t))
+                        numbers.append(band * step.shape[1] + t)
                         continue
                     for i in range(len(step)):
                         visits = probe_steps(within[i, t], probes)
@@ -145,9 +162,10 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
                         for k, moves in enumerate(visits):
                             for h, by in moves:
                                 steps[k, h] += by
-                        rows.append(np.full(len(visits), i))
-                        keys.append(bucket_keys(steps))
-                        numbers.append(np.full(len(visits), t))
+                        for b in made.bands.tolist():
+                            rows.append(np.full(len(visits), i))
+                            keys.append(bucket_keys(steps))
+                            numbers.append(np.full(len(visits), b * step.shape[1] + t))
                 row = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -161,7 +179,8 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
 
     kind = distinct.schema["v"].dataType.simpleString()
     ddl = f"table int, bucket long, id long, v {kind}"
-    return distinct.select("id", "v").mapInArrow(buckets, ddl)
+    columns = ["id", "v"] if query else ["id", "v", "band"]
+    return distinct.select(*columns).mapInArrow(buckets, ddl)
 
 
 def search_blocks(rows: DataFrame, k: int) -> DataFrame:
@@ -198,6 +217,42 @@ def search_blocks(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
+def every_block(queries: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """``search_blocks`` of the queries against all vectors, in blocks of both."""
+    blocks, shares = (-(-frame.count() // n) for frame, n in ((reps, BLOCK), (queries, SHARE)))
+
+    def dealt_into(n):
+        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("long")
+
+    def all_of(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    def rows(frame, bucket, block, query):
+        frame = frame.select(bucket.alias("bucket"), "id", "v")
+        number = F.lit(0).alias("table")
+        return frame.select(
+            number, "bucket", block.alias("block"), F.lit(query).alias("query"), "id", "v"
+        )
+
+    both = rows(reps, all_of(shares), dealt_into(blocks), 0).unionAll(
+        rows(queries, dealt_into(shares), all_of(blocks), 1)
+    )
+    place = ["bucket", "block"]
+    parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(parts, *place).sortWithinPartitions("table", *place, "query")
+    return search_blocks(dealt, k)
+
+
+def best_members(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """The ``k`` + 1 best ids of each query, from the best distinct vectors of its blocks."""
+    best = found.groupBy("query_rep", "rep").agg(F.max("score").alias("score"))
+    first = Window.partitionBy("query_rep").orderBy(F.desc("score"), "rep")
+    best = best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1).drop("n")
+    by_id = Window.partitionBy("query_rep").orderBy(F.desc("score"), "id")
+    lists = best.join(members, "rep").withColumn("n", F.row_number().over(by_id))
+    return lists.filter(F.col("n") <= k + 1).select("query_rep", "id", "score")
+
+
 def nearest(
     vectors: DataFrame,
     id: str = "vec_id",
@@ -209,7 +264,8 @@ def nearest(
     probes: int = 12,
     width: float = 2.0,
 ) -> DataFrame:
-    """``query_id``, ``rank`` from 1, the id and ``score`` of the ``k`` nearest found of each query.
+    """``query_id``, ``rank`` from 1, the id and ``score`` of the ``k`` nearest found of each query:
+    ``k`` for each, or all candidates if there are fewer.
 
     Queries are the vectors whose id is divisible by ``every``; candidates are all other rows.
     Nearest is the largest inner product in double precision, ties to the smaller id. Vectors that
@@ -228,12 +284,16 @@ def nearest(
     doubles = F.transform("v", lambda x: x.cast("double"))
     square = F.aggregate(doubles, F.lit(0.0), lambda total, x: total + x * x)
     longest, size = reps.agg(F.sqrt(F.max(square)), F.max(F.size("v"))).first()
-    made = made_tables(size or 1, tables, hashes, width, longest or 1.0)
+    halved = F.floor(F.log2(F.lit(longest or 1.0) / F.sqrt(square)))
+    banded = reps.withColumn("band", F.greatest(halved, F.lit(0)).cast("int"))
+    found = banded.groupBy("band").agg(F.sqrt(F.max(square)).alias("longest")).sort("band").collect()
+    bands, lengths = (np.array([r[i] for r in found]) for i in range(2))
+    made = made_tables(size or 1, tables, hashes, width, bands, lengths)
 
     asked = named.filter(F.col("id") % every == 0)
     query_reps = reps.join(asked.select(F.col("rep").alias("id")), "id", "semi")
     place = ["table", "bucket"]
-    held = hashed(reps, made, False, probes)
+    held = hashed(banded, made, False, probes)
     large = (
         held.groupBy(*place)
         .agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -241,26 +301,28 @@ def nearest(
     )
     blocks = F.coalesce("blocks", F.lit(1).cast("long"))
     own = F.pmod(F.xxhash64("id"), blocks).alias("block")
-    every_block = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
     stored_rows = held.join(large, place, "left")
     stored_rows = stored_rows.select(*place, own, F.lit(0).alias("query"), "id", "v")
     visits = hashed(query_reps, made, True, probes).join(large, place, "left")
-    visits = visits.select(*place, every_block, F.lit(1).alias("query"), "id", "v")
+    visits = visits.select(*place, each, F.lit(1).alias("query"), "id", "v")
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = stored_rows.unionAll(visits).repartition(parts, *place, "block")
     found = search_blocks(dealt.sortWithinPartitions(*place, "block", "query"), k)
 
-    best = found.groupBy("query_rep", "rep").agg(F.max("score").alias("score"))
-    by_score = [F.desc("score"), "rep"]
-    first = Window.partitionBy("query_rep").orderBy(*by_score)
-    best = best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1).drop("n")
     # The least ids of each distinct vector: no others can be among the nearest.
     least = Window.partitionBy("rep").orderBy("id")
     members = named.withColumn("n", F.row_number().over(least))
     members = members.filter(F.col("n") <= k + 1).drop("n")
-    by_id = Window.partitionBy("query_rep").orderBy(F.desc("score"), "id")
-    lists = best.join(members, "rep").withColumn("n", F.row_number().over(by_id))
-    lists = lists.filter(F.col("n") <= k + 1).select("query_rep", "id", "score")
+    lists = stored(best_members(found, members, k), "lists")
+    enough = min(k + 1, named.count())
+    met = lists.groupBy("query_rep").count().filter(F.col("count") >= enough)
+    met = met.select(F.col("query_rep").alias("id"))
+    few = stored(query_reps.select("id", "v").join(met, "id", "anti"), "few")
+    if not few.isEmpty():
+        whole = best_members(every_block(few, reps, k), members, k)
+        left = lists.join(met.withColumnRenamed("id", "query_rep"), "query_rep", "semi")
+        lists = left.unionAll(whole)
     answers = asked.select(F.col("id").alias("query_id"), F.col("rep").alias("query_rep"))
     answers = answers.join(lists, "query_rep").filter("id != query_id")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
