@@ -89,3 +89,25 @@ def test_odd_pages(spark, weights):
     assert by[5].count("\n") == 19_999
     empty = frame.filter("false")
     assert extract_text(empty, fit_extractor(empty)).count() == 0
+
+
+def test_head_without_end_and_formulas_stay():
+    texts = lambda page: [b.text for b in page_blocks(page)]
+    assert texts("<head><title>t</title><meta charset=u><article><p>a<p>b</article>") == ["a", "b"]
+    assert texts("<html><head><script>x</script><title>t</title>\n<img src=s>a<p>b") == ["a", "b"]
+    assert texts("<head><title>t</title> a<p>b") == ["a", "b"]
+    assert texts("<head><noscript><link rel=r></noscript><style>s</style></head><p>a") == ["a"]
+    assert texts("<head><noscript><link rel=r><p>a</noscript><p>b") == ["a", "b"]
+    assert texts("<head><template><p>x</p></template><title>t</title></head><body>a") == ["a"]
+    assert texts("<head><title>t</title><body><p>a") == ["a"]
+    formula = "<math><mrow><mi>x</mi> <mo>=</mo> <mn>1</mn></mrow></math>"
+    assert texts(f"<p>where {formula} holds</p>") == ["where x = 1 holds"]
+    assert texts("<p>a</p><object data=d><p>b</p></object><noscript><p>c</p></noscript>") == ["a", "b", "c"]
+
+
+def test_article_after_an_open_head(spark, weights):
+    words = "A paragraph of an article that goes on, with <math><mi>y</mi></math> and words in it."
+    page = "<head><title>t</title><article>" + f"<p>{words}" * 9 + "</article>"
+    frame = spark.createDataFrame([(1, page)], "page_id long, html string")
+    text = "A paragraph of an article that goes on, with y and words in it."
+    assert extract_text(frame, weights).first().text == "\n".join([text] * 9)

@@ -5,9 +5,11 @@ from typing import NamedTuple
 
 #: Elements whose content is no text of the page.
 SILENT = {
-    "script", "style", "title", "noscript", "template", "textarea", "select", "button", "svg",
-    "iframe", "object", "math", "head",
+    "script", "style", "title", "template", "textarea", "select", "button", "svg", "iframe",
+    "head",
 }
+#: Elements that may stand in a head; any other, and text, ends it.
+IN_HEAD = {"title", "meta", "link", "base", "script", "style", "noscript", "template"}
 #: Elements that have no end tag.
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
@@ -18,6 +20,11 @@ INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
     "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rt", "rp", "s", "samp",
     "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+    # formulas
+    "math", "annotation", "annotation-xml", "maction", "menclose", "merror", "mfenced", "mfrac",
+    "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mprescripts", "mroot",
+    "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext",
+    "mtr", "munder", "munderover", "none", "semantics",
 }
 #: Elements that end an open element of the same kind.
 ITEMS = {
@@ -95,7 +102,15 @@ class BlockParser(HTMLParser):
                 return False
         return False
 
+    def end_head(self) -> None:
+        """Close a head, also one with an open noscript, whose end tag the page leaves out."""
+        inner = [tag for tag, _ in self.open[-2:]]
+        if inner and (inner[-1] == "head" or inner == ["head", "noscript"]):
+            self.close_last("head")
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag in VOID:
             if tag == "hr":
                 self.end_block()
@@ -129,6 +144,8 @@ class BlockParser(HTMLParser):
         self.close_last(tag, {"td", "th", "table"} if tag in INLINE or tag == "p" else None)
 
     def handle_data(self, data: str) -> None:
+        if self.silent and data.strip():
+            self.end_head()
         if not self.silent:
             self.parts.append(data)
             if self.links:
