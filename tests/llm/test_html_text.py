@@ -111,3 +111,13 @@ def test_article_after_an_open_head(spark, weights):
     frame = spark.createDataFrame([(1, page)], "page_id long, html string")
     text = "A paragraph of an article that goes on, with y and words in it."
     assert extract_text(frame, weights).first().text == "\n".join([text] * 9)
+
+
+def test_less_than_before_a_long_tail():
+    texts = lambda page: [b.text for b in page_blocks(page)]
+    tail = "goes on " * 5000 + "to its end"
+    for sign in ("<5", "<3", "<", "< 5", "<=", "<é"):
+        assert texts(f"<p>a<p>if x {sign} then it {tail}") == ["a", f"if x {sign} then it {tail}"]
+    assert texts("<p>a <5 b <a href='x <5") == ["a <5 b"]
+    for cut in ("</p", "<!-- b", "<?b", "<b class=x"):
+        assert texts(f"<p>a {cut}") == ["a"]

@@ -1,5 +1,6 @@
 """Leaf blocks of web pages: their text and the path of tags above them."""
 
+import re
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -10,6 +11,8 @@ SILENT = {
 }
 #: Elements that may stand in a head; any other, and text, ends it.
 IN_HEAD = {"title", "meta", "link", "base", "script", "style", "noscript", "template"}
+#: What opens a tag or a comment; any other "<" is text.
+OPENING = re.compile(r"<[A-Za-z/!?]")
 #: Elements that have no end tag.
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
@@ -153,9 +156,10 @@ class BlockParser(HTMLParser):
 
 
 def page_blocks(html: str) -> list[Block]:
-    last = html.rfind("<")
-    if last >= 0 and ">" not in html[last:] and html[last + 1 : last + 2] not in ("", " "):
-        html = html[:last]  # a tag that the end of the page cuts off
+    tail = html.rfind(">") + 1
+    cut = [tag.start() for tag in OPENING.finditer(html, tail)]
+    if cut:
+        html = html[: cut[-1]]  # a tag that the end of the page cuts off
     parser = BlockParser()
     # A marked section is a comment in a page, however it is written.
     parser.feed(html.replace("<![", "<!_["))
