@@ -19,7 +19,7 @@ from turnout.llm.tables import stored, table
 SF_DIR = "/root/testdata/sf0.001"
 # Each filter finds something to drop here.
 EFFECT_DIR = "/root/testdata/sf0.01"
-TABLES = ("documents", "benchmark")
+TABLES = ("documents", "benchmark", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout.llm.decontaminate import contamination
+from turnout.llm.hard_negatives import hard_negatives
 from turnout.llm.html_text import extract_text, fit_extractor
 from turnout.llm.jaccard_join import jaccard_components
 from turnout.llm.licenses import scan_licenses
 from turnout.llm.line_dedup import dedup_lines
+from turnout.llm.minmax import near_copies
 from turnout.llm.neighbours import nearest
 from turnout.llm.packing import pack_pieces, token_pieces
 from turnout.llm.quality import fit_quality, score_quality
+from turnout.llm.ranked_search import ranked_search
 from turnout.llm.substring_dedup import dedup_substrings
 from turnout.llm.tables import table
 from turnout.llm.token_counts import context_limits, encoded_lengths, length_histogram
@@ -89,6 +92,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page.page_id", "page.url", "text", length)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_copies(table(spark, sf_dir, "documents"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
@@ -100,6 +117,9 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit": op8_best_fit,
     "op9_nearest": op9_nearest,
     "op10_html_text": op10_html_text,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_minmax_dedup": op12_minmax_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 # Words of the classes that the operators take, in DuckDB's regular expressions.
 ALNUM_WORDS = (
@@ -195,11 +215,13 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
 FROM d LEFT JOIN texts USING (doc_id)
 """
 
-JACCARD_SQL = f"""
+def components_sql(n: int, columns: str) -> str:
+    """Components of documents whose sets of ``n``-word shingles overlap by 80 percent."""
+    return f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce({LOWER_SPACED_WORDS}, []) AS w FROM documents),
 grams AS (
-  SELECT DISTINCT doc_id, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS gram
-  FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS r(p) WHERE len(w) > 0
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + least({n}, len(w)) - 1], ' ') AS gram
+  FROM d, unnest(range(1, greatest(len(w) - {n - 2}, 2))) AS r(p) WHERE len(w) > 0
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 pairs AS (
@@ -214,13 +236,66 @@ reach AS (
   SELECT doc_id AS x, doc_id AS y FROM documents UNION
   SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
 )
-SELECT x AS doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(y) AS component_id
+SELECT x AS doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(y) AS component_id{columns}
 FROM reach LEFT JOIN sizes ON sizes.doc_id = x GROUP BY x
 """
 
+
+HARD_NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i]))::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+),
+positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+RANKED_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({ALNUM_WORDS}, []) AS w FROM documents),
+i AS (SELECT item_id, unnest({ALNUM_WORDS}) AS term FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM i GROUP BY ALL),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+held AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM held, totals GROUP BY term, n_docs
+),
+scores AS (
+  SELECT item_id, doc_id, sum(repeats * weight
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term), totals GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+  doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op3_decontaminate": DECONTAMINATE_SQL,
     "op5_substring_dedup": SUBSTRING_DEDUP_SQL,
-    "op6_jaccard_join": JACCARD_SQL,
+    "op6_jaccard_join": components_sql(5, ""),
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op12_minmax_dedup": components_sql(2, ", x = min(y) AS kept"),
+    "op13_ranked_search": RANKED_SQL,
 }
