@@ -43,7 +43,7 @@ def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _record(millis: Column) -> Column:
+def _record(millis: Column, *more: Column, in_group: tuple[Column, ...] = ()) -> Column:
     event_id, user_id = F.col("event_id"), F.col("user_id")
     response = (
         F.when(F.col("event_type").isin("purchase", "signup"), "yes")
@@ -78,21 +78,36 @@ def _record(millis: Column) -> Column:
         event_id.alias("rsvp_id"),
         millis.alias("mtime"),
         event.alias("event"),
-        "group",
+        F.struct("group.*", *in_group).alias("group") if in_group else F.col("group"),
+        *more,
     )
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unknown_to_schema() -> tuple[list[Column], tuple[Column, ...]]:
+    """Fields of messages that the declared schema does not have, at the top and in the group."""
+    event_id = F.col("event_id")
+    marks = F.transform(F.sequence(F.lit(1), (event_id % 3 + 1).cast("int")), lambda j: j * 10)
+    at_top = [
+        F.when(event_id % 2 == 0, F.from_json("props", "k INT")).alias("props"),
+        F.col("value").alias("score"),
+        F.when(event_id % 7 != 0, marks).alias("marks"),
+    ]
+    return at_top, (F.col("user_id").alias("owner"),)
+
+
+def messages(spark: SparkSession, sf_dir: str, unknown: bool = False) -> DataFrame:
     """``value BINARY, timestamp TIMESTAMP, batch_id BIGINT``, one message per event.
 
     Of 101 messages two are malformed: one has an extra brace before its text, one breaks
-    off being JSON within the member.
+    off being JSON within the member. With ``unknown``, messages have fields that the declared
+    schema does not know.
     """
     events = _table(spark, sf_dir, "events")
     total = events.agg(F.count(F.lit(1))).scalar()
     # Difference of wall-clock times, so independent of the session's time zone.
     millis = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-    text = F.to_json(_record(millis))
+    at_top, in_group = unknown_to_schema() if unknown else ([], ())
+    text = F.to_json(_record(millis, *at_top, in_group=in_group))
     broken = F.replace(text, F.lit('"member_name":"'), F.lit('"member_name":'))
     kind = F.col("event_id") % 101
     text = F.when(kind == 100, F.concat(F.lit("{"), text)).when(kind == 50, broken).otherwise(text)

@@ -109,6 +109,18 @@ _REJECTED = f"""
     SELECT event_id, (SELECT count(*) FROM {_MATCHED}) AS lines
     FROM {_MATCHED} WHERE NOT ({_GOOD})"""
 
+# Fields that the declared schema does not know: type of the variant, and the events that have it.
+_UNKNOWN = {
+    "props": ("OBJECT<k: BIGINT>", "event_id % 2 = 0"),
+    "score": ("DECIMAL", "true"),
+    "marks": ("ARRAY<BIGINT>", "event_id % 7 <> 0"),
+    "group.owner": ("BIGINT", "true"),
+}
+
+_CURRENT = f"""
+    SELECT {_KEYS}, arg_max(response_count, batch_id) AS response_count, max(batch_id) AS batch_id
+    FROM ({_CHANGELOG}) c GROUP BY {_KEYS}"""
+
 ORACLE = {
     "parse_messages": _message(tuple(_COLUMNS), "ts AS timestamp"),
     "flatten_detail": _DETAIL_SQL,
@@ -146,5 +158,44 @@ ORACLE = {
         SELECT *, strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M:%S') AS refreshed_at
         FROM ({_GRID}) g""",
     "rejected_lines": _REJECTED,
+    "variant_fields": f"""
+        SELECT CASE WHEN {_GOOD} THEN event_id END AS event_id,
+               CASE WHEN {_GOOD} AND event_id % 2 = 0
+                   THEN CAST(props::JSON->>'k' AS INTEGER) END AS k,
+               CASE WHEN {_GOOD} THEN value END AS score,
+               CASE WHEN {_GOOD} AND event_id % 7 <> 0 AND event_id % 3 > 0
+                   THEN 20::INTEGER END AS second_mark,
+               CASE WHEN {_GOOD} THEN user_id END AS owner
+        FROM {_MATCHED}""",
+    "unknown_fields": " UNION ALL ".join(
+        f"SELECT '{path}' AS path, '{kind}' AS kind, count(*) AS fields "
+        f"FROM {_MATCHED} WHERE {_GOOD} AND {where}"
+        for path, (kind, where) in _UNKNOWN.items()
+    ),
+    "clean_detail": _message(_DETAIL, where=_GOOD),
+    "stream_clean_detail": _message(_DETAIL, _BATCH, where=_GOOD),
+    "stream_malformed": f"""
+        SELECT event_id, {_BATCH}, (SELECT count(*) FROM {_MATCHED}) AS messages
+        FROM {_MATCHED} WHERE NOT ({_GOOD})""",
+    "state_counts": _COUNTS_SQL,
+    "stream_progress": f"""
+        WITH log AS ({_CHANGELOG}),
+        firsts AS (SELECT {_KEYS}, min(batch_id) AS batch_id FROM log GROUP BY {_KEYS}),
+        new_groups AS (SELECT batch_id, count(*) AS n FROM firsts GROUP BY batch_id),
+        changed AS (SELECT batch_id, count(*) AS changed_groups FROM log GROUP BY batch_id),
+        taken AS (SELECT batch_id, count(*) AS messages
+                  FROM (SELECT {_BATCH} FROM {_MATCHED}) m GROUP BY batch_id)
+        SELECT batch_id, messages, changed_groups,
+               CAST(sum(coalesce(n, 0)) OVER (ORDER BY batch_id) AS BIGINT) AS n_groups
+        FROM taken JOIN changed USING (batch_id) LEFT JOIN new_groups USING (batch_id)""",
+    "current_counts": _CURRENT,
+    "current_top_groups": f"SELECT * FROM ({_CURRENT}) c {_ORDER} LIMIT 10",
+    "yes_no_any_case": f"""
+        SELECT group_name,
+               CASE WHEN lower(loud) = 'yes' THEN response_count ELSE 0 END AS yes_response_count,
+               CASE WHEN lower(loud) = 'no' THEN response_count ELSE 0 END AS no_response_count
+        FROM (SELECT *, CASE WHEN group_city = 'City_1' THEN upper(response) ELSE response END
+              AS loud FROM ({_TOP}) t) u""",
+    "stream_timed": _CHANGELOG,
     "stream_to_topic_files": _COUNTS.format(_message(KEYS, where=_GOOD)),
 }

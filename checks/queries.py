@@ -1,6 +1,6 @@
 """One query per operator, over messages derived from the test tables."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,13 +10,15 @@ from pyspark.sql.types import StructType
 
 from checks.feed import SLICES, messages
 from turnout.functions.schema import COUNT_TABLE_DDL, KEYS
-from turnout.operators.counts import count_changelog
+from turnout.operators.counts import count_changelog, current_counts
 from turnout.operators.messages import (
+    clean_messages,
     encode_records,
     feed_records,
     flatten_detail,
     group_keys,
     parse_messages,
+    split_messages,
 )
 from turnout.operators.newest import (
     bar_series,
@@ -28,6 +30,7 @@ from turnout.operators.newest import (
     top_groups,
     yes_no_counts,
 )
+from turnout.operators.unknown import unknown_fields, unknown_paths, variant_fields
 from turnout.plans.dashboard import dashboard_of
 from turnout.plans.messages import counts_of, detail_of
 from turnout.session import shared_folder
@@ -40,7 +43,16 @@ from turnout.sources.results import (
     marked_newest_batch,
     top_groups_sql,
 )
-from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
+from turnout.sources.state import state_counts
+from turnout.streaming.progress import ProgressLog, progress_table
+from turnout.streaming.queries import (
+    await_all,
+    await_batch,
+    start_counts,
+    start_detail,
+    start_publish,
+    start_split_detail,
+)
 from turnout.streaming.sinks import Sink, catalog_sink, table_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,23 +121,36 @@ def counting(spark: SparkSession) -> Callable[..., StreamingQuery]:
     return partial(start_counts, state_partitions=spark.sparkContext.defaultParallelism)
 
 
-def stream_slices(
-    spark: SparkSession, sf_dir: str, start: Callable[..., StreamingQuery], *sinks: Sink
-) -> None:
-    """Run a streaming query over the messages, one slice after the other.
-
-    Each slice lands as files before the query is started again on the same checkpoint,
-    so micro-batch ``i`` reads slice ``i``, whole, on any file system.
-    """
-    landing, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
+def landed_slices(spark: SparkSession, sf_dir: str, landing: str) -> Iterator[int]:
+    """Land one slice of the messages after the other as files, each when the next is asked for."""
     staged = shared_folder(spark, "staged")
     rows = messages(spark, sf_dir).select("batch_id", "value", "timestamp")
     rows.hint("rebalance", "batch_id").write.partitionBy("batch_id").parquet(staged)
     for i in range(SLICES):
         part = spark.read.schema(rows.schema).parquet(staged).filter(F.col("batch_id") == i)
         part.select("value", "timestamp").write.mode("append").parquet(landing)
-        raw = file_messages(spark, landing)
-        await_all([start(raw, sinks, checkpoint, interval=None)])
+        yield i
+
+
+def stream_slices(
+    spark: SparkSession,
+    sf_dir: str,
+    start: Callable[..., StreamingQuery],
+    *sinks: Sink,
+    log: ProgressLog | None = None,
+) -> str:
+    """Run a streaming query over the messages, one slice after the other; its checkpoint.
+
+    Each slice lands as files before the query is started again on the same checkpoint,
+    so micro-batch ``i`` reads slice ``i``, whole, on any file system.
+    """
+    landing, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
+    for _ in landed_slices(spark, sf_dir, landing):
+        query = start(file_messages(spark, landing), sinks, checkpoint, interval=None)
+        await_all([query])
+        if log is not None:
+            log.wait(query)
+    return checkpoint
 
 
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +259,85 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(number.alias("event_id"), total.alias("lines"))
 
 
+def stream_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog of one query that runs every second, while slices land between its ticks."""
+    landing, path = shared_folder(spark, "landing"), shared_folder(spark, "counts")
+    query = None
+    for i in landed_slices(spark, sf_dir, landing):
+        if query is None:
+            raw = file_messages(spark, landing)
+            checkpoint = shared_folder(spark, "checkpoint")
+            query = counting(spark)(raw, [table_sink(path)], checkpoint, interval="1 second")
+        if not await_batch(query, i, 600):
+            query.stop()
+            raise TimeoutError(f"batch {i} is not done")
+    query.stop()
+    return count_table(spark, path)
+
+
+def streamed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals read from the state of a streaming query, not from its sink."""
+    sink = table_sink(shared_folder(spark, "counts"))
+    return state_counts(spark, stream_slices(spark, sf_dir, counting(spark), sink))
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per micro-batch: messages read, groups changed and groups kept, as the query reported them."""
+    log = ProgressLog(spark, shared_folder(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        sink = table_sink(shared_folder(spark, "counts"))
+        stream_slices(spark, sf_dir, counting(spark), sink, log=log)
+    finally:
+        spark.streams.removeListener(log)
+    return progress_table(spark, log.path).select(
+        "batch_id",
+        F.col("input_rows").alias("messages"),
+        F.col("state_updated_rows").alias("changed_groups"),
+        F.col("state_rows").alias("n_groups"),
+    )
+
+
+def split_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Run the detail query with its split; the folders of details and of malformed messages."""
+    detail, malformed = shared_folder(spark, "detail"), shared_folder(spark, "malformed")
+
+    def start(raw: DataFrame, sinks: Sequence[Sink], checkpoint: str, **options) -> StreamingQuery:
+        return start_split_detail(raw, sinks, table_sink(malformed), checkpoint, **options)
+
+    stream_slices(spark, sf_dir, start, table_sink(detail))
+    return detail, malformed
+
+
+def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream split off, by event and batch, and how many rows both sides have together."""
+    detail, malformed = split_stream(spark, sf_dir)
+    ddl = "value STRING, timestamp TIMESTAMP, batch_id BIGINT"
+    rows = spark.read.schema(ddl).parquet(malformed)
+    number = F.regexp_extract("value", '"rsvp_id":([0-9]+)', 1).cast("bigint")
+    total = detail_table(spark, detail).agg(F.count("*")).scalar() + rows.agg(F.count("*")).scalar()
+    return rows.select(number.alias("event_id"), "batch_id", total.alias("messages"))
+
+
+def chosen_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns of fields that the declared schema does not know."""
+    fields = {
+        "event_id": ("$.rsvp_id", "bigint"),
+        "k": ("$.props.k", "int"),
+        "score": ("$.score", "double"),
+        "second_mark": ("$.marks[1]", "int"),
+        "owner": ("$.group.owner", "bigint"),
+    }
+    return variant_fields(messages(spark, sf_dir, unknown=True), fields)
+
+
+def any_case_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars where the groups of one city answer in capitals."""
+    loud = F.when(F.col("group_city") == "City_1", F.upper("response"))
+    rows = newest(spark, sf_dir).withColumn("response", F.coalesce(loud, "response"))
+    return yes_no_counts(rows, collation="UTF8_LCASE")
+
+
 def published_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail rows of messages that were parsed, encoded and parsed once more."""
     records = encode_records(parse_messages(messages(spark, sf_dir)).drop("timestamp"))
@@ -285,4 +389,23 @@ QUERIES: dict[str, Query] = {
     "throttled_stream_counts": throttled_stream_counts,
     "stream_to_topic_files": stream_to_topic_files,
     "rejected_lines": rejected_lines,
+    "variant_fields": chosen_fields,
+    "unknown_fields": lambda spark, sf_dir: unknown_paths(
+        unknown_fields(messages(spark, sf_dir, unknown=True))
+    ),
+    "clean_detail": lambda spark, sf_dir: scalar_detail(
+        flatten_detail(clean_messages(split_messages(messages(spark, sf_dir))))
+    ),
+    "stream_clean_detail": lambda spark, sf_dir: scalar_detail(
+        detail_table(spark, split_stream(spark, sf_dir)[0])
+    ),
+    "stream_malformed": stream_malformed,
+    "state_counts": streamed_state,
+    "stream_progress": stream_progress,
+    "current_counts": lambda spark, sf_dir: current_counts(stored_changelog(spark, sf_dir)),
+    "current_top_groups": lambda spark, sf_dir: top_groups(
+        current_counts(stored_changelog(spark, sf_dir))
+    ),
+    "yes_no_any_case": any_case_counts,
+    "stream_timed": stream_timed,
 }

@@ -150,7 +150,41 @@ def register(spark):
             assert not overwrite
             return Writer(self.options)
 
+    class SqlReader(DataSourceReader):
+        def __init__(self, options):
+            self.options = options
+
+        def partitions(self):
+            return [InputPartition(0)]
+
+        def read(self, partition):
+            import duckdb
+
+            save({**self.options, "store": self.options["store"] + "-read"}, [])
+            database = duckdb.connect()
+            database.execute(f"CREATE TABLE counts ({self.options['columns']})")
+            rows = [tuple(row.values()) for row in load(self.options["store"])]
+            marks = ", ".join("?" * len(rows[0])) if rows else ""
+            if rows:
+                database.executemany(f"INSERT INTO counts VALUES ({marks})", rows)
+            sql = self.options.get("query") or f"SELECT * FROM {self.options['dbtable']}"
+            yield from map(tuple, database.execute(sql).fetchall())
+
+    class SqlTable(DataSource):
+        """Runs the SQL that it is sent over the rows in the store, within the reading task."""
+
+        @classmethod
+        def name(cls):
+            return "test_sql"
+
+        def schema(self):
+            return "batch_id BIGINT" if "query" in self.options else self.options["ddl"]
+
+        def reader(self, schema):
+            return SqlReader(self.options)
+
     spark.dataSource.register(Topic)
+    spark.dataSource.register(SqlTable)
     spark.dataSource.register(Table)
 
 

@@ -12,8 +12,10 @@ from turnout.sources.messages import topic_messages
 from turnout.sources.results import (
     count_table,
     database_newest_batch,
+    database_newest_shares,
     database_query,
     detail_table,
+    key_share_sql,
     top_groups_sql,
 )
 from turnout.streaming.queries import await_all, start_counts, start_detail, start_publish
@@ -146,6 +148,45 @@ def test_repeated_database_batch_reads_back_once(spark, tmp_path):
     assert "WHERE batch_id = (SELECT max(batch_id) FROM counts)" in options[0]["dbtable"]
 
 
+def test_shares_of_the_newest_batch_are_disjoint_and_complete(spark, tmp_path):
+    columns = COUNT_TABLE_DDL.replace("STRING", "VARCHAR")
+    store = tmp_path / "database"
+    store.mkdir()
+    names = [f.split()[0] for f in COUNT_TABLE_DDL.split(", ")]
+    rows = [
+        (f"g{i % 40}", "us", None if i % 3 else "s", f"c{i}", "1", None, "yes", i, batch)
+        for batch in (3, 4)
+        for i in range(200)
+    ]
+    rows += [(None,) * 7 + (1, 4)] + rows[-30:]  # all keys NULL; a batch that was written again
+    text = "".join(json.dumps(dict(zip(names, row))) + "\n" for row in rows)
+    (store / "0.rows").write_text(text)
+    options = {"store": str(store), "columns": columns, "ddl": COUNT_TABLE_DDL}
+    hash_sql = "hash(concat_ws(',', {keys}))"
+    back = database_newest_shares(
+        spark, "jdbc:any", "counts", 5, connector="test_sql", hash_sql=hash_sql, **options
+    )
+    found = [tuple(r) for r in back.collect()]
+    assert sorted(found, key=repr) == sorted(set(rows[200:]), key=repr)
+    _, sent = connectors.stored(tmp_path / "database-read")
+    tables = sorted({o["dbtable"] for o in sent if "dbtable" in o})
+    assert len(tables) == 5 and all("batch_id = 4 AND" in t for t in tables)
+    parts = []
+    for share in range(5):
+        where = key_share_sql(5, share, hash_sql)
+        part = spark.read.format("test_sql").options(**options)
+        part = part.option("dbtable", f"(SELECT * FROM counts WHERE batch_id = 4 AND {where}) x")
+        parts.append([tuple(r) for r in part.load().collect()])
+    assert sorted(sum(parts, []), key=repr) == sorted(rows[200:], key=repr)  # each row in one share
+    assert sum(map(bool, parts)) > 1
+    assert not any(set(a) & set(b) for i, a in enumerate(parts) for b in parts[:i])
+    (store / "0.rows").write_text("")
+    empty = database_newest_shares(
+        spark, "jdbc:any", "counts", 2, connector="test_sql", hash_sql=hash_sql, **options
+    )
+    assert empty.collect() == []
+
+
 def test_database_query_is_sent_as_it_is(spark, tmp_path):
     store = str(tmp_path / "database")
     (tmp_path / "database").mkdir()

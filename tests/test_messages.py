@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from turnout.functions.schema import DETAIL_COLUMNS, DETAIL_TABLE_DDL, KEYS
 from turnout.operators.messages import (
     encode_records,
+    clean_messages,
     feed_records,
     flatten_detail,
     group_keys,
     parse_messages,
+    malformed_messages,
     rejected_lines,
+    split_messages,
 )
 
 NOTHING = {"response": None, "guests": None, "venue": None, "group": None}
@@ -186,3 +189,30 @@ def test_feed_publishes_json_lines_unchanged(spark, line, published):
     assert values == ([line] if published else [])
     rejected = [row.value for row in rejected_lines(lines).collect()]
     assert rejected == ([] if published else [line])
+
+
+def test_split_keeps_every_message_once(raw):
+    texts = [
+        '{"response":"yes","group":{"group_name":"G"}}', "{}", '{"response":"yes"} tail', '{"x":1}',
+        "hello", "[{}]", "3", "", None, '{"response":"yes",', '{"response":"yes","venue":"abc"}',
+    ]
+    split = split_messages(raw(texts), "id")
+    clean = clean_messages(split, "id")
+    assert sorted(r.id for r in clean.collect()) == [0, 1, 2, 3]
+    other = {r.id: r.value for r in malformed_messages(split, "id").collect()}
+    assert other == {i: texts[i] for i in range(4, len(texts))}
+    # The clean ones are what the parser of all messages gives, and what it reads is kept.
+    whole = {r.id: r for r in parse_messages(raw(texts), "id").collect()}
+    assert all(r == whole[r.id] for r in clean.collect())
+    kept = {r.id: r.message for r in split.collect()}
+    assert kept[10].response == "yes" and kept[10].venue is None and kept[7] is None
+    assert clean.schema == parse_messages(raw(texts), "id").schema
+
+
+@pytest.mark.parametrize("line, good", [
+    ("{'a':1}", False), ('{"a":\'b\'}', False), ('{"a":"it\'s"}', True), ("['']", False),
+    ('{"a\\"b":"\'"}', True), ('["\\\\", \'x\']', False), ('"\'"', True), ('{"a":"b\'"}', True),
+    ('{\'a"b\':1,\'c"d\':2}', False), ('"' + "x" * 100000 + "\'" + '"', True),
+])
+def test_single_quotes_are_no_json(raw, line, good):
+    assert (feed_records(raw([line])).count(), rejected_lines(raw([line])).count()) == (good, not good)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from turnout.functions.schema import COUNT_TABLE_DDL, KEYS
+from turnout.operators.counts import current_counts
 from turnout.operators.newest import (
     GRID_COLUMNS,
     bar_series,
@@ -147,3 +148,22 @@ def test_newest_batch_reads_one_partition(table, spark, tmp_path):
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in plan
     assert "Join" not in plan
+
+
+def test_responses_under_a_collation(table):
+    frame = table([row("a", "YES", 5, 0), row("b", "No", 4, 0), row("c", "yes", 3, 0), row("d", None, 2, 0)])
+    plain = [tuple(r) for r in yes_no_counts(frame).collect()]
+    assert plain == [("a", 0, 0), ("b", 0, 0), ("c", 3, 0), ("d", 0, 0)]
+    found = yes_no_counts(frame, collation="UTF8_LCASE")
+    assert [tuple(r) for r in found.collect()] == [("a", 5, 0), ("b", 0, 4), ("c", 3, 0), ("d", 0, 0)]
+    assert found.schema == yes_no_counts(frame).schema
+    assert [r.group_name for r in yes_no_counts(frame, 2, "UTF8_LCASE").collect()] == ["a", "b"]
+
+
+def test_current_counts_take_the_last_batch_not_the_largest_total(table):
+    rows = [row("a", "yes", 9, 0), row("a", "yes", 2, 7), row("b", None, 0, 3), row(None, "no", 1, 1)]
+    rows += [row("a", "yes", 2, 7), row("a", "no", 5, 2)]  # a batch that was written again
+    found = {(r.group_name, r.response): (r.response_count, r.batch_id) for r in current_counts(table(rows)).collect()}
+    assert found == {("a", "yes"): (2, 7), ("b", None): (0, 3), (None, "no"): (1, 1), ("a", "no"): (5, 2)}
+    assert [r.group_name for r in top_groups(current_counts(table(rows)), 1).collect()] == ["a"]
+    assert current_counts(table([])).isEmpty()

@@ -1,5 +1,6 @@
 import os
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -16,12 +17,16 @@ from turnout.sources.results import (
     detail_table,
     marked_newest_batch,
 )
+from turnout.sources.state import state_counts, state_partitions
+from turnout.streaming.progress import ProgressLog, progress_table
 from turnout.streaming.queries import (
     await_all,
+    await_batch,
     session_conf,
     start_console,
     start_counts,
     start_detail,
+    start_split_detail,
 )
 from turnout.streaming.sinks import catalog_sink, console_sink, fan_out, table_sink
 
@@ -378,3 +383,125 @@ def test_fan_out_unpersists_after_an_error(spark):
     with pytest.raises(RuntimeError):
         fan_out(fail)(frame, 0)
     assert not frame.is_cached
+
+
+def test_timed_batches_give_the_changelog(spark, feed, tmp_path):
+    batches = random_batches(11, batches=4, size=200)
+    path, stamps = str(tmp_path / "counts"), []
+    feed.land(batches[0])
+    query = start_counts(feed.stream(), [table_sink(path)], str(tmp_path / "cp"), interval="1 second")
+    try:
+        for i, texts in enumerate(batches):
+            if i:
+                feed.land(texts)  # between two ticks
+            assert await_batch(query, i, 120)
+            stamps.append(query.lastProgress["timestamp"])
+        assert not await_batch(query, len(batches), 1.5)  # nothing landed: ticks pass without a batch
+    finally:
+        query.stop()
+    assert rows(count_table(spark, path)) == brute.changelog(batches)
+    started = [datetime.fromisoformat(s) for s in stamps]
+    gaps = [(b - a).total_seconds() for a, b in zip(started, started[1:])]
+    assert all(gap >= 0.9 for gap in gaps)  # one tick at least apart
+    assert await_batch(query, 3, 1) and not await_batch(query, 9, 1)
+
+
+def test_failed_query_is_raised_while_waiting(spark, feed, tmp_path):
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is away")
+
+    feed.land(random_batches(1, batches=1, size=5)[0])
+    query = start_detail(feed.stream(), [fail], str(tmp_path / "cp"), interval="1 second")
+    with pytest.raises(StreamingQueryException, match="sink is away"):
+        await_batch(query, 0, 60)
+
+
+def test_state_holds_the_totals_of_each_batch(spark, feed, tmp_path):
+    batches = random_batches(13, batches=3, size=150)
+    for texts in batches:
+        feed.land(texts)
+    cp = str(tmp_path / "cp")
+    raw, sink = feed.stream(maxFilesPerTrigger=1), table_sink(str(tmp_path / "counts"))
+    await_all([start_counts(raw, [sink], cp, interval=None, state_partitions=3)])
+    for n in (1, 2, 3):
+        found = state_counts(spark, cp, None if n == 3 else n - 1)
+        expected = brute.counts([t for batch in batches[:n] for t in batch])
+        assert {tuple(r)[:-1]: r.response_count for r in found.collect()} == expected
+    parts = state_partitions(spark, cp).collect()
+    assert sum(r.n_groups for r in parts) == len(brute.counts([t for b in batches for t in b]))
+    assert {r.partition_id for r in parts} <= {0, 1, 2}
+
+
+def test_progress_has_one_row_per_batch(spark, feed, tmp_path):
+    batches = random_batches(17, batches=3, size=90)
+    for texts in batches:
+        feed.land(texts)
+    log = ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        counts = start_counts(
+            feed.stream(maxFilesPerTrigger=1), [table_sink(str(tmp_path / "counts"))],
+            str(tmp_path / "cp"), interval=None, name="counted", state_partitions=2,
+        )
+        detail = start_detail(
+            feed.stream(), [table_sink(str(tmp_path / "detail"))], str(tmp_path / "cp2"), interval=None
+        )
+        await_all([counts, detail])
+        assert log.wait(counts) and log.wait(detail)
+    finally:
+        spark.streams.removeListener(log)
+    table = progress_table(spark, log.path)
+    found = {r.batch_id: r for r in table.filter("name = 'counted'").collect()}
+    changes = brute.changelog(batches)
+    assert sorted(found) == [0, 1, 2]
+    for n, r in found.items():
+        assert r.input_rows == 90 and r.run_id == str(counts.runId) and r.query_id == str(counts.id)
+        assert r.state_updated_rows == sum(c[-1] == n for c in changes)
+        assert r.state_rows == len({c[:-2] for c in changes if c[-1] <= n}) and r.state_partitions == 2
+        assert r.duration_ms > 0 and r.state_memory_bytes > 0
+    plain = table.filter("name IS NULL").collect()
+    assert [(r.input_rows, r.state_rows) for r in plain] == [(270, None)]
+    assert not log.wait(type("Query", (), {"runId": "none"})(), 0.2)
+
+
+def test_split_stream_sends_each_message_to_one_side(spark, feed, tmp_path):
+    good = [t for batch in random_batches(19, batches=2, size=30) for t in batch]
+    bad = ["hello", '{"response":"yes",', '{"response":"yes","venue":"abc"}', "[1]"]
+    feed.land(good[:30] + bad[:2])
+    feed.land(good[30:] + bad[2:])
+    detail, other = str(tmp_path / "detail"), str(tmp_path / "other")
+    query = start_split_detail(
+        feed.stream(maxFilesPerTrigger=1), [table_sink(detail)], table_sink(other),
+        str(tmp_path / "cp"), interval=None,
+    )
+    await_all([query])
+    found = detail_table(spark, detail)
+    assert found.count() == 60 and {r.batch_id for r in found.collect()} == {0, 1}
+    assert found.drop("batch_id").exceptAll(detail_of(feed_lines(spark, str(feed.folder), streaming=False))).isEmpty()
+    rejected = spark.read.parquet(other).collect()
+    assert sorted((r.batch_id, r.value) for r in rejected) == sorted(zip((0, 0, 1, 1), bad))
+
+
+def test_filled_tables_without_a_note_are_not_empty(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    frame = spark.createDataFrame([("a", "us", None, "c", "1", "2", "yes", 3, 0)], COUNT_TABLE_DDL)
+    frame = frame.drop("batch_id")
+    assert marked_newest_batch(spark, path).collect() == []  # there is no table yet
+    sink = table_sink(path)
+    for batch_id in (0, 4, 2):
+        sink(frame, batch_id)
+    assert [r.batch_id for r in marked_newest_batch(spark, path).collect()] == [4]
+    json_path = str(tmp_path / "json")
+    table_sink(json_path, "json")(frame, 7)
+    assert [r.batch_id for r in marked_newest_batch(spark, json_path, "json").collect()] == [7]
+
+    spark.sql(f"CREATE TABLE unmarked_counts ({COUNT_TABLE_DDL}) USING parquet PARTITIONED BY (batch_id)")
+    try:
+        assert catalog_newest_batch(spark, "unmarked_counts").collect() == []
+        rows_ = frame.selectExpr("*", "explode(array(5L, 9L)) AS batch_id")
+        rows_.write.insertInto("unmarked_counts")
+        assert [r.batch_id for r in catalog_newest_batch(spark, "unmarked_counts").collect()] == [9]
+        catalog_sink("unmarked_counts", COUNT_TABLE_DDL)(frame, 10)
+        assert [r.batch_id for r in catalog_newest_batch(spark, "unmarked_counts").collect()] == [10]
+    finally:
+        spark.sql("DROP TABLE unmarked_counts")

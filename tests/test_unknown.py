@@ -1,0 +1,75 @@
+import json
+
+import pytest
+
+from turnout.operators.messages import parse_messages
+from turnout.operators.unknown import unknown_fields, unknown_paths, variant_fields
+from turnout.sources.messages import feed_lines
+
+TEXTS = [
+    '{"response":"yes","x":{"k":3,"t":[1,2.5]},"member":{"member_id":"1","age":7}}',
+    '{"group":{"group_topics":[{"urlkey":"a","new":1},null,{"new":"b"},5],"size":null}}',
+    '{"venue":"abc","event":[1],"group":{"group_topics":{"odd":1}},"y":true}',
+    '{"Response":"yes"}',
+    "{}", "hello", "", None, "[1]", "3", '{"x":1', "{'x':1}", '{"x":1,"x":2}', '{"x":1} tail',
+]
+
+
+def fields(frame):
+    return sorted((r.id, r.path, r.kind, r.value) for r in frame.collect())
+
+
+def test_fields_of_all_levels_are_found(raw):
+    assert fields(unknown_fields(raw(TEXTS), "id")) == [
+        (0, "member.age", "BIGINT", "7"),
+        (0, "x", "OBJECT<k: BIGINT, t: ARRAY<DECIMAL(21,1)>>", '{"k":3,"t":[1,2.5]}'),
+        (1, "group.group_topics[].new", "BIGINT", "1"),
+        (1, "group.group_topics[].new", "STRING", '"b"'),
+        (1, "group.size", "VOID", "null"),
+        (2, "y", "BOOLEAN", "true"),
+        (3, "Response", "STRING", '"yes"'),
+        (13, "x", "BIGINT", "1"),
+    ]
+
+
+def test_known_messages_have_none(raw):
+    frame = raw(['{"response":"yes","group":{"group_topics":[{"urlkey":"a","topic_name":"b"}]}}'])
+    assert unknown_fields(frame).isEmpty()
+    assert unknown_fields(raw([])).isEmpty()
+
+
+def test_types_that_do_not_fit_are_null(raw):
+    chosen = {"k": ("$.x.k", "int"), "t": ("$.x.t[1]", "double"), "z": ("$.x", "string")}
+    rows = variant_fields(raw(TEXTS), chosen, "id").orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(len(TEXTS)))  # no row is dropped
+    assert (rows[0].k, rows[0].t) == (3, 2.5)
+    assert [r.k for r in rows[1:]] == [None] * (len(TEXTS) - 1)
+
+
+def test_declared_and_unknown_fields_make_up_the_message(raw):
+    text = '{"response":"no","guests":"2","extra":1,"more":{"a":[]}}'
+    found = {r.path: json.loads(r.value) for r in unknown_fields(raw([text])).collect()}
+    known = parse_messages(raw([text])).first().asDict()
+    found |= {k: v for k, v in known.items() if v is not None and k != "timestamp"}
+    assert found == json.loads(text)
+
+
+def test_paths_are_counted(raw):
+    rows = unknown_paths(unknown_fields(raw(['{"a":1.5}', '{"a":22.75}', '{"a":"x"}']))).collect()
+    assert sorted(map(tuple, rows)) == [("a", "DECIMAL", 2), ("a", "STRING", 1)]
+
+
+@pytest.mark.parametrize("carry", [(), ("timestamp",)])
+def test_on_a_stream(spark, tmp_path, carry):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "0.txt").write_text("\n".join(t for t in TEXTS if t) + "\n")
+    frame = unknown_fields(feed_lines(spark, str(tmp_path / "feed")), *carry)
+    query = (
+        frame.writeStream.format("parquet").trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "cp")).start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    batch = unknown_fields(feed_lines(spark, str(tmp_path / "feed"), streaming=False), *carry)
+    found = spark.read.schema(frame.schema).parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, batch.collect()))
+    assert batch.count() == 8

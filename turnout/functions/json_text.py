@@ -20,8 +20,23 @@ def key_struct(text: Column) -> Column:
     other fields than the whole-message parser: pair it with :func:`key_columns`. On
     well-formed text both agree, with Spark's default of partial results for JSON.
     """
-    ddl = f"{KEY_MESSAGE_DDL}, {_BAD} STRING"
-    return F.from_json(text, ddl, {"columnNameOfCorruptRecord": _BAD})
+    return marked_struct(text, KEY_MESSAGE_DDL)
+
+
+def marked_struct(text: Column, ddl: str = MESSAGE_DDL) -> Column:
+    """Parse one message as :func:`message_struct` does, and keep text that did not parse cleanly
+    in a last field."""
+    return F.from_json(text, f"{ddl}, {_BAD} STRING", {"columnNameOfCorruptRecord": _BAD})
+
+
+def parsed_cleanly(struct: str) -> Column:
+    """Whether the struct column of :func:`marked_struct` is of a whole message. Empty text and NULL
+    are none."""
+    return F.col(struct).isNotNull() & F.col(f"{struct}.{_BAD}").isNull()
+
+
+def without_mark(struct: str) -> Column:
+    return F.col(struct).dropFields(_BAD)
 
 
 def if_bad(keys: str, value: Column) -> Column:
@@ -44,12 +59,16 @@ def is_json(text: Column) -> Column:
     Spark's readers stop after the first value. Here the text is the only element of an array
     and the only member of an object: text that ends early must close the array or the object,
     and no text closes both. Digits beyond the fortieth of a run decide nothing, and
-    readers refuse numbers of over 1,000, so they are left out.
+    readers refuse numbers of over 1,000, so they are left out. Spark's readers also take text in
+    single quotes, which strict ones refuse: such a quote outside of strings is looked for.
     """
+    strings = r'"(?:[^"\\]|\\.)*+"'
+    outside = F.when(F.contains(text, F.lit("'")), F.regexp_replace(text, strings, ""))
+    quoted = F.coalesce(F.contains(outside, F.lit("'")), F.lit(False))
     short = F.regexp_replace(text, "([0-9]{40})[0-9]+", "$1")
     element = F.json_array_length(F.concat(F.lit("["), short, F.lit("]")))
     members = F.json_object_keys(F.concat(F.lit('{"x":'), short, F.lit("}")))
-    return F.coalesce((element == 1) & (F.size(members) == 1), F.lit(False))
+    return F.coalesce(~quoted & (element == 1) & (F.size(members) == 1), F.lit(False))
 
 
 def record_text(*columns: str, keep_nulls: bool = True) -> Column:

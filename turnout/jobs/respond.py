@@ -10,7 +10,14 @@ from turnout.jobs.options import add_option, add_trigger, interval
 from turnout.plans.messages import counts_of, detail_of
 from turnout.session import job_session
 from turnout.sources.messages import feed_lines, file_messages, topic_messages
-from turnout.streaming.queries import ROWS_PER_TASK, await_all, start_counts, start_detail
+from turnout.streaming.progress import ProgressLog
+from turnout.streaming.queries import (
+    ROWS_PER_TASK,
+    await_all,
+    start_counts,
+    start_detail,
+    start_split_detail,
+)
 from turnout.streaming.sinks import (
     Sink,
     catalog_sink,
@@ -40,6 +47,10 @@ def arguments() -> ArgumentParser:
     )
     parser.add_argument("--document-connector", default="mongodb")
     add_option(parser, "--document-option", "the document writer; turns it on")
+    parser.add_argument(
+        "--malformed-path", help="folder for messages that do not parse; details get the others"
+    )
+    parser.add_argument("--progress-path", help="folder for the progress of each micro-batch")
     parser.add_argument("--count-path", help="folder of the count table")
     parser.add_argument("--count-table", help="catalog table for counts")
     parser.add_argument("--database-url")
@@ -121,15 +132,20 @@ def main(argv: Sequence[str] | None = None) -> None:
     for frame in (raw, detail_of(raw), counts_of(raw)):
         frame.printSchema()
 
-    queries = []
+    queries, log = [], None
+    if args.progress_path:
+        log = ProgressLog(spark, args.progress_path)
+        spark.streams.addListener(log)
     # A pool for each query: a long batch of details does not hold up the counts.
     if sinks := detail_sinks(args):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", "detail")
-        queries.append(
-            start_detail(
-                raw, sinks, f"{args.checkpoint}/detail", interval=interval(args), name="detail"
-            )
-        )
+        checkpoint, when = f"{args.checkpoint}/detail", interval(args)
+        if args.malformed_path:
+            other = table_sink(args.malformed_path)
+            query = start_split_detail(raw, sinks, other, checkpoint, interval=when, name="detail")
+        else:
+            query = start_detail(raw, sinks, checkpoint, interval=when, name="detail")
+        queries.append(query)
     if sinks := count_sinks(args):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", "counts")
         queries.append(
@@ -146,7 +162,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
     if not queries:
         parser.error("name at least one place for details or counts")
-    await_all(queries)
+    try:
+        await_all(queries)
+    finally:
+        if log is not None:
+            for query in queries:
+                log.wait(query)
+            spark.streams.removeListener(log)
 
 
 if __name__ == "__main__":

@@ -31,3 +31,14 @@ def count_changelog(keys: DataFrame) -> DataFrame:
     return per_batch.select(
         *KEYS, F.sum("in_batch").over(so_far).alias("response_count"), "batch_id"
     )
+
+
+def current_counts(table: DataFrame) -> DataFrame:
+    """The last total of each group in a table of changes, and the batch that brought it.
+
+    A total is chosen by its batch, not by its size, so it is also right where totals start again.
+    Counted within each task first: a group sends one row per task. A batch that was written
+    again changes nothing.
+    """
+    last = F.max_by("response_count", "batch_id").alias("response_count")
+    return table.groupBy(*KEYS).agg(last, F.max("batch_id").alias("batch_id"))

@@ -11,8 +11,11 @@ from turnout.functions.json_text import (
     is_json,
     key_columns,
     key_struct,
+    marked_struct,
     message_struct,
+    parsed_cleanly,
     record_text,
+    without_mark,
 )
 from turnout.functions.schema import DETAIL_FIELDS
 
@@ -64,13 +67,57 @@ def encode_records(frame: DataFrame) -> DataFrame:
     return frame.select(record_text().cast("binary").alias("value"))
 
 
-def feed_records(lines: DataFrame) -> DataFrame:
-    """Feed lines that are JSON, unchanged, as a binary ``value`` column."""
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """Feed lines as text, and ``is_json``: whether the whole line is JSON."""
     text = F.col("value").cast("string")
-    return lines.filter(is_json(text)).select(text.cast("binary").alias("value"))
+    return lines.select(text.alias("value"), is_json(text).alias("is_json"))
+
+
+def good_lines(judged: DataFrame) -> DataFrame:
+    """Judged lines that are JSON, unchanged, as a binary ``value`` column."""
+    return judged.filter("is_json").select(F.col("value").cast("binary").alias("value"))
+
+
+def bad_lines(judged: DataFrame) -> DataFrame:
+    """The other judged lines, as text; with ``good_lines`` they are all lines."""
+    return judged.filter("not is_json").select("value")
+
+
+def feed_records(lines: DataFrame) -> DataFrame:
+    """``good_lines`` of feed lines."""
+    return good_lines(judged_lines(lines))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
-    """The other feed lines, as text; with ``feed_records`` they are all lines."""
-    text = F.col("value").cast("string")
-    return lines.filter(~is_json(text)).select(text.alias("value"))
+    """``bad_lines`` of feed lines."""
+    return bad_lines(judged_lines(lines))
+
+
+def split_messages(raw: DataFrame, *carry: str) -> DataFrame:
+    """Each message parsed once: ``message``, ``is_clean``, its text ``value``, ``timestamp`` and the
+    columns of ``raw`` named in ``carry``.
+
+    Clean messages parse as the whole schema declares. Others are cut off, are no object, have a
+    field of another shape, or are empty or NULL; what could be read of them is in ``message``.
+    """
+    return (
+        message_text(raw, *carry)
+        .select(marked_struct(F.col("value")).alias("message"), "value", "timestamp", *carry)
+        .select(
+            without_mark("message").alias("message"),
+            parsed_cleanly("message").alias("is_clean"),
+            "value",
+            "timestamp",
+            *carry,
+        )
+    )
+
+
+def clean_messages(split: DataFrame, *carry: str) -> DataFrame:
+    """What ``parse_messages`` gives of the clean messages."""
+    return split.filter("is_clean").select("message.*", "timestamp", *carry)
+
+
+def malformed_messages(split: DataFrame, *carry: str) -> DataFrame:
+    """Text and time of the other messages; with ``clean_messages`` they are all."""
+    return split.filter("not is_clean").select("value", "timestamp", *carry)

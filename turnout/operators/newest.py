@@ -49,10 +49,17 @@ def top_groups(newest: DataFrame, n: int = 10) -> DataFrame:
     return newest.orderBy(*ranking()).limit(n)
 
 
-def yes_no_counts(newest: DataFrame, n: int = 10) -> DataFrame:
-    """The same rows as :func:`top_groups`, with the count under its response."""
+def yes_no_counts(newest: DataFrame, n: int = 10, collation: str | None = None) -> DataFrame:
+    """The same rows as :func:`top_groups`, with the count under its response.
+
+    Responses are compared by their bytes, or under a ``collation``: with UTF8_LCASE, ``YES`` is
+    counted as ``yes``. It changes no key and no order.
+    """
+    response_of = F.col("response")
+    if collation is not None:
+        response_of = F.collate(response_of, collation)
     bars = [
-        F.when(F.col("response") == response, F.col("response_count")).otherwise(0).alias(name)
+        F.when(response_of == response, F.col("response_count")).otherwise(0).alias(name)
         for name, response in BARS.items()
     ]
     return top_groups(newest, n).select("group_name", *bars)

@@ -6,12 +6,20 @@ queries and the replay of a batch rely on.
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from time import monotonic
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from turnout.operators.messages import rejected_lines
+from turnout.operators.messages import (
+    bad_lines,
+    clean_messages,
+    flatten_detail,
+    judged_lines,
+    malformed_messages,
+    split_messages,
+)
 from turnout.plans.messages import counts_of, detail_of
 from turnout.streaming.sinks import Sink, fan_out, lines_sink
 
@@ -77,6 +85,31 @@ def start_detail(
     return _start(writer, name, checkpoint, interval)
 
 
+def start_split_detail(
+    raw: DataFrame,
+    sinks: Sequence[Sink],
+    malformed: Sink,
+    checkpoint: str,
+    *,
+    interval: str | None = INTERVAL,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Detail rows of clean messages to the sinks, text and time of the others to ``malformed``.
+
+    Each message is parsed once and goes to one of the two: no message is lost.
+    """
+    kept = _sink(sinks)
+
+    def clean(batch: DataFrame, batch_id: int) -> None:
+        kept(flatten_detail(clean_messages(batch)), batch_id)
+
+    def other(batch: DataFrame, batch_id: int) -> None:
+        malformed(malformed_messages(batch), batch_id)
+
+    writer = split_messages(raw).writeStream.outputMode("append")
+    return _start(writer.foreachBatch(fan_out(clean, other)), name, checkpoint, interval)
+
+
 def start_counts(
     raw: DataFrame,
     sinks: Sequence[Sink],
@@ -133,17 +166,32 @@ def start_publish(
 ) -> StreamingQuery:
     """Feed lines to a topic, one message per line, without a key; at least once.
 
-    Lines that are not JSON go to the sink ``rejected``, with their text: no line is lost.
+    Lines that are not JSON go to the sink ``rejected``, with their text: no line is lost. Each line
+    is judged once; both sinks read the flag.
     """
     published = lines_sink(servers, topic, connector, **options)
 
     def refused(batch: DataFrame, batch_id: int) -> None:
-        rejected(rejected_lines(batch), batch_id)
+        rejected(bad_lines(batch), batch_id)
 
-    writer = lines.select("value").writeStream.outputMode("append")
+    writer = judged_lines(lines).writeStream.outputMode("append")
     return _start(writer.foreachBatch(fan_out(published, refused)), name, checkpoint, interval)
 
 
+def await_batch(query: StreamingQuery, batch_id: int, seconds: float) -> bool:
+    """Wait until micro-batch ``batch_id`` is done, by the query's progress; False if it is not done
+    in time or the query has ended without it. A failure of the query is raised."""
+    until = monotonic() + seconds
+    while monotonic() < until:
+        last = query.lastProgress
+        if last is not None and last["batchId"] >= batch_id:
+            return True
+        if query.awaitTermination(0.1):
+            last = query.lastProgress
+            return last is not None and last["batchId"] >= batch_id
+    return False
+
+
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait until all queries have ended. If one fails, stop the others and raise."""
     try:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from turnout.operators.messages import encode_records, feed_records
+from turnout.operators.messages import encode_records, good_lines
 from turnout.sources.results import NEWEST, NEWEST_PROPERTY, newest_note
 
 Sink = Callable[[DataFrame, int], None]
@@ -124,11 +124,11 @@ def database_sink(
 
 
 def lines_sink(servers: str, topic: str, connector: str = "kafka", **options: str) -> Sink:
-    """Publish feed lines that are JSON as they are. At least once."""
+    """Publish judged feed lines that are JSON as they are. At least once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            feed_records(batch)
+            good_lines(batch)
             .write.format(connector)
             .mode("append")
             .option("kafka.bootstrap.servers", servers)
