@@ -67,6 +67,7 @@ def test_equals_brute_force(spark, documents):
 def test_templates_and_small_blocks(spark, documents, monkeypatch):
     """Texts near the border share buckets but few links: all pairs across components are met."""
     monkeypatch.setattr(minmax, "BLOCK", 3)
+    monkeypatch.setattr(minmax, "MINORS", 3)
     rng = random.Random(3)
     rows = []
     for i in range(60):
@@ -118,8 +119,26 @@ def test_confirmed_and_alike_directly(spark):
     pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "a long, b long")
     assert [tuple(r) for r in confirmed(pairs, docs, 2, 80).collect()] == [(0, 1)]
     signature = bytearray(288)
-    rows = [(1, 0, 0, 0, i, 10, i // 2, signature) for i in range(4)]
-    frame = spark.createDataFrame(
-        rows, "bucket long, i long, j long, side int, _row long, size long, part long, signature binary"
-    )
-    assert sorted(tuple(r) for r in alike(frame, 80).collect()) == [(0, 2), (0, 3), (1, 2), (1, 3)]
+    rows = [(1, 0, 0, 0, i, i // 2, 10, [7, 1, i % 2], signature) for i in range(4)]
+    ddl = "bucket long, i long, j long, side int, _row long, part long, size long, buckets array<long>"
+    found = alike(spark.createDataFrame(rows, f"{ddl}, signature binary"), 80).collect()
+    assert found == []  # all share bucket 7 before
+    rows = [(7, *row[1:]) for row in rows]
+    found = alike(spark.createDataFrame(rows, f"{ddl}, signature binary"), 80).collect()
+    assert sorted(tuple(r) for r in found) == [(0, 2), (0, 3), (1, 2), (1, 3)]
+
+
+def test_large_group_with_strangers(spark, documents, monkeypatch):
+    """Strangers meet a large group in many buckets; some are linked to one of its rows alone."""
+    monkeypatch.setattr(minmax, "BLOCK", 16)
+    rng = random.Random(5)
+    base = [f"b{j}" for j in range(80)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(80), 3 if i < 110 else rng.randrange(4, 9)):
+            words[at] = f"own{rng.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    found, _ = got(near_copies(documents(rows)))
+    expected = brute(rows)
+    assert found == expected and len({c for _, _, c in expected}) > 3

@@ -12,10 +12,12 @@ Texts with equal sets form one class first, and one text of each class goes on.
 pairs in two rounds, and every proposed pair is confirmed on the full sets:
 
 1. the first row of a bucket with each other one (a star);
-2. after these links have been made components, rows of one bucket in different components. The rows
-   of a bucket's largest component are not compared with each other, so a bucket of n copies with
-   few strangers costs n comparisons for each stranger. Rows are compared by their signatures, block
-   against block within tasks; only pairs whose estimate admits a link leave a task.
+2. after these links have been made components, rows of one bucket in different components. A row
+   that meets a bucket's largest component is compared with all of it, once, wherever they meet, and
+   the rows of that component not with each other: n copies with few strangers cost n comparisons
+   for each stranger. The other rows of a bucket are compared with each other, each pair in the first
+   bucket that it shares. This is done block against block within tasks, by sizes and signatures
+   first; no pair is emitted that these rule out.
 """
 
 from collections.abc import Iterator
@@ -37,8 +39,11 @@ PERMUTATIONS = ROWS * BANDS // 2
 #: Least share of equal values at which a pair of PERCENT is still looked at: seven standard
 #: deviations of 2 * PERMUTATIONS independent values below 0.8; a link is lost to it once in 1e12.
 ADMITTED = 0.635
-#: Rows of a bucket, or partners of a row, that are compared at once.
-BLOCK = 256
+#: Partners of a row, or rows of a component and their strangers, whose texts meet in a task, and the
+#: entries of their sets.
+BLOCK, BLOCK_ENTRIES = 256, 1 << 20
+#: Rows of a bucket whose signatures meet in a task.
+MINORS = 1024
 HASH_BYTES = 1 << 19
 
 _random = np.random.Generator(np.random.PCG64(20250612))
@@ -105,6 +110,16 @@ def admitted_sizes(x: str, y: str, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def overlapping(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Numbers of the sets that overlap a set by ``percent`` of the union. None is empty."""
+    size = np.array([len(s) for s in others])
+    entries = np.concatenate(others)
+    place = np.searchsorted(own, entries)
+    place[place == len(own)] = 0
+    shared = np.add.reduceat(own[place] == entries, np.cumsum(size) - size, dtype=np.int64)
+    return np.flatnonzero(100 * shared >= percent * (size + len(own) - shared))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of rows whose full sets overlap enough.
 
@@ -129,13 +144,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
             if len(names) == 1:
                 continue
             sets = [s for t in group[TEXT].to_pylist() for s in shingle_sets([t], n)]
-            size = np.array([len(s) for s in sets[1:]])
-            entries = np.concatenate(sets[1:])
-            known = np.isin(entries, sets[0])
-            partner = np.repeat(np.arange(len(size)), size)
-            shared = np.bincount(partner, known, len(size)).astype(np.int64)
-            union = size + len(sets[0]) - shared
-            found = np.flatnonzero(100 * shared >= percent * union).tolist()
+            found = overlapping(sets[0], sets[1:], percent).tolist()
             links = [[names[0]] * len(found), [names[1 + i] for i in found]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links], ["a", "b"])
 
@@ -144,85 +153,153 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
     return dealt.select("a", "block", ROW, TEXT).mapInArrow(confirm, "a long, b long")
 
 
+def byte_rows(group: pa.Table) -> np.ndarray:
+    held = b"".join(group["signature"].to_pylist())
+    return np.frombuffer(held, np.uint8).reshape(group.num_rows, -1)
+
+
+def admitted(x: int, y: np.ndarray, size: np.ndarray, values: np.ndarray, percent: int) -> np.ndarray:
+    """Those of the rows ``y`` whose size and signature admit a link with the row ``x``."""
+    y = y[100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])]
+    return y[(values[y] == values[x]).mean(1) >= ADMITTED]
+
+
 def alike(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of rows that meet in a task (bucket, i, j), whose sizes and signatures admit a
-    link and whose ``part`` differs. ``side`` 0 is compared with 1, or with itself if alone."""
+    """Pairs (a, b) of rows that meet in a task (bucket, i, j), of different ``part``, whose sizes
+    and signatures admit a link, each in the first of the ``buckets`` it shares. ``side`` 0 is
+    compared with 1, or with itself if alone."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["bucket", "i", "j"]):
             names, size = group[ROW].to_numpy(), group["size"].to_numpy()
             part, side = group["part"].to_numpy(), group["side"].to_numpy()
-            held = b"".join(group["signature"].to_pylist())
-            values = np.frombuffer(held, np.uint8).reshape(len(names), -1)
+            values, here = byte_rows(group), group["bucket"][0].as_py()
+            keys = group["buckets"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
             left = np.flatnonzero(side == 0)
-            right = left if (side == 0).all() else np.flatnonzero(side == 1)
-            a, b = [], []
-            for x in left.tolist():
-                least = np.minimum(size[x], size[right])
-                fits = 100 * least >= percent * np.maximum(size[x], size[right])
-                y = right[fits & (part[right] != part[x])]
-                same = (values[y] == values[x]).mean(1) >= ADMITTED
-                y = y[same]
-                a.append(np.minimum(names[x], names[y]))
-                b.append(np.maximum(names[x], names[y]))
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), pa.int64()) for c in (a, b)], ["a", "b"]
-                )
+            alone = len(left) == len(side)
+            right = left if alone else np.flatnonzero(side == 1)
+            for n, x in enumerate(left.tolist()):
+                y = right[n + 1 :] if alone else right
+                y = admitted(x, y[part[y] != part[x]], size, values, percent)
+                shared = keys[y] == keys[x]
+                y = y[keys[x][shared.argmax(1)] == here] if len(y) else y
+                if len(y):
+                    pair = np.sort(np.stack([np.full(len(y), names[x]), names[y]]), 0)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in pair], ["a", "b"])
 
     task = ["bucket", "i", "j"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, *task).sortWithinPartitions(*task)
-    columns = [*task, "side", ROW, "size", "part", "signature"]
-    return dealt.select(*columns).mapInArrow(compare, "a long, b long").distinct()
+    columns = [*task, "side", ROW, "part", "size", "buckets", "signature"]
+    return dealt.select(*columns).mapInArrow(compare, "a long, b long")
+
+
+def linked(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between rows of ``side`` 0 and 1 that meet in a task (part, i, j)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["part", "i", "j"]):
+            names, size = group[ROW].to_numpy(), group["size"].to_numpy()
+            side, values = group["side"].to_numpy(), byte_rows(group)
+            right = np.flatnonzero(side == 1)
+            pairs = [(x, admitted(x, right, size, values, percent)) for x in np.flatnonzero(side == 0)]
+            pairs = [(x, y) for x, y in pairs if len(y)]
+            if not pairs:
+                continue
+            used = np.unique(np.concatenate([[x for x, _ in pairs], *(y for _, y in pairs)]))
+            texts = group[TEXT].take(pa.array(used)).to_pylist()
+            sets = dict(zip(used.tolist(), shingle_sets(texts, n)))
+            for x, y in pairs:
+                found = y[overlapping(sets[int(x)], [sets[k] for k in y.tolist()], percent)]
+                if len(found):
+                    both = np.full(len(found), names[x]), names[found]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in both], ["a", "b"])
+
+    task = ["part", "i", "j"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, *task).sortWithinPartitions(*task)
+    columns = [*task, "side", ROW, "size", "signature", TEXT]
+    return dealt.select(*columns).mapInArrow(compare, "a long, b long")
+
+
+def up_to(first, last):
+    """One row for each number from ``first`` to ``last``, none if there is none."""
+    return F.explode(F.filter(F.sequence(first, F.greatest(first, last)), lambda x: x <= last))
 
 
-def across(members: DataFrame, of: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows that share a bucket of ``members`` but no component, and may be linked.
+def among_minors(minors: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows of one bucket that may be linked; rows of its largest component are left out."""
+    counted = minors.groupBy("bucket").agg(
+        F.ceil(F.count("*") / MINORS).alias("blocks"),
+        F.min("part").alias("p"),
+        F.max("part").alias("q"),
+    )
+    rows = minors.join(counted.filter("p != q").select("bucket", "blocks"), "bucket")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(ROW), F.col("blocks"))).join(known, ROW)
+    zero, own = F.lit(0).cast("long"), F.col("own")
+
+    def tasks(side, i, j):
+        columns = ["bucket", i.alias("i"), j.alias("j"), F.lit(side).alias("side"), ROW, "part"]
+        return rows.select(*columns, "size", "buckets", "signature")
+
+    upper, lower = up_to(own, F.col("blocks") - 1), up_to(zero, own - 1)
+    return alike(tasks(0, own, upper).unionAll(tasks(1, lower, own)), percent)
+
+
+def with_largest(
+    minors: DataFrame, of: DataFrame, known: DataFrame, reps: DataFrame, n: int, percent: int
+) -> DataFrame:
+    """Links of rows with the largest components of their buckets. Each row and component meet once,
+    whatever the number of buckets that they share."""
+    known = known.select(ROW, "size", "signature")
+    asks = minors.filter("is_met").select(F.col("largest").alias("part"), ROW).distinct()
+    whole = of.unionAll(of.select(F.col("part").alias(ROW), "part").distinct())
+    members = whole.select("part", ROW).join(asks.select("part").distinct(), "part", "semi")
+    sides = [stored(side.join(known, ROW), "sides") for side in (asks, members)]
+    counts = [
+        side.groupBy("part").agg(
+            F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_ENTRIES)).alias(name)
+        )
+        for side, name in zip(sides, ("asked", "held"))
+    ]
+    blocks = counts[0].join(counts[1], "part")
+    zero = F.lit(0).cast("long")
+
+    def tasks(side, own, other):
+        rows = sides[side].join(blocks, "part")
+        mine = F.pmod(F.xxhash64(ROW), F.col(own))
+        each = up_to(zero, F.col(other) - 1)
+        i, j = (each, mine) if side else (mine, each)
+        return rows.select(
+            "part", i.alias("i"), j.alias("j"), F.lit(side).alias("side"), ROW, "size", "signature"
+        )
 
-    ``of`` has the component ``part`` of the rows that have links, ``known`` size and signature of
-    all rows.
+    both = tasks(0, "asked", "held").unionAll(tasks(1, "held", "asked"))
+    return linked(both.hint("merge").join(reps, ROW), n, percent)
+
+
+def minor_rows(members: DataFrame, of: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, but those of the bucket's largest one.
+
+    ``is_met``: whether that one has several rows in the bucket. If it has not, all are alike, and
+    none is left out.
     """
     placed = members.join(of, ROW, "left").withColumn("part", F.coalesce("part", ROW))
-    mixed = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-    mixed = mixed.filter("p != q").select("bucket")
-    placed = stored(placed.join(mixed, "bucket", "semi"), "mixed")
+    placed = stored(placed, "placed")
     sizes = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("all")
-    )
-    plan = largest.select(
-        "bucket",
-        F.col("most.part").alias("largest"),
-        F.ceil((F.col("all") - F.col("most.n")) / BLOCK).alias("minor"),
-        F.ceil(F.col("most.n") / BLOCK).alias("major"),
+        F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("parts")
     )
-    rows = placed.join(plan, "bucket").withColumn("is_major", F.col("part") == F.col("largest"))
-    of_kind = F.when(F.col("is_major"), F.col("major")).otherwise(F.col("minor"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64(ROW), of_kind)).join(known, ROW)
-    zero = F.lit(0).cast("long")
-
-    # Blocks of the others are numbered first: i is one of them, j one of them after i or a block
-    # of the largest component.
-    def tasks(when, side, i, j):
-        return rows.filter(when).select("bucket", i.alias("i"), j.alias("j"),
-                                        F.lit(side).alias("side"), ROW, "size", "part", "signature")
-
-    upper = F.explode(F.sequence(F.col("own"), F.col("minor") + F.col("major") - 1))
-    lower = F.explode(F.sequence(zero, F.col("own") - 1))
-    each = F.explode(F.sequence(zero, F.col("minor") - 1))
-    meets = (
-        tasks("not is_major", 0, F.col("own"), upper)
-        .unionAll(tasks("not is_major and own > 0", 1, lower, F.col("own")))
-        .unionAll(tasks("is_major", 1, each, F.col("minor") + F.col("own")))
+    plan = largest.filter("parts > 1").select(
+        "bucket", F.col("most.part").alias("largest"), (F.col("most.n") > 1).alias("is_met")
     )
-    return alike(meets, percent)
+    rows = placed.join(plan, "bucket").filter("part != largest or not is_met")
+    return stored(rows, "minors")
 
 
 def class_links(reps: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) of the rows ``reps`` that connect what all links would connect."""
     made = stored(signed(reps, n), "signed")
-    known = made.select(ROW, "size", "signature")
     held = made.select(ROW, "size", F.explode("buckets").alias("bucket"))
     # Counted within tasks first: a common bucket sends one row from each.
     shared = held.groupBy("bucket").agg(
@@ -236,11 +313,13 @@ def class_links(reps: DataFrame, n: int, percent: int) -> DataFrame:
     links = stored(confirmed(pairs, reps, n, percent), "found")
 
     of = components(links).select(F.col("a").alias(ROW), F.col("b").alias("part"))
-    more = across(members.select("bucket", ROW), of, known, percent)
+    minors = minor_rows(members.select("bucket", ROW), of)
+    if minors.isEmpty():
+        return links
+    links = links.unionAll(stored(with_largest(minors, of, made, reps, n, percent), "found"))
+    more = among_minors(minors, made, percent)
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(more.join(tested, ["a", "b"], "anti"), "pairs")
-    if more.isEmpty():
-        return links
     return links.unionAll(stored(confirmed(more, reps, n, percent), "found"))
 
 
