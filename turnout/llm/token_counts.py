@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnout.llm.tables import stored
 from turnout.llm.text import text_chunks
 from turnout.llm.tokens import byte_bpe
 
@@ -45,9 +46,10 @@ def context_limits(histogram: DataFrame) -> DataFrame:
     nothing happens but that tokens_kept grows by docs_over for each token.
 
     No task sums the whole histogram: a block's rows are summed by one task, and one row per block
-    is summed over all blocks. Empty input gives no rows.
+    is summed over all blocks. Empty input gives no rows. The histogram is written once, as it is read
+    twice: a row for each length, not for each document.
     """
-    rows = histogram.select(
+    rows = stored(histogram, "histogram").select(
         "length",
         "n_docs",
         (F.col("length") * F.col("n_docs")).alias("n_tokens"),
