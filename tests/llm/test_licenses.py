@@ -69,6 +69,31 @@ def test_malformed_expressions(text):
     assert parse(text.encode()) is None
 
 
-def test_many_choices_stay_bounded():
-    value = parse(b" AND ".join(b"(a%d OR b%d)" % (i, i) for i in range(40)))
-    assert len(value.names) == 80 and value.choices == frozenset()
+def test_no_choice_is_lost():
+    names = [f"a{i}" for i in range(300)]
+    value = parse(" OR ".join(names).encode())
+    assert value.choices == {frozenset([n]) for n in names} and value.written() == " or ".join(sorted(names))
+    value = parse(f"({' OR '.join(names[:257])}) OR x".encode())
+    assert len(value.choices) == 258 and frozenset(["x"]) in value.choices
+    value = parse(f"({' OR '.join(names[:257])}) AND x".encode())
+    assert value.choices == {frozenset([n, "x"]) for n in names[:257]}
+
+
+def test_products_of_choices_are_written_as_they_stand():
+    value = parse(b" AND ".join(b"(b%d OR a%d)" % (i, i) for i in range(40)))
+    assert len(value.names) == 80 and value.choices is None
+    assert value.written() == " and ".join(sorted(f"(a{i} or b{i})" for i in range(40)))
+    text = b" AND ".join(b"(b%d OR a%d)" % (i, i) for i in range(40))
+    # What comes before or after an expression that is not expanded is kept too.
+    for whole in (b"x OR " + text, text + b" OR x", b"(" + text + b") OR x"):
+        assert parse(whole).written() == value.written() + " or x"
+    assert parse(b"x AND (" + text + b" OR y)").written() == f"({value.written()} or y) and x"
+    assert parse(b"(" + text + b") WITH e") is None
+
+
+def test_long_chains_take_time_by_length():
+    for op in (b" OR ", b" AND "):
+        value = parse(op.join(b"n%d" % i for i in range(60000)))
+        assert len(value.names) == 60000
+        assert value.written() == op.decode().lower().join(sorted(f"n{i}" for i in range(60000)))
+    assert parse(b"(" * 3000 + b"a" + b" OR b)" * 3000).written() == "a or b"

@@ -46,23 +46,63 @@ BINDS = {"or": 1, "and": 2, "with": 3}
 TAG_WEIGHT, BASE_WEIGHT, NOTICE_WEIGHT = 0.95, 0.8, 0.6
 
 
-class Expression(NamedTuple):
-    """``names``: all identifiers. ``choices``: the sets of licences, any one of which is enough,
-    with exceptions written "licence with exception"."""
-
-    names: frozenset[str]
-    choices: frozenset[frozenset[str]]
+#: Licences in all choices of an expression up to which it is expanded into its choices.
+EXPANDED = 4096
 
 
-MOST_CHOICES = 256
+class Expression:
+    """``names``: all identifiers. ``choices``: the sets of licences, any one of which is enough,
+    with exceptions written "licence with exception"; None where they would hold more than EXPANDED
+    licences, as products of choices grow exponentially. ``op`` and ``parts``: the expression as it
+    stands, the texts of the operands of one AND or OR, or one licence."""
+
+    def __init__(self, licence: str) -> None:
+        self.names, self.op, self.parts = {licence}, "", {licence}
+        self.choices: set[frozenset[str]] | None = {frozenset([licence])}
+        self.size = 1  # licences in all choices
+
+    def written(self) -> str:
+        """The expression in normal form; nothing of it is left out, whether expanded or not."""
+        if self.choices is None:
+            return f" {self.op} ".join(sorted(self.parts))
+        return " or ".join(sorted(" and ".join(sorted(c)) for c in self.choices))
+
+    def operands(self, op: str) -> set[str]:
+        if self.op in ("", op):
+            return self.parts
+        text = f" {self.op} ".join(sorted(self.parts))
+        return {f"({text})" if self.op == "or" else text}
+
+    def joined(self, op: str, other: "Expression") -> "Expression":
+        """Both joined by AND or OR. The smaller one is added to the larger, so that a long chain
+        costs its length."""
+        if len(self.names) < len(other.names):
+            self, other = other, self
+        parts, more = self.operands(op), other.operands(op)
+        if op == "or" and self.choices is not None and other.choices is not None:
+            self.choices |= other.choices
+            self.size += other.size
+        elif op == "and" and self.choices is not None and other.choices is not None:
+            size = self.size * len(other.choices) + other.size * len(self.choices)
+            self.choices = (
+                {a | b for a in self.choices for b in other.choices} if size <= EXPANDED else None
+            )
+            self.size = size
+        else:
+            self.choices = None
+        if self.choices is not None and self.size > EXPANDED:
+            self.choices = None
+        parts |= more
+        self.names |= other.names
+        self.op, self.parts = op, parts
+        return self
 
 
 def parse(text: bytes) -> Expression | None:
     """The value of a licence expression; None if it is none.
 
     Operators wait on a stack until one that binds less tightly comes; values are combined as they
-    leave it: OR joins the choices, AND pairs them, WITH adds an exception to a single licence. An
-    expression with more than MOST_CHOICES choices keeps its names and has the empty set of choices.
+    leave it: OR joins the choices, AND pairs them, WITH adds an exception to a single licence.
     """
     values: list[Expression] = []
     waiting: list[str] = []
@@ -73,19 +113,14 @@ def parse(text: bytes) -> Expression | None:
         if len(values) < 2:
             return False
         right, left = values.pop(), values.pop()
-        names = left.names | right.names
-        if op == "or":
-            choices = left.choices | right.choices
-        elif op == "and":
-            choices = frozenset()
-            if len(left.choices) * len(right.choices) <= MOST_CHOICES:
-                choices = frozenset(a | b for a in left.choices for b in right.choices)
-        else:
-            if len(left.names) != 1 or len(right.names) != 1:
-                return False
-            names = left.names
-            choices = frozenset([frozenset([f"{min(left.names)} with {min(right.names)}"])])
-        values.append(Expression(names, choices if len(choices) <= MOST_CHOICES else frozenset()))
+        if op != "with":
+            values.append(left.joined(op, right))
+            return True
+        if len(left.names) != 1 or len(right.names) != 1:
+            return False
+        value = Expression(f"{min(left.names)} with {min(right.names)}")
+        value.names = left.names
+        values.append(value)
         return True
 
     for token in TOKEN.findall(text):
@@ -114,7 +149,7 @@ def parse(text: bytes) -> Expression | None:
         else:
             if not operand:
                 break  # prose after the expression
-            values.append(Expression(frozenset([word]), frozenset([frozenset([word])])))
+            values.append(Expression(word))
             operand = False
     while waiting:
         if waiting[-1] == "(" or not apply():
@@ -169,7 +204,7 @@ def scan(text: bytes, automaton: ahocorasick.Automaton) -> Scan:
         line.count(" ", 0, max(starts)) if starts else None,
         sorted(base),
         sorted(base | other | named),
-        sorted({" or ".join(sorted(" and ".join(sorted(c)) for c in e.choices)) for e in valid}),
+        sorted({e.written() for e in valid}),
         1 - doubt,
     )
 
@@ -188,7 +223,8 @@ def scan_licenses(
     notices: dict[str, str] | None = None,
 ) -> DataFrame:
     """Per row: words, places of base phrases, the first and last place in words, sorted distinct
-    labels of base phrases and of all evidence, licence expressions in normal form and a score.
+    labels of base phrases and of all evidence, licence expressions in normal form and a score. An
+    expression is written as its choices, or where these would be too many as it stands, sorted.
 
     A null text is empty; a text without evidence has no labels and score 0. Each place counts,
     also of phrases that overlap; a malformed expression adds nothing. Equal rows get equal rows.
