@@ -6,20 +6,24 @@ from turnout.llm.tables import table
 
 
 def brute(rows, every, k):
-    use = {}
+    """Per query id, the lists of its rows; all rows count, whatever their ids."""
+    use = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
             continue
-        use[i] = min(use.get(i, v), v)
-    ids = np.array(sorted(use))
-    matrix = np.array([use[i] for i in ids], np.float32).astype(float)
+        use.append((i, np.array(v, np.float32).astype(float)))
+    use = [(i, v) for i, v in use if v.any()]
+    ids = np.array([i for i, _ in use], np.int64)
+    matrix = np.zeros((len(use), max((len(v) for _, v in use), default=0)))
+    for n, (_, v) in enumerate(use):
+        matrix[n, : len(v)] = v
     out = {}
     for n, i in enumerate(ids):
         if i % every == 0:
             score = matrix @ matrix[n]
-            order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:k]
-            out[int(i)] = [(int(ids[j]), float(score[j])) for j in order]
-    return out
+            order = [j for j in np.lexsort((ids, -score)) if j != n][:k]
+            out.setdefault(int(i), []).append([(int(ids[j]), float(score[j])) for j in order])
+    return {i: sorted(lists)[0] if len(lists) == 1 else lists for i, lists in out.items()}
 
 
 def got(frame, id="vec_id"):
@@ -40,7 +44,7 @@ def test_equal_and_unusable_vectors(spark):
     base = rng.integers(-3, 4, (30, 8)).astype(float).tolist()
     rows = [(i, base[i % 30]) for i in range(200)] + [(400 + i, base[0]) for i in range(60)]
     rows += [(500, None), (520, [0.0] * 8), (540, [float("nan")] * 8), (560, [None] + [1.0] * 7)]
-    rows += [(None, base[1]), (20, rows[20][1]), (580, [float("inf")] + [1.0] * 7)]
+    rows += [(None, base[1]), (580, [float("inf")] + [1.0] * 7)]
     # All buckets are visited: results are exact, ties included.
     found = got(nearest(frame_of(spark, rows), every=20, k=9, hashes=1, probes=3, width=50.0, tables=1))
     expected = brute(rows, 20, 9)
@@ -108,3 +112,48 @@ def test_one_long_vector(spark):
     assert found.keys() == expected.keys() and all(len(row) == 20 for row in found.values())
     share = [len({x for x, _ in found[i]} & {x for x, _ in row}) / 20 for i, row in expected.items()]
     assert np.mean(share) >= 0.9
+
+
+def lists_of(frame):
+    """Per query id, its lists by rank: one for each of its rows, merged and sorted."""
+    out = {}
+    for r in frame.collect():
+        out.setdefault((r.query_id, r["rank"]), []).append((r.vec_id, round(r.score, 9)))
+    return {key: sorted(found) for key, found in out.items()}
+
+
+def merged(expected):
+    out = {}
+    for i, found in expected.items():
+        for one in found if found and isinstance(found[0], list) else [found]:
+            for rank, (j, score) in enumerate(one, 1):
+                out.setdefault((i, rank), []).append((j, round(score, 9)))
+    return {key: sorted(found) for key, found in out.items()}
+
+
+def test_all_rows_that_share_an_id_count(spark):
+    for rows in (
+        [(0, [1.0, 0.0]), (0, [2.0, 0.0]), (2, [0.5, 1.0])],
+        [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 0.0])],
+        [(0, [1.0, 0.0])] * 3 + [(20, [1.0, 0.0]), (1, [1.0, 0.0])],
+    ):
+        assert lists_of(nearest(frame_of(spark, rows))) == merged(brute(rows, 20, 20))
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(0, 60)), rng.integers(-2, 3, 4).astype(float).tolist()) for _ in range(150)]
+    exact = dict(hashes=1, probes=3, width=50.0, tables=1)
+    for k in (3, 200):
+        found = nearest(frame_of(spark, rows), every=5, k=k, **exact)
+        assert lists_of(found) == merged(brute(rows, 5, k))
+
+
+def test_tiny_huge_and_unequal_vectors(spark):
+    def doubles(rows):
+        return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    rows = [(0, [1e-200, 0.0]), (1, [1e200, 0.0]), (2, [1.0, 1.0]), (20, [1e308, -1e308]), (3, [5e-324, 0.0])]
+    found = got(nearest(doubles(rows)))
+    assert [x for x, _ in found[0]] == [20, 1, 2, 3] and found[0][1][1] == 1e-200 * 1e200
+    assert found[20][0] == (1, float("inf")) and {x for x, _ in found[20]} == {0, 1, 2, 3}
+    rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, [1.0, 1.0, 9.0]), (20, [0.0, 0.0, 1.0]), (4, [])]
+    assert got(nearest(frame_of(spark, rows))) == brute(rows, 20, 20)
+    assert got(nearest(frame_of(spark, [(0, [0.0, 0.0]), (20, [0.0, 1.0])]))) == {}

@@ -8,8 +8,8 @@ projections on normal (2-stable) vectors, cut into steps of WIDTH. A query visit
 and those that differ by single steps of some projections, in the order of their estimated chance
 to hold a near vector: the sum of squared distances to the borders that are crossed.
 
-Vectors are equal in groups: one row stands for each distinct vector, with its least ids, as no
-more than those can be among the nearest. Buckets are split into blocks of about BLOCK distinct
+Vectors are equal in groups: one row stands for each distinct vector, with its rows of the least ids,
+as no more than those can be among the nearest. Buckets are split into blocks of about BLOCK distinct
 vectors; a block is searched by exact inner products, its best go on, and the best of all tables
 are kept for each query. Queries that meet too few vectors are searched against all of them, block
 by block.
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +35,14 @@ QUERY_BLOCK = 1024
 #: Queries that a block is searched for at once when all blocks are.
 SHARE = 16384
 VECTORS_AT_ONCE = 256
+#: The last band holds all shorter vectors.
+MOST_BAND = 60
 
 
 @dataclass
 class Tables:
     """The hash of each table: projections (tables, hashes, dimensions + 1), shifts, width; the
-    bands that have vectors, sorted, and the longest length in each."""
+    bands that have vectors, sorted, and the logarithm (base 2) of the longest length in each."""
 
     projections: np.ndarray
     shifts: np.ndarray
@@ -75,12 +78,14 @@ def made_tables(
 
 def lengthened(vectors: np.ndarray, longest: np.ndarray | None) -> np.ndarray:
     """Vectors of length 1 whose distances order as inner products do: queries (None), or vectors
-    by the longest lengths of their bands."""
+    by the longest lengths of their bands, given as logarithms. No length overflows or vanishes."""
     if longest is None:
-        scaled = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        scaled = vectors / np.abs(vectors).max(1, keepdims=True)
+        scaled /= np.linalg.norm(scaled, axis=1, keepdims=True)
         rest = np.zeros(len(vectors))
     else:
-        scaled = vectors / longest[:, None]
+        whole = np.floor(longest)
+        scaled = np.ldexp(vectors, -whole.astype(np.int64)[:, None]) / 2 ** (longest - whole)[:, None]
         rest = np.sqrt(np.maximum(0, 1 - (scaled**2).sum(1)))
     return np.concatenate([scaled, rest[:, None]], 1)
 
@@ -120,20 +125,46 @@ def probe_steps(within: np.ndarray, probes: int) -> list[tuple[tuple[int, int],
 
 
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
-    """``id`` and ``v``, one row per id, of vectors that take part."""
+    """``id`` and ``v`` of the rows that take part."""
     number, v = F.col(f"`{id}`").cast("long"), F.col(f"`{vector}`")
     rows = vectors.select(number.alias("id"), v.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("v", lambda x: x != 0)
-    taken = rows.filter("id is not null and v is not null").filter(~bad & some)
-    return taken.groupBy("id").agg(F.min("v").alias("v"))
+    return rows.filter("id is not null and v is not null").filter(~bad & some)
 
 
-def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def as_matrix(column: pa.ChunkedArray | pa.Array, width: int | None = None) -> np.ndarray:
+    """Vectors as rows of a matrix, filled up with zeros to ``width``, or to the longest."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     values = column.flatten().to_numpy().astype(np.float64)
-    return values.reshape(len(column), -1)
+    size = pc.list_value_length(column).to_numpy()
+    width = int(size.max(initial=0)) if width is None else width
+    if (size == width).all():
+        return values.reshape(len(column), width)
+    out = np.zeros((len(column), width))
+    row = np.repeat(np.arange(len(size)), size)
+    out[row, np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)] = values
+    return out
+
+
+def with_length(reps: DataFrame) -> DataFrame:
+    """The distinct vectors with ``length``, the logarithm (base 2) of their length."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            matrix = as_matrix(batch.column(2))
+            most = np.abs(matrix).max(1)
+            length = np.log2(most) + np.log2(((matrix / most[:, None]) ** 2).sum(1)) / 2
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(length)], ["rep", "first", "v", "length"]
+            )
+
+    kind = reps.schema["v"].dataType.simpleString()
+    ddl = f"rep long, first long, v {kind}, length double"
+    return reps.select("rep", "first", "v").mapInArrow(measure, ddl)
 
 
 def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> DataFrame:
@@ -143,12 +174,13 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = pickle.loads(held.value)
+        width = made.projections.shape[2] - 1
         for batch in batches:
             for at in range(0, batch.num_rows, VECTORS_AT_ONCE):
                 part = batch.slice(at, VECTORS_AT_ONCE)
-                band = None if query else part.column(2).to_numpy()
+                band = None if query else part.column(3).to_numpy()
                 longest = None if query else made.longest[np.searchsorted(made.bands, band)]
-                step, within = made.keys(lengthened(as_matrix(part.column(1)), longest))
+                step, within = made.keys(lengthened(as_matrix(part.column(2), width), longest))
                 rows, keys, numbers = [], [], []
                 for t in range(step.shape[1]):
                     if not query:
@@ -173,13 +205,14 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
                         pa.array(np.concatenate(keys)),
                         part.column(0).take(row),
                         part.column(1).take(row),
+                        part.column(2).take(row),
                     ],
-                    ["table", "bucket", "id", "v"],
+                    ["table", "bucket", "rep", "first", "v"],
                 )
 
     kind = distinct.schema["v"].dataType.simpleString()
-    ddl = f"table int, bucket long, id long, v {kind}"
-    columns = ["id", "v"] if query else ["id", "v", "band"]
+    ddl = f"table int, bucket long, rep long, first long, v {kind}"
+    columns = ["rep", "first", "v"] if query else ["rep", "first", "v", "band"]
     return distinct.select(*columns).mapInArrow(buckets, ddl)
 
 
@@ -195,25 +228,28 @@ def search_blocks(rows: DataFrame, k: int) -> DataFrame:
             asks = group["query"].to_numpy() == 1
             if asks.all() or not asks.any():
                 continue
-            ids = group["id"].to_numpy()
+            reps, least = group["rep"].to_numpy(), group["first"].to_numpy()
             matrix = as_matrix(group["v"])
-            vectors, names = matrix[~asks], ids[~asks]
-            order = np.argsort(names, kind="stable")
-            vectors, names = vectors[order], names[order]
-            queries, numbers = matrix[asks], ids[asks]
+            vectors, names, firsts = matrix[~asks], reps[~asks], least[~asks]
+            order = np.lexsort((names, firsts))
+            vectors, names, firsts = vectors[order], names[order], firsts[order]
+            queries, numbers = matrix[asks], reps[asks]
             best = min(k + 1, len(names))
             for at in range(0, len(numbers), QUERY_BLOCK):
-                score = queries[at : at + QUERY_BLOCK] @ vectors.T
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = queries[at : at + QUERY_BLOCK] @ vectors.T
+                score[np.isnan(score)] = -np.inf
                 # Ties at the border go to the smaller id: the columns are in that order.
                 top = np.argsort(-score, axis=1, kind="stable")[:, :best]
                 number = np.repeat(numbers[at : at + QUERY_BLOCK], best)
-                columns = [number, names[top.ravel()], np.take_along_axis(score, top, 1).ravel()]
+                best_scores = np.take_along_axis(score, top, 1).ravel()
+                columns = [number, names[top.ravel()], firsts[top.ravel()], best_scores]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], ["query_rep", "rep", "score"]
+                    [pa.array(c) for c in columns], ["query_rep", "rep", "first", "score"]
                 )
 
-    return rows.select("table", "bucket", "block", "query", "id", "v").mapInArrow(
-        search, "query_rep long, rep long, score double"
+    return rows.select("table", "bucket", "block", "query", "rep", "first", "v").mapInArrow(
+        search, "query_rep long, rep long, first long, score double"
     )
 
 
@@ -222,17 +258,15 @@ def every_block(queries: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     blocks, shares = (-(-frame.count() // n) for frame, n in ((reps, BLOCK), (queries, SHARE)))
 
     def dealt_into(n):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("long")
+        return F.pmod(F.xxhash64("rep"), F.lit(n)).cast("long")
 
     def all_of(n):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
     def rows(frame, bucket, block, query):
-        frame = frame.select(bucket.alias("bucket"), "id", "v")
-        number = F.lit(0).alias("table")
-        return frame.select(
-            number, "bucket", block.alias("block"), F.lit(query).alias("query"), "id", "v"
-        )
+        frame = frame.select(bucket.alias("bucket"), "rep", "first", "v")
+        number, side = F.lit(0).alias("table"), F.lit(query).alias("query")
+        return frame.select(number, "bucket", block.alias("block"), side, "rep", "first", "v")
 
     both = rows(reps, all_of(shares), dealt_into(blocks), 0).unionAll(
         rows(queries, dealt_into(shares), all_of(blocks), 1)
@@ -244,13 +278,13 @@ def every_block(queries: DataFrame, reps: DataFrame, k: int) -> DataFrame:
 
 
 def best_members(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """The ``k`` + 1 best ids of each query, from the best distinct vectors of its blocks."""
-    best = found.groupBy("query_rep", "rep").agg(F.max("score").alias("score"))
-    first = Window.partitionBy("query_rep").orderBy(F.desc("score"), "rep")
+    """The ``k`` + 1 best rows of each query, from the best distinct vectors of its blocks."""
+    best = found.groupBy("query_rep", "rep", "first").agg(F.max("score").alias("score"))
+    first = Window.partitionBy("query_rep").orderBy(F.desc("score"), "first", "rep")
     best = best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1).drop("n")
-    by_id = Window.partitionBy("query_rep").orderBy(F.desc("score"), "id")
+    by_id = Window.partitionBy("query_rep").orderBy(F.desc("score"), "id", "rep")
     lists = best.join(members, "rep").withColumn("n", F.row_number().over(by_id))
-    return lists.filter(F.col("n") <= k + 1).select("query_rep", "id", "score")
+    return lists.filter(F.col("n") <= k + 1).select("query_rep", "n", "score", "id", "rep")
 
 
 def nearest(
@@ -268,30 +302,32 @@ def nearest(
     ``k`` for each, or all candidates if there are fewer.
 
     Queries are the vectors whose id is divisible by ``every``; candidates are all other rows.
-    Nearest is the largest inner product in double precision, ties to the smaller id. Vectors that
-    are null, zero or hold null or non-finite components, and rows with a null id, take no part.
-    All others must be of one length. Of rows that share an id the least vector counts. Equal
-    vectors, however many, cost one search. Empty tables give no rows.
+    Nearest is the largest inner product in double precision, ties to the smaller id; a product that
+    overflows is infinite, and one without a value comes last. Vectors that are null, zero or hold
+    null or non-finite components, and rows with a null id, take no part; all others do, however
+    small or large. Of two vectors of unequal length the shorter is filled up with zeros. Rows that
+    share an id, and equal rows, are rows of their own: each is a query, and only the query's own
+    row is no candidate. Equal vectors, however many, cost one search. Empty tables give no rows.
 
     More ``hashes`` visit a smaller share of the vectors, more ``tables`` and ``probes`` a larger
     one: recall against brute force decides between them.
     """
     base = stored(usable(vectors, id, vector), "vectors")
-    reps = stored(base.groupBy("v").agg(F.min("id").alias("id")), "distinct")
-    named = stored(
-        base.join(reps.withColumnRenamed("id", "rep"), "v").select("id", "rep"), "named"
-    )
-    doubles = F.transform("v", lambda x: x.cast("double"))
-    square = F.aggregate(doubles, F.lit(0.0), lambda total, x: total + x * x)
-    longest, size = reps.agg(F.sqrt(F.max(square)), F.max(F.size("v"))).first()
-    halved = F.floor(F.log2(F.lit(longest or 1.0) / F.sqrt(square)))
-    banded = reps.withColumn("band", F.greatest(halved, F.lit(0)).cast("int"))
-    found = banded.groupBy("band").agg(F.sqrt(F.max(square)).alias("longest")).sort("band").collect()
+    reps = base.groupBy("v").agg(F.min("id").alias("first"))
+    # Numbers of the distinct vectors: ids may be shared. They are written, so they stay.
+    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "distinct")
+    named = stored(base.join(reps, "v").select("id", "rep"), "named")
+    measured = stored(with_length(reps), "measured")
+    longest, size = measured.agg(F.max("length"), F.max(F.size("v"))).first()
+    halved = F.floor(F.lit(longest or 0.0) - F.col("length"))
+    band = F.least(F.greatest(halved, F.lit(0)), F.lit(MOST_BAND)).cast("int")
+    banded = measured.withColumn("band", band)
+    found = banded.groupBy("band").agg(F.max("length").alias("longest")).sort("band").collect()
     bands, lengths = (np.array([r[i] for r in found]) for i in range(2))
     made = made_tables(size or 1, tables, hashes, width, bands, lengths)
 
     asked = named.filter(F.col("id") % every == 0)
-    query_reps = reps.join(asked.select(F.col("rep").alias("id")), "id", "semi")
+    query_reps = reps.join(asked.select("rep"), "rep", "semi")
     place = ["table", "bucket"]
     held = hashed(banded, made, False, probes)
     large = (
@@ -300,12 +336,12 @@ def nearest(
         .filter("blocks > 1")
     )
     blocks = F.coalesce("blocks", F.lit(1).cast("long"))
-    own = F.pmod(F.xxhash64("id"), blocks).alias("block")
+    own = F.pmod(F.xxhash64("rep"), blocks).alias("block")
     each = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
     stored_rows = held.join(large, place, "left")
-    stored_rows = stored_rows.select(*place, own, F.lit(0).alias("query"), "id", "v")
+    stored_rows = stored_rows.select(*place, own, F.lit(0).alias("query"), "rep", "first", "v")
     visits = hashed(query_reps, made, True, probes).join(large, place, "left")
-    visits = visits.select(*place, each, F.lit(1).alias("query"), "id", "v")
+    visits = visits.select(*place, each, F.lit(1).alias("query"), "rep", "first", "v")
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = stored_rows.unionAll(visits).repartition(parts, *place, "block")
     found = search_blocks(dealt.sortWithinPartitions(*place, "block", "query"), k)
@@ -317,17 +353,30 @@ def nearest(
     lists = stored(best_members(found, members, k), "lists")
     enough = min(k + 1, named.count())
     met = lists.groupBy("query_rep").count().filter(F.col("count") >= enough)
-    met = met.select(F.col("query_rep").alias("id"))
-    few = stored(query_reps.select("id", "v").join(met, "id", "anti"), "few")
+    met = met.select("query_rep")
+    few = query_reps.withColumnRenamed("rep", "query_rep").join(met, "query_rep", "anti")
+    few = stored(few.select(F.col("query_rep").alias("rep"), "first", "v"), "few")
     if not few.isEmpty():
         whole = best_members(every_block(few, reps, k), members, k)
-        left = lists.join(met.withColumnRenamed("id", "query_rep"), "query_rep", "semi")
-        lists = left.unionAll(whole)
+        lists = lists.join(met, "query_rep", "semi").unionAll(whole)
+    whole = lists.groupBy("query_rep").agg(
+        F.sort_array(F.collect_list(F.struct("n", "score", "id", "rep"))).alias("all")
+    )
     answers = asked.select(F.col("id").alias("query_id"), F.col("rep").alias("query_rep"))
-    answers = answers.join(lists, "query_rep").filter("id != query_id")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        answers.withColumn("rank", F.row_number().over(ranked))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(id), "score")
+    is_own = F.transform(
+        "all", lambda x: (x["rep"] == F.col("query_rep")) & (x["id"] == F.col("query_id"))
+    )
+    place = F.array_position(is_own, True).cast("int")
+    without = F.concat(
+        F.slice("all", 1, F.greatest(place - 1, F.lit(0))), F.slice("all", place + 1, k + 1)
+    )
+    others = F.when(place == 0, F.col("all")).otherwise(without)
+    answers = answers.join(whole, "query_rep").select(
+        "query_id", F.posexplode(F.slice(others, 1, k)).alias("place", "near")
+    )
+    return answers.select(
+        "query_id",
+        (F.col("place") + 1).alias("rank"),
+        F.col("near.id").alias(id),
+        F.col("near.score").alias("score"),
     )
