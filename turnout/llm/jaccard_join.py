@@ -9,7 +9,8 @@ those entries, and each list proposes pairs:
    fewest rarer entries, so in a group of copies it is the one nearest to the others, and finds
    most links without naming all pairs;
 2. after the first round's links have been made components, the pairs of a list that lie in
-   different components. No possible link between two components stays untested.
+   different components, of rows whose places admit a partner of the sizes in the list, and of
+   like size. No possible link between two components stays untested.
 
 A proposed set of pairs is answered by T-occurrence search: for a query set and its candidates,
 every entry of the query has an inverted list of candidates. DivideSkip merges the short lists by
@@ -21,16 +22,16 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from hashlib import blake2b
 from itertools import groupby
-from math import log2
+from math import log, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnout.llm import sketch
 from turnout.llm.components import components
-from turnout.llm.tables import ROW, TEXT, bucketed, numbered, row_numbers, stored
+from turnout.llm.tables import ROW, TEXT, bucketed, numbered, row_numbers, stored, whole_row
 from turnout.llm.text import gram_hashes, sorted_groups, split_words, text_chunks, word_hashes
 
 N = 5
@@ -168,15 +169,35 @@ def possible(x: str, y: str, percent: int):
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
-    """Rows of lists of two or more, each with the ``head`` of its list."""
-    order = Window.partitionBy("entry").orderBy("place", "row")
-    return (
-        entries.withColumn("head", F.first(F.struct("row", "place")).over(order))
-        .withColumn("last", F.lag("row").over(order))
-        .withColumn("next", F.lead("row").over(order))
-        .filter("last is not null or next is not null")
-        .drop("last", "next")
+    """Rows of lists of two or more, each with the ``head`` of its list and the ``least`` size in it.
+
+    Heads are found within tasks first, and joined back: a common entry is no single task's work.
+    """
+    size = F.col("place").bitwiseAND(0xFFFFFFFF)
+    heads = entries.groupBy("entry").agg(
+        F.min(F.struct("place", "row")).alias("first"),
+        F.min(size).alias("least"),
+        F.count("*").alias("n"),
     )
+    head = F.struct(F.col("first.row").alias("row"), F.col("first.place").alias("place"))
+    heads = heads.filter("n > 1").select("entry", head.alias("head"), "least")
+    return entries.join(heads, "entry")
+
+
+def admits_partner(percent: int):
+    """Whether the place of a row in its list admits any partner of the sizes in the list.
+
+    What is left of a set from the shared entry on bounds the overlap, so it bounds the size of a
+    partner: rows of templated texts, which share only entries that come late, have none.
+    """
+    size = F.col("place").bitwiseAND(0xFFFFFFFF)
+    rest = size - F.shiftright("place", 32)
+    return (100 + percent) * rest >= percent * (size + F.col("least"))
+
+
+def size_band(size, percent: int):
+    """Bands such that sets that overlap enough are in the same or in neighbouring ones."""
+    return F.floor(F.log(size.cast("double")) / F.lit(-log(percent / 100))).cast("int")
 
 
 def search_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -221,13 +242,17 @@ def class_links(reps: DataFrame, table: np.ndarray, n: int, percent: int) -> Dat
     links = stored(search_pairs(pairs, reps, n, percent), "found")
 
     of = components(links).select(F.col("a").alias("row"), F.col("b").alias("part"))
-    placed = shared.drop("head").join(of, "row", "left")
+    placed = shared.filter(admits_partner(percent)).drop("head", "least").join(of, "row", "left")
     placed = placed.withColumn("part", F.coalesce("part", "row"))
     parts = placed.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q"))
     rest = placed.join(parts.filter("p != q").select("entry"), "entry")
-    left = rest.select("entry", F.struct("row", "place").alias("x"), F.col("part").alias("p"))
-    right = rest.select("entry", F.struct("row", "place").alias("y"), F.col("part").alias("q"))
-    across = left.join(right, "entry").filter("p != q and x.row < y.row")
+    band = size_band(F.col("place").bitwiseAND(0xFFFFFFFF), percent)
+    near = F.explode(F.array(band - 1, band, band + 1)).alias("band")
+    left = rest.select(
+        "entry", band.alias("band"), F.struct("row", "place").alias("x"), F.col("part").alias("p")
+    )
+    right = rest.select("entry", near, F.struct("row", "place").alias("y"), F.col("part").alias("q"))
+    across = left.join(right, ["entry", "band"]).filter("p != q and x.row < y.row")
     more = across.filter(possible("x", "y", percent))
     more = more.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -291,7 +316,7 @@ def row_components(rows: DataFrame, n: int = N, percent: int = PERCENT) -> DataF
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` less all but one of each component of near copies."""
-    rows = row_numbers(docs, F.struct(*docs.columns).alias("doc"))
+    rows = row_numbers(docs, whole_row(docs).alias("doc"))
     texts = rows.select(
         ROW, F.col(f"doc.`{text}`").cast("binary").alias(TEXT), F.col(f"doc.`{id}`").alias("id")
     )
