@@ -1,15 +1,16 @@
 import random
 from itertools import cycle
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnout.llm import decontaminate, line_dedup
+from turnout.llm import decontaminate, line_dedup, quality
 from turnout.llm.decontaminate import contamination
 from turnout.llm.jaccard_join import one_of_each
 from turnout.llm.line_dedup import dedup_lines
 from turnout.llm.substring_dedup import dedup_substrings
-from turnout.llm.tables import file_place, numbered, row_numbers, stored
+from turnout.llm.tables import ROW, bucketed, file_place, numbered, row_numbers, stored
 
 SPLITS = "spark.sql.files.minPartitionNum"
 
@@ -111,3 +112,26 @@ def test_decontaminate_with_other_splits(spark, tmp_path, split, monkeypatch):
     found = contamination(docs, benchmark, most=5000)
     got = {r.doc_id: r["items"] for r in found.select("doc.doc_id", "items").collect()}
     assert got == {i: [str(i)] if i % 50 == 0 else [] for i, _ in rows}
+
+
+def test_columns_with_dots_and_quotes_stay(spark, tmp_path):
+    """The operators that carry whole rows take any column names."""
+    words = " ".join(f"w{i}" for i in range(30))
+    frame = spark.createDataFrame([(1, words, 7, 8), (2, words, 9, 0)], "doc_id long, text string, x int, y int")
+    docs = frame.withColumnsRenamed({"x": "a.b", "y": "c`d"})
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    weights = quality.train([b"good words", b"bad"], np.array([1, 0]))
+    for found in (
+        dedup_lines(docs), contamination(docs, items), contamination(docs, items, most=1),
+        quality.score_quality(docs, weights),
+    ):
+        rows = found.select("doc.*").collect()
+        assert sorted(r["a.b"] for r in rows) == [7, 9] and rows[0].__fields__ == docs.columns
+    assert [r["c`d"] for r in one_of_each(docs).collect()] == [8]
+
+
+def test_buckets_leave_no_table(spark):
+    rows = bucketed(spark.range(100).withColumnRenamed("id", ROW), ROW)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
+    assert rows.join(rows.withColumn("n", F.lit(1)), ROW).count() == 100
+    assert "Exchange" not in rows.groupBy(ROW).count()._jdf.queryExecution().executedPlan().toString()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.tables import ROW, TEXT, row_numbers
+from turnout.llm.tables import ROW, TEXT, row_numbers, whole_row
 from turnout.llm.text import ALNUM, Words, gram_hashes, split_words, text_chunks, word_hashes
 
 WINDOW = 13
@@ -216,7 +216,7 @@ def contamination(
     """
     columns = (
         F.col(f"`{text}`").cast("binary").alias(TEXT),
-        F.struct(*docs.columns).alias("doc"),
+        whole_row(docs).alias("doc"),
     )
     blocks = item_blocks(benchmark, item, item_text, most)
     block, second = next(blocks, []), next(blocks, None)

@@ -9,7 +9,7 @@ lines, also where a later occurrence overlaps the first.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.tables import ROW, row_numbers
+from turnout.llm.tables import ROW, row_numbers, whole_row
 
 WINDOW = 3
 
@@ -62,7 +62,7 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     last; rows with equal ids, and equal rows, count in the order of their numbers
     (see ``tables.row_numbers``).
     """
-    rows = row_numbers(docs, F.struct(*docs.columns).alias("doc"))
+    rows = row_numbers(docs, whole_row(docs).alias("doc"))
     gone = later_windows(line_windows(rows, id, text))
     lines = F.split(F.col(f"doc.`{text}`"), "\n", -1)
     covered = F.array_distinct(

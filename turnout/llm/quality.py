@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnout.llm.tables import whole_row
 from turnout.llm.text import text_chunks
 
 WIDTH, STRIDE, EMBED, FILTERS, HIDDEN = 16, 4, 4, 32, 24
@@ -252,7 +253,7 @@ def score_quality(
             p = pa.array(probabilities(w, texts))
             yield pa.RecordBatch.from_arrays([part.column(0), p], ["doc", "score"])
 
-    whole, read = F.struct(*docs.columns), F.col(f"`{text}`").cast("binary")
+    whole, read = whole_row(docs), F.col(f"`{text}`").cast("binary")
     rows = docs.select(whole.alias("doc"), read.alias("bytes"))
     schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
     scored = rows.mapInArrow(score, schema)

@@ -23,6 +23,11 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def whole_row(frame: DataFrame) -> Column:
+    """All columns of the frame as one struct, whatever their names."""
+    return F.struct(*(F.col("`" + name.replace("`", "``") + "`") for name in frame.columns))
+
+
 def bucketed(frame: DataFrame, key: str) -> DataFrame:
     """The frame, written once in buckets of ``key``: joins on it shuffle the other side only."""
     spark = frame.sparkSession
@@ -31,7 +36,10 @@ def bucketed(frame: DataFrame, key: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = frame.write.bucketBy(parts, key).sortBy(key)
     writer.option("path", path).saveAsTable(name)
-    return spark.table(name)
+    rows = spark.table(name)
+    # The frame knows its files and buckets by now; no entry is left in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def file_place(docs: DataFrame) -> tuple[Column, Column] | None:
