@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnout.llm.blocks import Block, page_blocks
+from turnout.llm.blocks import Block, element_names, page_blocks
 from turnout.llm.text import split_words, text_chunks, word_hashes
 
 NAMES, WORDS, EMBED, MEASURES, HIDDEN = 1 << 13, 1 << 11, 12, 6, 16
@@ -30,17 +30,10 @@ INPUT = 2 * EMBED + MEASURES
 #: Steps of a batch of pages, blocks times pages.
 BATCH_BLOCKS = 1 << 14
 LAYOUTS = 3000
+#: Steps whose inputs are multiplied at once.
+STEPS = 1 << 12
 Weights = dict[str, np.ndarray]
 
-#: Element names, classes and ids that mark what is not the article (fixed values).
-NOT_ARTICLE = set(
-    "nav header footer aside form menu .nav .navbar .navigation .menu .breadcrumb .breadcrumbs "
-    ".header .masthead .banner .footer .copyright .sidebar .widget .ad .ads .advert .adverts "
-    ".advertisement .sponsor .sponsored .promo .notice .cookie .cookies .consent .alert .popup "
-    ".modal .subscribe .newsletter .login .signup .search .form .comment .comments .reply "
-    ".replies .discussion .respond .related .recommended .share .social .tags .pagination".split()
-)
-ARTICLE = {"article", "main"}
 #: Containers of training layouts (fixed values): paths of element and class.
 ARTICLE_PATHS = (
     "body article p|body main article p|body main p|body div.content p|body div.post-body p|"
@@ -48,8 +41,15 @@ ARTICLE_PATHS = (
     "body div.page div.story p|body div.container div.main-content p|body article div.text p|"
     "body article section p|body div#main div.post p|body article ul li|"
     "body main div.article blockquote|body div.wrapper article p|"
-    "body table tr td div.article p|body article header h1|body div.main article h2"
+    "body table tr td div.article p|body article header h1|body div.main article h2|"
+    "body div.main p|body div#main section p|body div.main div.text p"
 ).split("|")
+#: Elements around all of a page (fixed values), some with names that tell of a layout.
+WRAPS = (
+    "", "div", "div.page", "div.wrapper div", "div#page div.site", "div.page-with-sidebar",
+    "div.no-sidebar div", "div.has-banner", "div.layout-wide", "div#root div.app", "center",
+    "table tr td", "div.container div.row", "div.comments-open", "div.header-fixed div.outer",
+)
 OTHER_PATHS = (
     "nav ul li a|header div|header nav a|header p|div.menu ul li a|div.navbar a|ul.nav li a|"
     "ul.menu li a|div.breadcrumb a|div#header p|div.header h2|div.site-header p|"
@@ -63,7 +63,7 @@ OTHER_PATHS = (
     "div.comments div p|div#comments ul li p|ol.comment-list li p|div.comment p|"
     "div.comment-body p|article.comment p|div.replies p|div.discussion p|div#respond p|"
     "div.related ul li a|div.recommended a|div.share a|div.social ul li a|div.tags a|"
-    "div.pagination a"
+    "div.pagination a|section.comments h2|div#comments h3|div.related h3|aside h2|div.sidebar h2"
 ).split("|")
 
 
@@ -143,20 +143,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def lstm(w: Weights, side: str, x: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, list]:
-    """States (steps, pages, HIDDEN) of one direction; where a page has ended nothing changes."""
+def lstm(
+    w: Weights, side: str, x: np.ndarray, live: np.ndarray, taped: bool = True
+) -> tuple[np.ndarray, list]:
+    """States (steps, pages, HIDDEN) of one direction; where a page has ended nothing changes. The
+    tape of all steps, which gradients need, is kept only if asked for."""
     steps, pages, _ = x.shape
-    gates = x @ w[f"{side}_x"] + w[f"{side}_b"]
     h, c = np.zeros((2, pages, HIDDEN), np.float32)
     out, tape = np.zeros((steps, pages, HIDDEN), np.float32), []
     for t in range(steps):
-        g = gates[t] + h @ w[f"{side}_h"]
+        if t % STEPS == 0:
+            gates = x[t : t + STEPS] @ w[f"{side}_x"] + w[f"{side}_b"]
+        g = gates[t % STEPS] + h @ w[f"{side}_h"]
         i, f, o = np.split(sigmoid(g[:, : 3 * HIDDEN]), 3, axis=1)
         z = np.tanh(g[:, 3 * HIDDEN :])
         new = f * c + i * z
-        on = live[t][:, None]
-        tape.append((h, c, i, f, o, z, np.tanh(new)))
-        h, c = np.where(on, o * tape[-1][-1], h), np.where(on, new, c)
+        on, bent = live[t][:, None], np.tanh(new)
+        if taped:
+            tape.append((h, c, i, f, o, z, bent))
+        h, c = np.where(on, o * bent, h), np.where(on, new, c)
         out[t] = h
     return out, tape
 
@@ -198,10 +203,12 @@ def padded(vectors: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return x, live, np.stack([step, page])
 
 
-def forward(w: Weights, vectors: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, tuple]:
+def forward(
+    w: Weights, vectors: np.ndarray, first: np.ndarray, taped: bool = True
+) -> tuple[np.ndarray, tuple]:
     x, live, at = padded(vectors, first)
-    on, on_tape = lstm(w, "on", x, live)
-    back, back_tape = lstm(w, "back", x[::-1], live[::-1])
+    on, on_tape = lstm(w, "on", x, live, taped)
+    back, back_tape = lstm(w, "back", x[::-1], live[::-1], taped)
     states = np.concatenate([on[at[0], at[1]], back[::-1][at[0], at[1]]], 1)
     return states @ w["out"] + w["out_b"], (x, live, at, on_tape, back_tape, states)
 
@@ -222,22 +229,27 @@ def gradients(w: Weights, pages: list[list[Block]], labels: list[list[int]]) ->
     return g | inputs.gradients((dx + dx_back[::-1])[at[0], at[1]])
 
 
+@lru_cache(1 << 14)
+def named(element: str) -> tuple[str, ...]:
+    """Names of an element written as tag, tag.class or tag#id."""
+    tag, sign, word = element.replace("#", ".").partition(".")
+    return element_names(tag, [("class", word)] if sign else [])
+
+
 def laid_out(
     rng: np.random.Generator, article: list[str], other: list[str]
 ) -> tuple[list[Block], list[int]]:
     """Texts set in a layout drawn at random, and which blocks are the article."""
 
     def block(path: str, text: str, within: str = "html body") -> Block:
-        names: list[str] = within.split()
-        for element in path.split():
-            for sign in ".#":
-                element = element.replace(sign, " .")
-            names += element.replace("-", " .").split()
-        linked = float(names[-1] == "a")
+        elements = f"{within} {path}".split()
+        linked = float(elements[-1] == "a")
         # Inline elements end before their block does.
-        names = [n for i, n in enumerate(names) if n not in ("a", "span") or i < len(names) - 1]
-        inner = tuple([n for n in names if n[0] != "."][-2:])
-        return Block(tuple(dict.fromkeys(names)), inner, text, linked)
+        last = len(elements) - 1
+        elements = [e for i, e in enumerate(elements) if e not in ("a", "span") or i == last]
+        names = [named(e) for e in elements]
+        flat = dict.fromkeys(n for each in names for n in each)
+        return Block(tuple(flat), tuple(n for each in names[-2:] for n in each), text, linked)
 
     def others(count: int, within: str) -> list[tuple[Block, int]]:
         out = []
@@ -252,11 +264,10 @@ def laid_out(
         return out
 
     shape = ARTICLE_PATHS[rng.integers(len(ARTICLE_PATHS))].removeprefix("body ")
-    wrap = ("html body", "html body div", "html body div .page", "html body div .wrapper div")
-    outside = wrap[rng.integers(len(wrap))]
+    outside = " ".join(["html body", *WRAPS[rng.integers(len(WRAPS))].split()])
+    if rng.random() < 0.3:
+        outside += f" div.{''.join(rng.choice(list('abcdefgh'), 6))}"  # names that mean nothing
     inside = " ".join([outside, *shape.split()[:-1]])
-    for sign in ".#-":
-        inside = inside.replace(sign, " .")
     rows = others(int(rng.integers(0, 4)), outside)
     if rng.random() < 0.7:
         rows.append((block(" ".join([*shape.split()[:-1], "h1"]), article[0], outside), 1))
@@ -272,8 +283,9 @@ def laid_out(
 
 
 def marked_up(blocks: list[Block]) -> list[int] | None:
-    """Labels by the page's own markup; None if it has no article or main element."""
-    labels = [int(bool(ARTICLE & set(b.path)) and not NOT_ARTICLE & set(b.path)) for b in blocks]
+    """Labels by the page's own markup, by the nearest element that tells; None if it has no article
+    or main element."""
+    labels = [int(b.decided == 1) for b in blocks]
     return labels if any(labels) else None
 
 
@@ -320,7 +332,7 @@ def article_blocks(w: Weights, pages: list[list[Block]]) -> list[np.ndarray]:
         rows, order = order[-take:], order[:-take]
         inputs = Inputs([b for i in rows for b in pages[i]])
         first = np.cumsum([0] + [len(pages[i]) for i in rows])
-        logit, _ = forward(w, inputs.vectors(w), first)
+        logit, _ = forward(w, inputs.vectors(w), first, taped=False)
         for i, a, b in zip(rows, first, first[1:]):
             out[i] = logit[a:b] > 0
     return out
