@@ -9,7 +9,7 @@ from turnout.llm.line_dedup import dedup_lines
 from turnout.llm.packing import pack_pieces, token_pieces
 from turnout.llm.quality import fit_quality, score_quality
 from turnout.llm.queries import WORD_VOCABULARY
-from turnout.llm.tables import stored, table
+from turnout.llm.tables import ROW, row_numbers, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents and their places in sequences."""
-    return pack_pieces(token_pieces(docs, WORD_VOCABULARY))
+    """The token pieces of all documents, their ``ids`` and their places in sequences.
+
+    Pieces are packed by their lengths alone; the ids are joined back by the number of the piece.
+    """
+    pieces = stored(token_pieces(docs, WORD_VOCABULARY, keep_ids=True), "pieces")
+    light = [F.col(name) for name in pieces.columns if name != "ids"]
+    packed = pack_pieces(row_numbers(pieces, *light))
+    return packed.join(row_numbers(pieces, F.col("ids")), ROW).drop(ROW)
 
 
 STAGES = [
