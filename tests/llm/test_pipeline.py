@@ -73,9 +73,9 @@ def test_whole_pipeline_against_plain_python(spark):
         for piece, start in enumerate(range(0, len(ids), TOKENS)):
             part = ids[start : start + TOKENS]
             crc = zlib.crc32(np.array(part, "<u4").tobytes())
-            expected.add((doc_id, piece, start, len(part), crc))
+            expected.add((doc_id, piece, start, len(part), crc, tuple(part)))
     packed = corpus_pipeline.run(spark, SF_DIR).collect()
-    got = {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed}
+    got = {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, tuple(r.ids)) for r in packed}
     assert len(packed) == len(expected) and got == expected
     ends = {}
     for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)):
