@@ -1,5 +1,6 @@
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -76,3 +77,43 @@ def test_best_fit_by_hand_and_impossible_pieces():
     with pytest.raises(ValueError):
         pack(np.array([11]), tokens=10)
     assert pack(np.array([], int))[0].tolist() == []
+
+
+def brute_pack(lengths, capacity, rule, weights):
+    """Best fit by exact fractions over all open sequences, one piece at a time."""
+    bins, out = [], [None] * len(lengths)
+    weights = [Fraction(str(x)) for x in weights]
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        need = [Fraction(n, c) for n, c in zip((lengths[i], 1, lengths[i] ** 2), capacity)]
+        options = []
+        for b, (left, used) in enumerate(bins):
+            rest = [x - n for x, n in zip(left, need)]
+            if min(rest) >= 0:
+                norm = sum(w * x * x for w, x in zip(weights, rest))
+                dot = sum(w * x * n for w, x, n in zip(weights, left, need))
+                options.append((norm if rule == "norm" else -dot, b))
+        if not options:
+            bins.append(([Fraction(1)] * 3, 0))
+        b = min(options)[1] if options else len(bins) - 1
+        left, used = bins[b]
+        out[i] = (b, used)
+        bins[b] = ([x - n for x, n in zip(left, need)], used + lengths[i])
+    return out
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_sequences_are_chosen_as_brute_force_chooses(rule):
+    rng = random.Random(5)
+    for case in range(60):
+        tokens = rng.choice([16, 32, 64])
+        lengths = [rng.randrange(1, tokens + 1) for _ in range(rng.randrange(1, 60))]
+        limits = dict(tokens=tokens)
+        if case % 3 == 1:
+            limits["documents"] = rng.choice([2, 4])
+        if case % 3 == 2:
+            limits["attention"] = tokens * tokens
+        capacity = (tokens, limits.get("documents") or tokens, limits.get("attention") or tokens**2)
+        # Capacities are powers of 2, and so are weights: the code's fractions are exact.
+        weights = (1.0, 0.25, 0.125)
+        sequence, offset = pack(np.array(lengths), rule=rule, weights=weights, **limits)
+        assert list(zip(sequence.tolist(), offset.tolist())) == brute_pack(lengths, capacity, rule, weights)

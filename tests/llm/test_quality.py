@@ -54,6 +54,38 @@ def test_parts_do_not_change_the_score():
     assert np.allclose(alone, whole, atol=1e-6)
 
 
+def naive_probability(w, text):
+    """The network on one text, filter by filter and byte by byte, as its description says."""
+    width, stride, chunk = quality.WIDTH, quality.STRIDE, quality.CHUNK
+    size = max(chunk, -(-len(text) // (chunk // 2)) * (chunk // 2))
+    data = text + bytes(size + chunk - len(text))
+    scores = []
+    for at in range(0, size - chunk + 1, chunk // 2):
+        features = []
+        for f in range(quality.FILTERS):
+            seen = []
+            for p in range(at, at + chunk, stride):
+                parts = [w["embed"][data[p + j]] @ w["filters"][j * quality.EMBED : (j + 1) * quality.EMBED, f] for j in range(width)]
+                seen.append(max(0.0, float(sum(parts) + w["bias"][f])))
+            features.append((max(seen), sum(seen) / len(seen)))
+        x = np.array([m for m, _ in features] + [a for _, a in features])
+        hidden = [max(0.0, float(x @ w["hidden"][:, h] + w["hidden_bias"][h])) for h in range(quality.HIDDEN)]
+        scores.append(float(np.dot(hidden, w["chunk"][:, 0])))
+    logit = w["out"][0] * min(scores) + w["out"][1] * sum(scores) / len(scores) + w["out"][2]
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_scores_are_those_of_a_naive_forward_pass():
+    rng = random.Random(6)
+    w = {k: x.astype(np.float64) for k, x in quality.initial(np.random.default_rng(4)).items()}
+    w["bias"] += 0.05
+    some = [bytes(rng.randrange(256) for _ in range(n)) for n in (0, 3, 256, 512, 513, 700, 769, 1500)]
+    expected = [naive_probability(w, t) for t in some]
+    assert len({round(p, 6) for p in expected}) == len(some)
+    for most in (1 << 17, 1024):
+        assert np.allclose(quality.probabilities(w, some, most), expected, atol=1e-6)
+
+
 def test_odd_rows(spark, documents):
     rows = [(None, None), (1, ""), (1, "x" * 100_000), (2, "a b"), (2, "a b"), (3, "Ā\x00")]
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 0), (3, None), (2, 0)], "doc_id long, quality int")

@@ -39,3 +39,10 @@ def test_against_plain_counts(documents):
 
 def test_empty_table(documents):
     assert context_limits(length_histogram(encoded_lengths(documents([]), VOCABULARY))).count() == 0
+
+
+def test_documents_are_encoded_once(documents):
+    limits = context_limits(length_histogram(encoded_lengths(documents([(1, "a b"), (2, "c")]), VOCABULARY)))
+    plan = limits._jdf.queryExecution().executedPlan().toString()
+    # The histogram is a written table by then; nothing encodes again.
+    assert "MapInArrow" not in plan and "FileScan parquet" in plan
