@@ -76,3 +76,22 @@ def test_levels_rise_with_counts(spark):
     table = sketch.levels(frame, hashes, 16)
     assert len(table) == 1 << 16 and table[0] > table[1] > table[2] == 0
     assert sketch.cell_bits(0) == 16 and sketch.cell_bits(10**15) == 24
+
+
+def test_levels_do_not_depend_on_the_number_of_reducers(spark):
+    frame = spark.range(0, 60_000, 1, 13).selectExpr("id * id % 3001 as id")
+
+    def hashes(batches):
+        for batch in batches:
+            yield batch.column(0).to_numpy().astype(np.uint64)
+
+    counts = np.bincount(np.arange(60_000) ** 2 % 3001, minlength=1 << 16)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (8, 64 * 3, 64 * 20 + 5):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found = sketch.levels(frame, hashes, 16)
+            assert (found == np.floor(2 * np.log2(counts + 1.0))).all()
+            assert not sketch.levels(frame.filter("id < 0"), hashes, 16).any()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
