@@ -63,6 +63,17 @@ def test_frames_of_repeated_file_rows_are_written(spark, tmp_path):
     assert row_numbers(docs.filter("false"), F.col("text")).count() == 0
 
 
+def test_frames_of_many_files_are_written(spark, tmp_path):
+    docs = written(spark, tmp_path, list(enumerate(texts(50))), files=3)
+    assert docs.inputFiles() and len(docs.inputFiles()) == 3
+    for most, names in ((3, True), (2, False)):
+        rows = row_numbers(docs, F.col("doc_id"), most_files=most)
+        assert ("docs" in str(rows.inputFiles())) == names
+        found = rows.collect()
+        assert len({r["_row"] for r in found}) == 50 and {r.doc_id for r in found} == set(range(50))
+        assert sorted(map(tuple, found)) == sorted(map(tuple, rows.collect()))
+
+
 def test_line_dedup_with_other_splits(spark, tmp_path, split, monkeypatch):
     rows = [(i, t.replace(" ", "\n")) for i, t in enumerate(texts(1000))]
     rows += [(i + 1000, rows[i][1] + "\nlast") for i in range(0, 1000, 7)]

@@ -10,6 +10,8 @@ ROW = "_row"
 TEXT = "_text"
 #: Bits of a row number that are the row's place within its file.
 PLACE_BITS = 40
+#: Files whose names are numbered on the driver: some 15 MB of names, less than the scan's own list.
+MOST_FILES = 100_000
 #: Steps of a plan that return each row of a file at most once.
 ROWWISE = {"Project", "Filter", "SubqueryAlias"}
 
@@ -59,25 +61,27 @@ def file_place(docs: DataFrame) -> tuple[Column, Column] | None:
     return place["file_path"], place["row_index"]
 
 
-def row_numbers(docs: DataFrame, *columns: Column) -> DataFrame:
+def row_numbers(docs: DataFrame, *columns: Column, most_files: int = MOST_FILES) -> DataFrame:
     """A row number in ``_row`` and the columns.
 
     The numbers do not depend on how a scan is split into tasks, which changes with the number of
     cores, so the frame may be read again and joined on them. Rows of Parquet files are numbered by
-    the file, in the order of names, and their place in it. Other frames are written once, with
-    their numbers.
+    the file, in the order of names, and their place in it. Other frames, and those of more than
+    ``most_files`` files, are written once, with their numbers.
     """
-    place = file_place(docs)
-    if place is None:
+    place, names = file_place(docs), []
+    if place is not None:
+        paths = docs.select(place[0].alias("path")).distinct().limit(most_files + 1)
+        names = sorted(r.path for r in paths.collect())
+    if place is None or len(names) > most_files:
         number = F.monotonically_increasing_id().alias(ROW)
         return stored(docs.select(number, *columns), "numbered")
     path, index = place
-    names = sorted(r.path for r in docs.select(path.alias("path")).distinct().collect())
     files = docs.sparkSession.createDataFrame(
         [(name, i << PLACE_BITS) for i, name in enumerate(names)], "_path string, _first long"
     )
     rows = docs.select(path.alias("_path"), index.alias("_index"), *columns)
-    # A few bytes for each file: the rows stay where they are.
+    # A few bytes for each of at most ``most_files`` files: the rows stay where they are.
     named = rows.join(F.broadcast(files), "_path")
     number = (F.col("_first") + F.col("_index")).alias(ROW)
     return named.select(number, *rows.columns[2:])
