@@ -1,14 +1,29 @@
 import random
+import re
+import time
 
-from turnout.llm.decontaminate import WuManber, contamination, item_patterns
-from turnout.llm.text import ALNUM, split_words, word_hashes
+from pyspark.sql import functions as F
+
+from turnout.llm.decontaminate import WuManber, contamination, merged_spans
+from turnout.llm.text import split_words, word_hashes
+
+
+def plain_words(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return tuple(re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", lower))
 
 
 def brute(docs, items):
-    patterns = item_patterns([(None if i is None else str(i), (t or "").encode()) for i, t in items])
+    """By the contract's rule alone; nothing of the operator is used."""
+    patterns = {}
+    for item, text in items:
+        words = plain_words(text)
+        windows = {words[i : i + 13] for i in range(len(words) - 12)} if len(words) > 13 else {words} - {()}
+        for window in windows:
+            patterns.setdefault(window, set()).add(None if item is None else str(item))
     out = []
     for doc_id, text in docs:
-        words = tuple((text or "").encode().translate(ALNUM).split())
+        words = plain_words(text)
         hit, names = set(), set()
         for pattern, ids in patterns.items():
             for at in range(len(words) - len(pattern) + 1):
@@ -71,3 +86,23 @@ def test_shift_skips_but_misses_nothing():
     assert [f for f in found if f[0] < 3000] == expected
     plain = split_words([b"x%d" % i + b" y" * 5000 for i in range(2)])
     assert not list(engine.search(plain, word_hashes(plain)))
+
+
+def test_spans_merge_in_linear_time(spark):
+    rng = random.Random(9)
+    rows = [[(a, a + rng.randrange(1, 9)) for a in (rng.randrange(200) for _ in range(n))] for n in (0, 1, 0, 30, 90, 2)]
+    rows.append([])
+    frame = spark.createDataFrame(
+        [(i, [a for a, _ in r], [b for _, b in r]) for i, r in enumerate(rows)], "i int, s array<long>, e array<long>"
+    ).coalesce(1)
+    got = {r.i: [tuple(x) for x in r.m] for r in frame.select("i", merged_spans("s", "e").alias("m")).collect()}
+    for i, row in enumerate(rows):
+        places = sorted({p for a, b in row for p in range(a, b)})
+        assert [p for a, b in got[i] for p in range(a, b)] == places
+        # Spans that touch are one.
+        assert all(b < c for (_, b), (c, _) in zip(got[i], got[i][1:]))
+    long = spark.range(1).select(F.sequence(F.lit(0), F.lit(3_000_000), F.lit(3)).cast("array<long>").alias("s"))
+    long = long.withColumn("e", F.transform("s", lambda x: x + 2))
+    begin = time.monotonic()
+    assert long.select(F.size(merged_spans("s", "e"))).first()[0] == 1_000_001
+    assert time.monotonic() - begin < 20

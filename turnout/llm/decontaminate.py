@@ -18,8 +18,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnout.llm.tables import ROW, TEXT, row_numbers, whole_row
 from turnout.llm.text import ALNUM, Words, gram_hashes, split_words, text_chunks, word_hashes
@@ -175,25 +177,28 @@ def search_block(docs: DataFrame, block: list) -> DataFrame:
     return docs.mapInArrow(search, schema)
 
 
-def merged_spans(starts, ends):
-    """Union of spans [start, end) that several searches found, as arrays of their edges."""
-    both = F.array_sort(F.arrays_zip(starts.alias("s"), ends.alias("e")))
-    empty = F.expr("cast(array() as array<struct<s: bigint, e: bigint>>)")
-    return F.aggregate(
-        both,
-        empty,
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["e"] >= x["s"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["s"].alias("s"),
-                        F.greatest(F.element_at(done, -1)["e"], x["e"]).alias("e"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"))))),
+SPAN = T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())])
+
+
+@F.arrow_udf(T.ArrayType(SPAN))
+def merged_spans(starts: pa.Array, ends: pa.Array) -> pa.Array:
+    """Union of spans [start, end) that several searches found, in order; spans that touch are one.
+
+    All rows of a batch are merged at once: each row's places are moved behind those of the row
+    before, sorted, and a span begins where a start lies behind all ends so far.
+    """
+    s, e = (column.flatten().to_numpy().astype(np.int64) for column in (starts, ends))
+    row = np.repeat(np.arange(len(starts)), pc.list_value_length(starts).to_numpy())
+    move = (e.max(initial=0) + 1) * row
+    order = np.argsort(s + move, kind="stable")
+    row, move = row[order], move[order]
+    s, reach = s[order] + move, np.maximum.accumulate(e[order] + move)
+    new = np.flatnonzero(np.append(True, s[1:] > reach[:-1])[: len(s)])
+    last = np.append(new[1:], len(s))[: len(new)] - 1
+    edges = [pa.array(s[new] - move[new]), pa.array(reach[last] - move[last])]
+    offsets = np.append(0, np.cumsum(np.bincount(row[new], minlength=len(starts))))
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(edges, ["s", "e"])
     )
 
 
