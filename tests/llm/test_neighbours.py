@@ -1,6 +1,7 @@
 import numpy as np
 
-from turnout.llm.neighbours import nearest, probe_steps
+from turnout.llm import neighbours
+from turnout.llm.neighbours import FITTED, nearest, probe_steps
 from turnout.llm.queries import op9_nearest
 from turnout.llm.tables import table
 
@@ -157,3 +158,37 @@ def test_tiny_huge_and_unequal_vectors(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, [1.0, 1.0, 9.0]), (20, [0.0, 0.0, 1.0]), (4, [])]
     assert got(nearest(frame_of(spark, rows))) == brute(rows, 20, 20)
     assert got(nearest(frame_of(spark, [(0, [0.0, 0.0]), (20, [0.0, 1.0])]))) == {}
+
+
+def recall(found, expected):
+    assert found.keys() == expected.keys() and all(len(found[i]) == len(row) for i, row in expected.items())
+    return np.mean([len({x for x, _ in found[i]} & {x for x, _ in row}) / len(row) for i, row in expected.items()])
+
+
+def test_fitted_tables_on_odd_tables(spark):
+    rng = np.random.default_rng(12)
+    for n, dimensions in ((2, 2), (15, 64), (21, 64)):
+        exact(spark, list(enumerate(rng.standard_normal((n, dimensions)).tolist())), **FITTED)
+    assert nearest(frame_of(spark, []), **FITTED).count() == 0
+    assert nearest(frame_of(spark, [(0, [1.0, 2.0])]), **FITTED).count() == 0  # no candidates
+    assert nearest(frame_of(spark, [(1, [1.0, 2.0])] * 3), **FITTED).count() == 0  # no queries
+    vectors = rng.standard_normal((1500, 64))
+    rows = list(enumerate((vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).tolist()))
+    rows[7] = (7, (1000 * np.array(rows[7][1])).tolist())
+    rows += [(2000 + i, rows[3][1]) for i in range(300)] + [(3000, [1e-30] * 64), (3020, [1.0, 2.0])]
+    # Equal vectors tie: the least ids are the answer, so ids can be compared.
+    assert recall(got(nearest(frame_of(spark, rows), **FITTED)), brute(rows, 20, 20)) >= 0.9
+
+
+def test_fewer_vectors_are_visited_where_there_is_structure(spark, monkeypatch):
+    fits, fit = [], neighbours.fitted
+    monkeypatch.setattr(neighbours, "fitted", lambda *a: fits.append(fit(*a)) or fits[-1])
+    rng = np.random.default_rng(13)
+    for groups in (10, 100):
+        centres = rng.standard_normal((groups, 32))
+        vectors = centres[rng.integers(0, groups, 4000)] + 0.25 * rng.standard_normal((4000, 32))
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        rows = list(enumerate(vectors.tolist()))
+        assert recall(got(nearest(frame_of(spark, rows), every=40, **FITTED)), brute(rows, 40, 20)) >= 0.9
+    (_, found, share), (_, also, less) = fits
+    assert found >= 0.95 and also >= 0.95 and less < share < 0.6 and less < 0.1

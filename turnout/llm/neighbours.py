@@ -13,12 +13,17 @@ as no more than those can be among the nearest. Buckets are split into blocks of
 vectors; a block is searched by exact inner products, its best go on, and the best of all tables
 are kept for each query. Queries that meet too few vectors are searched against all of them, block
 by block.
+
+The numbers of tables and hashes and the width can be fitted (FITTED): TRIAL queries are compared
+with all vectors, and of the choices that find TARGET of their nearest, the one that visits the
+fewest of SAMPLE vectors is taken. So the share visited falls where the vectors have structure.
 """
 
 import heapq
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +40,13 @@ QUERY_BLOCK = 1024
 #: Queries that a block is searched for at once when all blocks are.
 SHARE = 16384
 VECTORS_AT_ONCE = 256
+#: Queries and vectors that parameters are fitted on, at any size, and the recall asked for there.
+TRIAL, SAMPLE = 64, 1024
+TARGET = 0.95
+#: What a fit chooses from.
+TABLES, HASHES, WIDTHS = (1, 2, 4, 8), (1, 2, 3, 4, 6, 8, 12), (0.5, 1.0, 2.0, 4.0)
+#: Arguments of ``nearest`` that leave all three to the fit.
+FITTED = {"tables": None, "hashes": None, "width": None}
 #: The last band holds all shorter vectors.
 MOST_BAND = 60
 
@@ -56,6 +68,15 @@ class Tables:
         step = np.floor(place)
         return step.astype(np.int64), place - step
 
+    def own(self, vectors: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """The bucket of each vector in each table."""
+        longest = self.longest[np.searchsorted(self.bands, band)]
+        return bucket_keys(self.keys(lengthened(vectors, longest))[0])
+
+    def first(self, tables: int) -> "Tables":
+        projections, shifts = self.projections[:tables], self.shifts[:tables]
+        return Tables(projections, shifts, self.width, self.bands, self.longest)
+
 
 def made_tables(
     dimensions: int,
@@ -124,6 +145,16 @@ def probe_steps(within: np.ndarray, probes: int) -> list[tuple[tuple[int, int],
     return found
 
 
+def visited(step: np.ndarray, within: np.ndarray, probes: int) -> np.ndarray:
+    """The buckets of one table that a query visits."""
+    visits = probe_steps(within, probes)
+    steps = np.repeat(step[None], len(visits), 0)
+    for k, moves in enumerate(visits):
+        for h, by in moves:
+            steps[k, h] += by
+    return bucket_keys(steps)
+
+
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
     """``id`` and ``v`` of the rows that take part."""
     number, v = F.col(f"`{id}`").cast("long"), F.col(f"`{vector}`")
@@ -174,30 +205,27 @@ def hashed(distinct: DataFrame, tables: Tables, query: bool, probes: int) -> Dat
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = pickle.loads(held.value)
-        width = made.projections.shape[2] - 1
+        count, _, width = made.projections.shape
         for batch in batches:
             for at in range(0, batch.num_rows, VECTORS_AT_ONCE):
                 part = batch.slice(at, VECTORS_AT_ONCE)
-                band = None if query else part.column(3).to_numpy()
-                longest = None if query else made.longest[np.searchsorted(made.bands, band)]
-                step, within = made.keys(lengthened(as_matrix(part.column(2), width), longest))
+                matrix = as_matrix(part.column(2), width - 1)
                 rows, keys, numbers = [], [], []
-                for t in range(step.shape[1]):
-                    if not query:
-                        rows.append(np.arange(len(step)))
-                        keys.append(bucket_keys(step[:, t]))
-                        numbers.append(band * step.shape[1] + t)
-                        continue
-                    for i in range(len(step)):
-                        visits = probe_steps(within[i, t], probes)
-                        steps = np.repeat(step[i, t][None], len(visits), 0)
-                        for k, moves in enumerate(visits):
-                            for h, by in moves:
-                                steps[k, h] += by
+                if query:
+                    step, within = made.keys(lengthened(matrix, None))
+                    for t, i in product(range(count), range(len(matrix))):
+                        found = visited(step[i, t], within[i, t], probes)
                         for b in made.bands.tolist():
-                            rows.append(np.full(len(visits), i))
-                            keys.append(bucket_keys(steps))
-                            numbers.append(np.full(len(visits), b * step.shape[1] + t))
+                            rows.append(np.full(len(found), i))
+                            keys.append(found)
+                            numbers.append(np.full(len(found), b * count + t))
+                else:
+                    band = part.column(3).to_numpy()
+                    own = made.own(matrix, band)
+                    for t in range(count):
+                        rows.append(np.arange(len(matrix)))
+                        keys.append(own[:, t])
+                        numbers.append(band * count + t)
                 row = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -253,6 +281,102 @@ def search_blocks(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
+def trial_nearest(banded: DataFrame, asked: np.ndarray, reps: np.ndarray, k: int) -> list:
+    """Rows ``(query, rep, v, band)`` of the ``k`` vectors nearest to each of a few queries, their
+    own left out. Each task keeps its best while it reads, so that few rows are shuffled.
+    """
+    held = banded.sparkSession.sparkContext.broadcast(pickle.dumps((asked, reps)))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, numbers = pickle.loads(held.value)
+        best: list[pa.RecordBatch | None] = [None] * len(queries)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = as_matrix(batch.column(1), queries.shape[1]) @ queries.T
+            score[np.isnan(score)] = -np.inf
+            score[batch.column(0).to_numpy()[:, None] == numbers] = -np.inf
+            for i in range(len(queries)):
+                top = np.argsort(-score[:, i], kind="stable")[:k]
+                found = batch.take(pa.array(top)).append_column("score", pa.array(score[top, i]))
+                if best[i] is not None:
+                    found = pa.concat_batches([best[i], found])
+                    found = found.take(pc.sort_indices(found, [("score", "descending")])[:k])
+                best[i] = found
+        for i, found in enumerate(best):
+            if found is not None:
+                yield found.append_column("query", pa.array([i] * len(found), pa.int32()))
+
+    kind = banded.schema["v"].dataType.simpleString()
+    ddl = f"rep long, v {kind}, band int, score double, query int"
+    found = banded.select("rep", "v", "band").mapInArrow(search, ddl)
+    first = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+    found = found.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k)
+    rows = found.select("query", "rep", "v", "band").collect()
+    return [r for r in rows if r.rep != reps[r.query]]
+
+
+def filled(vectors: list, width: int) -> np.ndarray:
+    """Vectors as rows of a matrix, filled up with zeros."""
+    out = np.zeros((len(vectors), width))
+    for row, v in zip(out, vectors):
+        row[: len(v)] = v
+    return out
+
+
+def fitted(
+    banded: DataFrame,
+    query_reps: DataFrame,
+    width: int,
+    bands: np.ndarray,
+    longest: np.ndarray,
+    k: int,
+    probes: int,
+    choices: tuple[tuple, tuple, tuple],
+) -> tuple[Tables, float, float]:
+    """The tables that visit the fewest vectors among those that find TARGET of the ``k`` nearest in
+    a trial, or those that find most, if none do; the share found; the share of vectors visited,
+    where a vector that is met in two tables counts twice.
+
+    ``choices`` are the numbers of tables and of hashes, and the widths. Trial queries and sampled
+    vectors are chosen by a hash of the vector; no more than TRIAL * (k + 1) + SAMPLE vectors reach
+    the driver.
+    """
+    counts, hashes, widths = choices
+    sampled = [F.xxhash64("v"), F.col("rep")]
+    asked = query_reps.orderBy(*sampled).limit(TRIAL).select("rep", "v").collect()
+    queries = filled([r.v for r in asked], width)
+    reps = np.array([r.rep for r in asked], np.int64)
+    near = trial_nearest(banded, queries, reps, k) if asked else []
+    some = banded.orderBy(*sampled).limit(SAMPLE).select("v", "band").collect()
+    of = np.array([r.query for r in near], np.int64)
+    near, some = (
+        (filled([r.v for r in x], width), np.array([r.band for r in x])) for x in (near, some)
+    )
+    found = []
+    for h, w in product(hashes, widths):
+        made = made_tables(width, max(counts), h, w, bands, longest)
+        if not len(of):
+            return made.first(min(counts)), 1.0, 1.0
+        near_keys, some_keys = made.own(*near), made.own(*some)
+        step, within = made.keys(lengthened(queries, None))
+        met, visits = np.zeros(near_keys.shape, bool), np.zeros(max(counts))
+        for i, t in product(range(len(queries)), range(max(counts))):
+            keys, mine = visited(step[i, t], within[i, t], probes), of == i
+            met[mine, t] = np.isin(near_keys[mine, t], keys)
+            visits[t] += np.isin(some_keys[:, t], keys).mean() / len(queries)
+        for n in counts:
+            recall, share = met[:, :n].any(1).mean(), visits[:n].sum()
+            found.append((recall, share, n, h, made.first(n)))
+    enough = [x for x in found if x[0] >= TARGET]
+    if enough:
+        best = min(enough, key=lambda x: x[1:4])
+    else:
+        best = max(found, key=lambda x: (x[0], -x[1]))
+    return best[4], float(best[0]), float(best[1])
+
+
 def every_block(queries: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     """``search_blocks`` of the queries against all vectors, in blocks of both."""
     blocks, shares = (-(-frame.count() // n) for frame, n in ((reps, BLOCK), (queries, SHARE)))
@@ -293,10 +417,10 @@ def nearest(
     vector: str = "embedding",
     every: int = 20,
     k: int = K,
-    tables: int = 4,
-    hashes: int = 4,
+    tables: int | None = 4,
+    hashes: int | None = 4,
     probes: int = 12,
-    width: float = 2.0,
+    width: float | None = 2.0,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, the id and ``score`` of the ``k`` nearest found of each query:
     ``k`` for each, or all candidates if there are fewer.
@@ -310,7 +434,7 @@ def nearest(
     row is no candidate. Equal vectors, however many, cost one search. Empty tables give no rows.
 
     More ``hashes`` visit a smaller share of the vectors, more ``tables`` and ``probes`` a larger
-    one: recall against brute force decides between them.
+    one: where ``tables``, ``hashes`` or ``width`` is None, a trial decides (see ``fitted``).
     """
     base = stored(usable(vectors, id, vector), "vectors")
     reps = base.groupBy("v").agg(F.min("id").alias("first"))
@@ -324,10 +448,16 @@ def nearest(
     banded = measured.withColumn("band", band)
     found = banded.groupBy("band").agg(F.max("length").alias("longest")).sort("band").collect()
     bands, lengths = (np.array([r[i] for r in found]) for i in range(2))
-    made = made_tables(size or 1, tables, hashes, width, bands, lengths)
-
     asked = named.filter(F.col("id") % every == 0)
     query_reps = reps.join(asked.select("rep"), "rep", "semi")
+    if None in (tables, hashes, width):
+        choices = tuple(
+            all_ if one is None else (one,)
+            for one, all_ in ((tables, TABLES), (hashes, HASHES), (width, WIDTHS))
+        )
+        made, _, _ = fitted(banded, query_reps, size or 1, bands, lengths, k, probes, choices)
+    else:
+        made = made_tables(size or 1, tables, hashes, width, bands, lengths)
     place = ["table", "bucket"]
     held = hashed(banded, made, False, probes)
     large = (
