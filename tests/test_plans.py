@@ -10,7 +10,13 @@ from checks.feed import messages
 from checks.queries import QUERIES
 from turnout.functions.schema import COUNT_TABLE_DDL
 from turnout.operators.counts import count_changelog, response_counts
-from turnout.operators.messages import group_keys
+from turnout.operators.messages import (
+    clean_messages,
+    flatten_detail,
+    group_keys,
+    malformed_messages,
+    split_messages,
+)
 from turnout.plans.messages import counts_of, detail_of
 from turnout.sources.messages import feed_lines, file_messages
 from turnout.sources.results import catalog_newest_batch, detail_table
@@ -41,6 +47,18 @@ def test_detail_needs_no_shuffle_and_parses_once(landed):
     assert text.count("from_json") == 1
 
 
+def test_each_side_of_a_split_parses_once(raw):
+    made = F.concat(F.lit('{"response":"'), F.col("id").cast("string"), F.col("value").cast("string"))
+    texts = raw(['"}', '",', None]).withColumn("value", made.cast("binary"))
+    split = split_messages(texts, "id")
+    clean, other = flatten_detail(clean_messages(split)), malformed_messages(split, "id")
+    # Neither the filter nor the fields parse the text, or make it, again.
+    for side in (clean, other):
+        assert plan(side).count("from_json") == 1
+    assert [r.response for r in clean.collect()] == ["0"]
+    assert sorted((r.id, r.value) for r in other.collect()) == [(1, '{"response":"1",'), (2, None)]
+
+
 def test_counts_shuffle_counted_groups_once(landed):
     text = plan(counts_of(landed))
     assert exchanges(text) == 1

@@ -100,9 +100,12 @@ def split_messages(raw: DataFrame, *carry: str) -> DataFrame:
     Clean messages parse as the whole schema declares. Others are cut off, are no object, have a
     field of another shape, or are empty or NULL; what could be read of them is in ``message``.
     """
+    # As the one element of an array that is exploded, so that no filter on the message is moved
+    # below the parser, where it, and each field that is read, would parse the text again.
+    parsed = F.explode(F.array(marked_struct(F.col("value")))).alias("message")
     return (
         message_text(raw, *carry)
-        .select(marked_struct(F.col("value")).alias("message"), "value", "timestamp", *carry)
+        .select(parsed, "value", "timestamp", *carry)
         .select(
             without_mark("message").alias("message"),
             parsed_cleanly("message").alias("is_clean"),
