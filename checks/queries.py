@@ -55,6 +55,9 @@ from turnout.streaming.queries import (
 )
 from turnout.streaming.sinks import Sink, catalog_sink, table_sink
 
+# Messages in a staged file, some megabytes: small enough to share a slice out evenly.
+ROWS_PER_FILE = 25_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -122,10 +125,16 @@ def counting(spark: SparkSession) -> Callable[..., StreamingQuery]:
 
 
 def landed_slices(spark: SparkSession, sf_dir: str, landing: str) -> Iterator[int]:
-    """Land one slice of the messages after the other as files, each when the next is asked for."""
+    """Land one slice of the messages after the other as files, each when the next is asked for.
+
+    Each task that makes messages writes its own files of each slice, so that no slice lies in
+    fewer files than there are tasks, and none is shuffled once more. A file of Parquet is read by
+    one task, so large files would leave cores without work.
+    """
     staged = shared_folder(spark, "staged")
     rows = messages(spark, sf_dir).select("batch_id", "value", "timestamp")
-    rows.hint("rebalance", "batch_id").write.partitionBy("batch_id").parquet(staged)
+    writer = rows.write.option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer.partitionBy("batch_id").parquet(staged)
     for i in range(SLICES):
         part = spark.read.schema(rows.schema).parquet(staged).filter(F.col("batch_id") == i)
         part.select("value", "timestamp").write.mode("append").parquet(landing)

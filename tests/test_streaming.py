@@ -7,6 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 import brute
+import checks.queries as checked
 from turnout.functions.schema import COUNT_TABLE_DDL, DETAIL_COLUMNS, KEYS
 from turnout.operators.newest import newest_batch
 from turnout.plans.messages import counts_of, detail_of
@@ -505,3 +506,30 @@ def test_filled_tables_without_a_note_are_not_empty(spark, tmp_path):
         assert [r.batch_id for r in catalog_newest_batch(spark, "unmarked_counts").collect()] == [10]
     finally:
         spark.sql("DROP TABLE unmarked_counts")
+
+
+def test_slices_land_whole_and_in_files_that_many_tasks_read(spark, tmp_path, monkeypatch):
+    n = 400
+    tables = {
+        "region": "SELECT 0 AS r_regionkey, 'R' AS r_name",
+        "nation": "SELECT 1 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey",
+        "customer": "SELECT id AS c_custkey, 'c' AS c_name, 1 AS c_nationkey, 'm' AS c_mktsegment "
+        "FROM range(5)",
+        "events": "SELECT id AS event_id, timestamp_ntz'2024-01-01 00:00:00' AS ts, "
+        f"id % 5 AS user_id, 'view' AS event_type, 0D AS value, '{{}}' AS props FROM range({n})",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    folders = {name: str(tmp_path / name) for name in ("staged", "landing")}
+    monkeypatch.setattr(checked, "shared_folder", lambda _, purpose: folders[purpose])
+    monkeypatch.setattr(checked, "ROWS_PER_FILE", 20, raising=False)
+    landing = folders["landing"]
+    for i in checked.landed_slices(spark, str(tmp_path), landing):
+        rows = spark.read.parquet(landing).selectExpr("CAST(value AS STRING) AS value")
+        ids = [int(r.value.split('"rsvp_id":')[1].split(",")[0]) for r in rows.collect()]
+        assert sorted(ids) == list(range(n * (i + 1) // checked.SLICES))
+        staged = spark.read.parquet(f"{folders['staged']}/batch_id={i}")
+        files = staged.groupBy(F.input_file_name()).count().collect()
+        assert sum(r["count"] for r in files) == n // checked.SLICES
+        # One file of a slice is read by one task.
+        assert max(r["count"] for r in files) <= 20
