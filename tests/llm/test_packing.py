@@ -4,11 +4,12 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from turnout.llm.packing import END_ID, TOKENS, pack, pack_pieces, token_pieces
-from turnout.llm.tokens import NOT_PLAIN, WordBpe, reaches_itself
+from turnout.llm.tokens import NOT_PLAIN, WordBpe, reaches_itself, word_bpe
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -29,6 +30,19 @@ def test_words_encode_as_whole_texts_do():
     assert found == expected
 
 
+def test_a_worker_that_waits_holds_no_words(spark, documents):
+    rows = [(i, f"word{i} other{i}") for i in range(200)]
+    assert token_pieces(documents(rows).coalesce(1), VOCABULARY).count() == 200
+
+    def held(batches):
+        for batch in batches:
+            kept = [len(word_bpe(VOCABULARY).known)] * batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64())], ["words"])
+
+    # The worker of the one task above is free, so it takes this task.
+    assert [r.words for r in spark.range(0, 1, 1, 1).mapInArrow(held, "words long").collect()] == [0]
+
+
 def test_pieces_and_places(spark, documents):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, None), (3, ODD[3]), (3, ODD[3])]
     pieces = token_pieces(documents(rows), VOCABULARY, keep_ids=True)

@@ -98,6 +98,19 @@ def test_odd_rows(spark, documents):
     assert empty.count() == 0
 
 
+def test_texts_travel_once_within_their_rows(documents):
+    w = quality.train(*texts())
+    rows = [(i, t.decode()) for i, t in enumerate(texts()[0][50:70])] + [(20, None), (21, "")]
+    docs = documents(rows)
+    found = quality.score_quality(docs, w)
+    assert "cast(text" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = quality.probabilities(w, [(t or "").encode() for _, t in rows])
+    as_bytes = docs.withColumn("text", F.col("text").cast("binary"))
+    for scored in (found, quality.score_quality(docs, w, "TEXT"), quality.score_quality(as_bytes, w)):
+        got = {r.doc_id: r.score for r in scored.select("doc.doc_id", "score").collect()}
+        assert np.allclose([got[i] for i, _ in rows], expected, atol=1e-6)
+
+
 def test_held_out_accuracy(spark):
     found = op7_quality(spark, SF_DIR)
     assert found.count() == table(spark, SF_DIR, "documents").count()

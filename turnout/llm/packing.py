@@ -68,6 +68,7 @@ def token_pieces(
                 lists = [np.frombuffer(d, "<u4").astype(np.int32) for d in data]
                 columns.append(pa.array(lists, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder.forget()
 
     names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     ddl = "id long, piece int, start long, length long, ids_crc32 long"

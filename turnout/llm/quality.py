@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -249,12 +250,21 @@ def score_quality(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = pickle.loads(held.value)
-        for part, texts in text_chunks(batches, "bytes", 1 << 20):
+        for part, texts in text_chunks(map(with_bytes, batches), "bytes", 1 << 20):
             p = pa.array(probabilities(w, texts))
             yield pa.RecordBatch.from_arrays([part.column(0), p], ["doc", "score"])
 
-    whole, read = whole_row(docs), F.col(f"`{text}`").cast("binary")
-    rows = docs.select(whole.alias("doc"), read.alias("bytes"))
+    def with_bytes(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows and their texts, which are read where they lie in the rows: a second column of
+        texts would double what a task holds."""
+        doc = batch.column(0)
+        return pa.RecordBatch.from_arrays(
+            [doc, pc.struct_field(doc, [place]).cast(pa.binary())], ["doc", "bytes"]
+        )
+
+    names = docs.columns
+    place = names.index(text) if text in names else [n.lower() for n in names].index(text.lower())
+    rows = docs.select(whole_row(docs).alias("doc"))
     schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
     scored = rows.mapInArrow(score, schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -96,7 +96,11 @@ def text_chunks(
     batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with about ``most`` bytes of text, one row at least, and the texts
-    (null: empty) of each."""
+    (null: empty) of each.
+
+    What Arrow keeps of batches that are done goes back to the system: a worker process lives on
+    between tasks and stages, and shares the memory of its executor.
+    """
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         lengths = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
@@ -107,6 +111,8 @@ def text_chunks(
             part = batch.slice(at, to - at)
             yield part, [t or b"" for t in values.slice(at, to - at).to_pylist()]
             at = to
+        batch = values = part = None
+        pa.default_memory_pool().release_unused()
 
 
 def sorted_groups(

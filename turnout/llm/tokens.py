@@ -89,6 +89,10 @@ class WordBpe:
             out[i] = self.library(texts[i])
         return out
 
+    def forget(self) -> None:
+        """Drop the words encoded so far, so that a worker process that waits does not hold them."""
+        self.known = {}
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, told apart by counting the tokens that end a piece."""
         pieces = [[w] if w.isalpha() else PIECE.findall(w) for w in words]
